@@ -14,6 +14,7 @@ from .rowwise import (
     category_interaction,
     hash_bucket,
     nan_to_null,
+    present,
     product_interaction,
     row_mean,
     row_sum,
@@ -30,6 +31,7 @@ __all__ = [
     "hash_bucket",
     "nan_to_null",
     "ordinal_map",
+    "present",
     "product_interaction",
     "row_mean",
     "row_sum",

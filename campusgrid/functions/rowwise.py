@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import add
+from operator import add, and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -52,6 +52,14 @@ def hash_bucket(key: str | Column, buckets: int = 100) -> Column:
     return F.pmod(F.conv(head, 16, 10).cast("bigint"), F.lit(buckets)).cast("int")
 
 
+def present(df: DataFrame, cols: Sequence[str]) -> Column:
+    """Condition that all columns hold a value; NaN counts as missing. Plain null tests, so
+    they reach the file scan."""
+    floats = {f.name for f in df.schema if isinstance(f.dataType, (DoubleType, FloatType))}
+    tests = [as_column(c).isNotNull() for c in cols] + [~F.isnan(as_column(c)) for c in cols if c in floats]
+    return reduce(and_, tests)
+
+
 def nan_to_null(df: DataFrame) -> DataFrame:
     """Turn NaN in floating-point columns into null, so both mean 'missing'."""
     floats = {f.name for f in df.schema if isinstance(f.dataType, (DoubleType, FloatType))}

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import as_column, flag_equals
+from ..functions import as_column, flag_equals, present
 from .columns import columns_by_type
 from .quantiles import exact_quantiles
 
@@ -16,7 +16,7 @@ def profile(df: DataFrame, key: str | Sequence[str], *aggregates: Column) -> Dat
     """One row per non-null key with all the given aggregates: one shuffle, partial
     aggregation on the map side."""
     keys = [key] if isinstance(key, str) else list(key)
-    return df.dropna(subset=keys).groupBy(*[as_column(k) for k in keys]).agg(*aggregates)
+    return df.where(present(df, keys)).groupBy(*[as_column(k) for k in keys]).agg(*aggregates)
 
 
 def row_count() -> Column:

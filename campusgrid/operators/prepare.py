@@ -15,7 +15,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import as_column, hash_bucket
+from ..functions import as_column, hash_bucket, present
 from .quantiles import column_modes, exact_quantiles
 
 
@@ -110,7 +110,7 @@ class ZScaler(_ColumnwiseEstimator):
 def zscore(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, ZScalerModel]:
     """Drop rows with a null in ``cols`` and replace these columns by z-scores; all other
     columns, the key among them, stay beside them."""
-    complete = df.dropna(how="any", subset=list(cols))
+    complete = df.where(present(df, cols))
     model = ZScaler(inputCols=list(cols)).fit(complete)
     return model.transform(complete), model
 

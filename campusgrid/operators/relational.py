@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import as_column
+from ..functions import as_column, present
 
 
 def _names(key: str | Sequence[str]) -> list[str]:
@@ -40,9 +40,7 @@ def keep_first(df: DataFrame, key: str | Sequence[str], order: Sequence[str]) ->
 def require_unique(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Fail when a (non-null) key repeats; returns the frame for chaining. Runs one job."""
     keys = _names(key)
-    repeated = (
-        df.dropna(subset=keys).groupBy(*[as_column(k) for k in keys]).count().where("count > 1")
-    )
+    repeated = df.where(present(df, keys)).groupBy(*[as_column(k) for k in keys]).count().where("count > 1")
     example = repeated.take(1)
     if example:
         raise ValueError(f"key {keys} is not unique, e.g. {example[0].asDict()}")

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import as_column, hash_bucket
+from ..functions import as_column, hash_bucket, present
 from .prepare import MedianImputer, ZScaler
 from .reshape import dummies, observed_values
 
@@ -136,7 +136,7 @@ def compare_nested(
     texts = [f for f in wanted if dict(df.dtypes)[f] == "string"]
     numbers = [f for f in wanted if f not in texts]
     data = df.select(*[as_column(f) for f in wanted], as_column(target).cast("double").alias("_target"))
-    data = data.dropna(subset=[*numbers, "_target"])
+    data = data.where(present(data, [*numbers, "_target"]))
     levels = observed_values(data, texts) if texts else {}
     wide = dummies(data, texts, values=levels) if texts else data
     slots = {f: [f] for f in numbers} | {f: [f"{f}_{v}" for v in levels[f][1:]] for f in texts}

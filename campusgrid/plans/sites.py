@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import add
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import as_column, flag_present, ordinal_map, zero_pad_code
@@ -53,26 +55,36 @@ def achievement_history(history: DataFrame, *, order: Sequence[str], width: int
     A subject the site was never tested in counts as 0; a tested one without a known level
     stays null. Flags and means come from one aggregate."""
     subject = F.lower(as_column("Evaluación"))
+    flags = [N.PROGRAMME_NAMES.get(c, c) for c in N.PROGRAMMES]
+    # The flags travel as one number: with a numeric order column the aggregate then keeps
+    # only numbers per group and can hash instead of sorting.
+    packed = reduce(add, [flag_present(c) * (1 << i) for i, c in enumerate(N.PROGRAMMES)])
     prepared = history.select(
         zero_pad_code("Cod_Local", width).alias(N.SITE),
-        *[flag_present(c).alias(N.PROGRAMME_NAMES.get(c, c)) for c in N.PROGRAMMES],
+        packed.alias("_flags"),
         subject.alias("_subject"),
         ordinal_map("Nivel de logro", N.LEVELS).alias("_level"),
-        F.struct(*[as_column(c) for c in order]).alias("_order"),
+        _ranking(history, order).alias("_order"),
     )
-    flags = [N.PROGRAMME_NAMES.get(c, c) for c in N.PROGRAMMES]
     found = prepared.groupBy(N.SITE).agg(
-        F.min_by(F.struct(*[as_column(f) for f in flags]), F.col("_order")).alias("_first"),
+        F.min_by("_flags", "_order").alias("_flags"),
         *[mean_or_zero("_subject", s, "_level").alias(name) for s, name in N.SUBJECTS.items()],
     )
     # Rows without a code form one group for the flags but have no subject means.
     return found.select(
         N.SITE,
-        *[F.col("_first").getField(f).alias(f) for f in flags],
+        *[F.shiftright("_flags", i).bitwiseAND(F.lit(1)).alias(f) for i, f in enumerate(flags)],
         *[F.when(F.col(N.SITE).isNotNull(), as_column(n)).alias(n) for n in N.SUBJECTS.values()],
     )
 
 
+def _ranking(df: DataFrame, order: Sequence[str]) -> Column:
+    """An order that is never null, as a plain number when it is one integer column."""
+    if len(order) == 1 and dict(df.dtypes)[order[0]] in ("int", "bigint"):
+        return F.coalesce(as_column(order[0]).cast("bigint"), F.lit(-(2**63)))
+    return F.struct(*[as_column(c) for c in order])
+
+
 def site_distances(distances: DataFrame) -> DataFrame:
     return distances.withColumn(N.SITE, zero_pad_code(N.SITE))
 
