@@ -21,18 +21,17 @@ from .relational import top_k
 def histogram(df: DataFrame, c: str, *, bins: int | None = None) -> DataFrame:
     """Equal-width bins from minimum to maximum (the last one closed), empty bins included.
 
-    Without ``bins`` the width is the smaller of the interquartile (2 IQR n^-1/3) and the
-    logarithmic (range / (log2 n + 1)) rule."""
+    Without ``bins`` the width follows the interquartile rule (2 IQR n^-1/3), not below half
+    the square-root rule (range / sqrt n) and not above the logarithmic one (range / (log2 n + 1))."""
     x = as_column(c).cast("double")
     n, low, high = df.agg(F.count(x), F.min(x), F.max(x)).first()
     spark = df.sparkSession
     if not n:
         return spark.createDataFrame([], "bin int, low double, high double, count bigint")
     if bins is None:
-        width = (high - low) / (math.log2(n) + 1)
         q25, q75 = exact_quantiles(df, [c], [0.25, 0.75])[c]
-        if q75 > q25:
-            width = min(width, 2 * (q75 - q25) / n ** (1 / 3))
+        spread = max(2 * (q75 - q25) / n ** (1 / 3), (high - low) / math.sqrt(n) / 2)
+        width = min(spread, (high - low) / (math.log2(n) + 1))
         bins = max(1, math.ceil((high - low) / width)) if width > 0 else 1
     if low == high:
         low, high = low - 0.5, high + 0.5

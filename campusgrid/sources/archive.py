@@ -7,6 +7,7 @@ import io
 import zipfile
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
@@ -119,17 +120,18 @@ def read_members(
     columns = [f.name for f in (schema or found)]
     raw = StructType([found[c] for c in columns] + [StructField("_row", LongType())])
 
+    texts = pa.schema([(c, pa.string()) for c in columns] + [("_row", pa.int64())])
+
     def parse(batches):
         for batch in batches:
-            for path, member in zip(batch["path"], batch["member"]):
+            for path, member in zip(batch["path"].to_pylist(), batch["member"].to_pylist()):
                 with open_input(path) as stream, zipfile.ZipFile(stream) as box:
                     if kind == "dbf":
                         with box.open(member) as table:
                             header = read_header(table)
-                            for part in decode_records(
-                                header, table, header.records, columns=columns, order_base=0
-                            ):
-                                yield part.rename_columns([*columns, "_row"])
+                            yield from decode_records(
+                                header, table, header.records, columns=columns, order_col="_row"
+                            )
                         continue
                     frames = (
                         sheet_frames(io.BytesIO(box.read(member)), columns)
@@ -137,23 +139,11 @@ def read_members(
                         else _csv_frames(box, member, columns)
                     )
                     for frame in frames:
-                        yield _as_batch(frame)
-
-    import pyarrow as pa
-
-    def parse_arrow(batches):
-        yield from parse(batch.to_pandas() for batch in batches)
-
-    def _as_batch(frame):
-        return pa.RecordBatch.from_pandas(
-            frame,
-            schema=pa.schema([(c, pa.string()) for c in columns] + [("_row", pa.int64())]),
-            preserve_index=False,
-        )
+                        yield pa.RecordBatch.from_pandas(frame, schema=texts, preserve_index=False)
 
     # One task per archive: a deflated member can only be read from its start.
     names = spark.createDataFrame(chosen, "path string, member string").repartition(min(len(chosen), 10_000), "path")
-    table = names.mapInArrow(parse_arrow, raw)
+    table = names.mapInArrow(parse, raw)
     if kind != "dbf":
         table = blank_to_null(table)
     table = conform_to(table, schema, ("_row",))

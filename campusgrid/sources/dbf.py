@@ -127,7 +127,8 @@ def decode_records(
     first: int = 0,
     columns: list[str] | None = None,
     encoding: str = "latin-1",
-    order_base: int | None = None,
+    order_col: str | None = None,
+    order_base: int = 0,
 ) -> Iterator[pa.RecordBatch]:
     """Live records from the stream position on, in batches; deleted records are skipped."""
     layout = header.layout()
@@ -144,9 +145,9 @@ def decode_records(
             _decode(header.fields[place[c]], table[f"f{place[c]}"][live], encoding) for c in chosen
         ]
         names = list(chosen)
-        if order_base is not None:
+        if order_col:
             arrays.append(pa.array(order_base + first + np.flatnonzero(live), pa.int64()))
-            names.append("_order")
+            names.append(order_col)
         yield pa.RecordBatch.from_arrays(arrays, names=names)
         first += rows
         count -= rows
@@ -165,7 +166,7 @@ class _DbfReader(DataSourceReader):
         self.paths = json.loads(options["paths"])
         self.columns = json.loads(options["columns"]) if options.get("columns") else None
         self.encoding = options.get("encoding", "latin-1")
-        self.ordered = bool(options.get("ordercolumn"))
+        self.order_col = options.get("ordercolumn")
         self.step = int(options.get("recordspertask", 250_000))
 
     def partitions(self):
@@ -190,7 +191,8 @@ class _DbfReader(DataSourceReader):
                 first=part.first,
                 columns=self.columns or self._names(),
                 encoding=self.encoding,
-                order_base=part.number << 32 if self.ordered else None,
+                order_col=self.order_col,
+                order_base=part.number << 32,
             )
 
     def _names(self):

@@ -415,7 +415,7 @@ def _(spark, sf):
 
 @check(
     "histogram_auto",
-    _BINNED.format(bins="ceil((hi - lo) / least((hi - lo) / (log2(n) + 1), 2 * iqr / pow(n, 1.0 / 3)))::int"),
+    _BINNED.format(bins="ceil((hi - lo) / least((hi - lo) / (log2(n) + 1), greatest(2 * iqr / pow(n, 1.0 / 3), (hi - lo) / sqrt(n) / 2)))::int"),
 )
 def _(spark, sf):
     out = reports.histogram(table(spark, sf, "customer"), "c_acctbal")

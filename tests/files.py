@@ -1,0 +1,78 @@
+"""Small files in the source formats, written by hand for the tests."""
+
+import io
+import struct
+import zipfile
+from xml.sax.saxutils import escape
+
+
+def dbf_bytes(fields, records, encoding="latin-1"):
+    """fields: (name, type, width, decimals); records: (deleted, raw texts or bytes)."""
+    size = 1 + sum(f[2] for f in fields)
+    head = struct.pack("<B3BIHH20x", 3, 124, 1, 1, len(records), 32 + 32 * len(fields) + 1, size)
+    for name, kind, width, decimals in fields:
+        head += struct.pack("<11sc4xBB14x", name.encode(encoding), kind.encode(), width, decimals)
+    body = b""
+    for deleted, values in records:
+        body += b"*" if deleted else b" "
+        for (_, kind, width, _), value in zip(fields, values):
+            raw = value if isinstance(value, bytes) else value.encode(encoding)
+            body += raw.rjust(width) if kind in "NF" else raw.ljust(width)
+    return head + b"\r" + body + b"\x1a"
+
+
+def _reference(column, row):
+    name = ""
+    column += 1
+    while column:
+        column, rest = divmod(column - 1, 26)
+        name = chr(65 + rest) + name
+    return f"{name}{row}"
+
+
+def xlsx_bytes(table, *, sheet="xl/worksheets/sheet1.xml", inline=False):
+    """First row is the header; None leaves the cell out; numbers and texts as they are."""
+    strings, lines = [], []
+    for r, row in enumerate(table, 1):
+        cells = []
+        for c, value in enumerate(row):
+            ref = _reference(c, r)
+            if value is None:
+                continue
+            if isinstance(value, (int, float)):
+                cells.append(f'<c r="{ref}"><v>{value}</v></c>')
+            elif inline:
+                cells.append(f'<c r="{ref}" t="inlineStr"><is><t>{escape(value)}</t></is></c>')
+            else:
+                if value not in strings:
+                    strings.append(value)
+                cells.append(f'<c r="{ref}" t="s"><v>{strings.index(value)}</v></c>')
+        lines.append(f'<row r="{r}">{"".join(cells)}</row>')
+    main = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
+    link = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as box:
+        box.writestr(
+            "xl/workbook.xml",
+            f'<workbook xmlns="{main}" xmlns:r="{link}"><sheets><sheet name="a" sheetId="1" r:id="rId7"/>'
+            f'<sheet name="b" sheetId="2" r:id="rId8"/></sheets></workbook>',
+        )
+        target = sheet.removeprefix("xl/")
+        box.writestr(
+            "xl/_rels/workbook.xml.rels",
+            '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">'
+            f'<Relationship Id="rId8" Type="x" Target="worksheets/other.xml"/><Relationship Id="rId7" Type="x" Target="{target}"/></Relationships>',
+        )
+        box.writestr(sheet, f'<worksheet xmlns="{main}"><sheetData>{"".join(lines)}</sheetData></worksheet>')
+        box.writestr("xl/worksheets/other.xml", f'<worksheet xmlns="{main}"><sheetData/></worksheet>')
+        items = "".join(f"<si><r><t>{escape(s[:1])}</t></r><r><t>{escape(s[1:])}</t></r></si>" for s in strings)
+        box.writestr("xl/sharedStrings.xml", f'<sst xmlns="{main}">{items}</sst>')
+    return out.getvalue()
+
+
+def zip_bytes(members):
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as box:
+        for name, data in members.items():
+            box.writestr(name, data)
+    return out.getvalue()
