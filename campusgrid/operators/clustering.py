@@ -9,14 +9,17 @@ from operator import add
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import as_column
-from ..session import keep
+from ..session import keep, ship_package
 from .aggregate import group_means
 
 
+_FEW_TASKS = 64
+
+
 @dataclass(frozen=True)
 class KMeansFit:
     k: int
@@ -37,7 +40,7 @@ def _spread_start(points: np.ndarray, k: int, rng: np.random.Generator) -> np.nd
     return np.array(chosen)
 
 
-def _settle(points: np.ndarray, centers: np.ndarray, max_iter: int = 50) -> np.ndarray:
+def _settle(points: np.ndarray, centers: np.ndarray, max_iter: int = 100) -> np.ndarray:
     """Move starting centres to rest on the few seed rows, which saves passes over all rows."""
     for _ in range(max_iter):
         nearest = ((centers**2).sum(axis=1) - 2.0 * (points @ centers.T)).argmin(axis=1)
@@ -50,10 +53,28 @@ def _settle(points: np.ndarray, centers: np.ndarray, max_iter: int = 50) -> np.n
     return centers
 
 
-def _pass_over(df: DataFrame, cols: Sequence[str], starts: dict[int, np.ndarray]) -> pd.DataFrame:
+def _settled_starts(
+    spark: SparkSession, points: np.ndarray, labels: Sequence[tuple[int, int]], seed: int
+) -> dict[int, np.ndarray]:
+    """Settled starting centres of every run, the runs spread over the tasks."""
+    ship_package(spark)
+
+    def settle(batches):
+        for batch in batches:
+            for run, k, start in zip(batch["run"], batch["k"], batch["start"]):
+                first = _spread_start(points, int(k), np.random.default_rng([seed, int(k), int(start)]))
+                yield pd.DataFrame({"run": run, "center": list(_settle(points, first))})
+
+    runs = spark.createDataFrame([(i, k, s) for i, (k, s) in enumerate(labels)], "run int, k int, start int")
+    spread = runs.repartition(min(len(labels), spark.sparkContext.defaultParallelism))
+    found = spread.mapInPandas(settle, "run int, center array<double>").toArrow().to_pandas()
+    return {int(run): np.array(part["center"].tolist()) for run, part in found.groupby("run")}
+
+
+def _pass_over(df: DataFrame, cols: Sequence[str], starts: dict[int, np.ndarray], tasks: int) -> pd.DataFrame:
     """One pass for all open runs: per run and centre the row count, coordinate sums and
-    squared distance. Each task sends one row per centre, so the shuffle does not grow
-    with the data."""
+    squared distance. Each task sends one row per centre; those of a few tasks are added up
+    here, those of many by a shuffle, and neither grows with the data."""
     cols = list(cols)
     runs = list(starts.items())
 
@@ -73,34 +94,38 @@ def _pass_over(df: DataFrame, cols: Sequence[str], starts: dict[int, np.ndarray]
                 totals[run][:, :-1] += member.T @ rows
                 gap = np.maximum(squared[np.arange(len(x)), nearest] + norms, 0.0)
                 totals[run][:, -1] += member.T @ gap
-        for run, total in totals.items():
-            yield pd.DataFrame(
-                {"run": run, "center": np.arange(len(total)), "parts": list(total)}
-            )
-
+        yield pd.concat(
+            [
+                pd.DataFrame(total, columns=sums).assign(run=run, center=np.arange(len(total)))
+                for run, total in totals.items()
+            ]
+        )[["run", "center", *sums]]
+
+    sums = [f"p{i}" for i in range(len(cols) + 2)]
     partials = df.select(*[as_column(c) for c in cols]).mapInPandas(
-        partial_sums, "run int, center int, parts array<double>"
-    )
-    width = len(cols) + 2
-    summed = partials.groupBy("run", "center").agg(
-        *[F.sum(F.col("parts")[i]).alias(f"p{i}") for i in range(width)]
+        partial_sums, ", ".join(["run int", "center int", *[f"{p} double" for p in sums]])
     )
-    return summed.toPandas().sort_values(["run", "center"])
+    if tasks <= _FEW_TASKS:
+        table = partials.toArrow().to_pandas().groupby(["run", "center"], as_index=False).sum()
+    else:
+        table = partials.groupBy("run", "center").agg(*[F.sum(p).alias(p) for p in sums]).toArrow().to_pandas()
+    return table.sort_values(["run", "center"])
 
 
-def _fit_to_cluster(points: DataFrame) -> DataFrame:
-    """Bring a cached frame to a few tasks per core: partitions are merged without a shuffle
-    when there are far more, and spread out only when a small table leaves cores idle."""
+def _fit_to_cluster(points: DataFrame) -> tuple[DataFrame, int]:
+    """A cached frame brought to a few tasks per core, and their number: partitions are merged
+    without a shuffle when there are far more, and spread out only when a small table leaves
+    cores idle."""
     cores = points.sparkSession.sparkContext.defaultParallelism
     parts = points.rdd.getNumPartitions()
     if parts > 4 * cores:
-        return points.coalesce(4 * cores)
+        return points.coalesce(4 * cores), 4 * cores
     if parts >= cores:
-        return points
+        return points, parts
     spread = keep(points.repartition(cores))
     spread.count()
     points.unpersist()
-    return spread
+    return spread, cores
 
 
 def fit_kmeans_grid(
@@ -113,7 +138,7 @@ def fit_kmeans_grid(
     seed: int = 42,
     max_iter: int = 300,
     tol: float = 1e-4,
-    seed_rows: int = 4096,
+    seed_rows: int = 16384,
 ) -> dict[int, KMeansFit]:
     """Best of ``starts`` k-means runs for every k, on complete numeric columns.
 
@@ -135,16 +160,13 @@ def fit_kmeans_grid(
     points = keep(points)
     try:
         spread = points.agg(*[F.var_pop(as_column(c)) for c in cols]).first()
-        points = _fit_to_cluster(points)
+        points, tasks = _fit_to_cluster(points)
         limit = tol * float(np.mean([v or 0.0 for v in spread]))
         labels = [(k, s) for k in ks for s in range(starts)]
-        centers = {
-            run: _settle(picked, _spread_start(picked, k, np.random.default_rng([seed, k, s])))
-            for run, (k, s) in enumerate(labels)
-        }
+        centers = _settled_starts(df.sparkSession, picked, labels, seed)
         open_runs = set(centers)
         for _ in range(max_iter):
-            sums = _pass_over(points, cols, {run: centers[run] for run in open_runs})
+            sums = _pass_over(points, cols, {run: centers[run] for run in open_runs}, tasks)
             for run, part in sums.groupby("run"):
                 table = part.filter(regex=r"^p\d").to_numpy()
                 count, total = table[:, :1], table[:, 1:-1]
@@ -154,7 +176,7 @@ def fit_kmeans_grid(
                 centers[run] = moved
             if not open_runs:
                 break
-        final = _pass_over(points, cols, centers)
+        final = _pass_over(points, cols, centers, tasks)
         inertia = final.groupby("run")[f"p{len(cols) + 1}"].sum()
     finally:
         points.unpersist()

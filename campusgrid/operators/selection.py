@@ -42,7 +42,8 @@ def moments(df: DataFrame, cols: Sequence[str], *, group: str | None = None) ->
         ready.mapInPandas(partial_products, "g int, spot int, v double")
         .groupBy("g", "spot")
         .agg(F.sum("v").alias("v"))
-        .toPandas()
+        .toArrow()
+        .to_pandas()
     )
     out = {}
     for g, part in rows.groupby("g"):
