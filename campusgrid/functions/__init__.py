@@ -6,6 +6,7 @@ from .codes import (
     flag_equals,
     flag_present,
     ordinal_map,
+    to_integer,
     yes_no,
     zero_pad_code,
 )
@@ -36,6 +37,7 @@ __all__ = [
     "row_mean",
     "row_sum",
     "safe_ratio",
+    "to_integer",
     "yes_no",
     "zero_pad_code",
 ]

@@ -18,13 +18,21 @@ def as_column(c: str | Column) -> Column:
     return F.col("`" + c.replace("`", "``") + "`") if isinstance(c, str) else c
 
 
+def to_integer(c: str | Column) -> Column:
+    """Whole number from integers, floats and their text forms; anything else gives null.
+
+    The form is tested first, because a cast that fails costs an exception per row."""
+    text = F.trim(as_column(c).cast("string"))
+    return F.when(text.rlike(r"^[+-]?[0-9]{1,18}$"), text.try_cast("bigint")).when(
+        text.rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"), text.try_cast("double").try_cast("bigint")
+    )
+
+
 def zero_pad_code(c: str | Column, width: int = 6) -> Column:
     """Numeric code as text, zero-padded to ``width`` but never cut. Null stays null.
 
     Accepts integers, floats and their text forms (``19641``, ``19641.0``, ``019641``)."""
-    text = F.trim(as_column(c).cast("string"))
-    number = F.coalesce(text.try_cast("bigint"), text.try_cast("double").try_cast("bigint"))
-    digits = number.cast("string")
+    digits = to_integer(c).cast("string")
     return F.when(F.length(digits) < width, F.lpad(digits, width, "0")).otherwise(digits)
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import as_column, flag_equals, present
+from ..functions import as_column, flag_equals, present, to_integer
 from .columns import columns_by_type
 from .quantiles import exact_quantiles
 
@@ -25,7 +25,7 @@ def row_count() -> Column:
 
 def number_max(c: str | Column) -> Column:
     """Maximum of a column that may hold numbers as text ('10' is above '2')."""
-    return F.max(as_column(c).try_cast("int"))
+    return F.max(to_integer(c).try_cast("int"))
 
 
 def flag_sum(c: str | Column, value: str = "1") -> Column:

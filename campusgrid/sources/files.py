@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
-from ..functions import as_column
+from ..functions import as_column, to_integer
 
 # Texts that spreadsheet and delimited files use for "missing".
 MISSING_TEXTS = (
@@ -59,5 +59,5 @@ def _cast(column: Column, kind) -> Column:
     if isinstance(kind, StringType):
         return column.cast(kind)
     if kind.typeName() in ("integer", "long", "short", "byte"):
-        return F.coalesce(column.try_cast(kind), column.try_cast("double").try_cast(kind))
+        return to_integer(column).try_cast(kind)
     return column.try_cast(kind)
