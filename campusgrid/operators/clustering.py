@@ -53,6 +53,15 @@ def _settle(points: np.ndarray, centers: np.ndarray, max_iter: int = 100) -> np.
     return centers
 
 
+def _seed_points(points: DataFrame, cols: Sequence[str], n: int, wanted: int) -> np.ndarray:
+    """The ``wanted`` rows with the smallest hashes. The hash range is cut first, so that only
+    a few times as many rows are ever sorted, whatever the size of the table."""
+    share = min(1.0, 4 * wanted / n)
+    near = points.where(F.col("_place") <= F.lit(int(-(2**63) + share * (2**64 - 2**12))))
+    first = near.orderBy("_place", *[as_column(c) for c in cols]).limit(wanted)
+    return first.select(*[as_column(c) for c in cols]).toArrow().to_pandas().to_numpy(dtype=float)
+
+
 def _settled_starts(
     spark: SparkSession, points: np.ndarray, labels: Sequence[tuple[int, int]], seed: int
 ) -> dict[int, np.ndarray]:
@@ -112,20 +121,20 @@ def _pass_over(df: DataFrame, cols: Sequence[str], starts: dict[int, np.ndarray]
     return table.sort_values(["run", "center"])
 
 
-def _fit_to_cluster(points: DataFrame) -> tuple[DataFrame, int]:
-    """A cached frame brought to a few tasks per core, and their number: partitions are merged
-    without a shuffle when there are far more, and spread out only when a small table leaves
-    cores idle."""
+def _fit_to_cluster(points: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """A cached frame brought to a few tasks per core, with the frame that holds the cache and
+    the number of tasks: partitions are merged without a shuffle when there are far more, and
+    spread out only when a small table leaves cores idle."""
     cores = points.sparkSession.sparkContext.defaultParallelism
     parts = points.rdd.getNumPartitions()
     if parts > 4 * cores:
-        return points.coalesce(4 * cores), 4 * cores
+        return points.coalesce(4 * cores), points, 4 * cores
     if parts >= cores:
-        return points, parts
+        return points, points, parts
     spread = keep(points.repartition(cores))
     spread.count()
     points.unpersist()
-    return spread, cores
+    return spread, spread, cores
 
 
 def fit_kmeans_grid(
@@ -147,20 +156,15 @@ def fit_kmeans_grid(
     come from a fixed number of rows picked by key hash, so results do not depend on
     partitioning; every row takes part in the iterations themselves. Centres are ordered
     by their coordinates, which makes the cluster numbers stable."""
-    points = df.select(*[as_column(c).cast("double").alias(c) for c in cols])
-    picked = (
-        df.orderBy(F.xxhash64(F.lit(seed), as_column(key)), as_column(key))
-        .limit(seed_rows)
-        .select(*[as_column(c).cast("double").alias(c) for c in cols])
-        .toPandas()
-        .to_numpy(dtype=float)
-    )
-    if not len(picked):
-        raise ValueError("no rows to cluster")
-    points = keep(points)
+    numbers = [as_column(c).cast("double").alias(c) for c in cols]
+    place = F.xxhash64(F.lit(seed), as_column(key), *[as_column(c) for c in cols])
+    points = cached = keep(df.select(*numbers, place.alias("_place")))
     try:
-        spread = points.agg(*[F.var_pop(as_column(c)) for c in cols]).first()
-        points, tasks = _fit_to_cluster(points)
+        n, *spread = points.agg(F.count(F.lit(1)), *[F.var_pop(as_column(c)) for c in cols]).first()
+        if not n:
+            raise ValueError("no rows to cluster")
+        points, cached, tasks = _fit_to_cluster(points)
+        picked = _seed_points(points, cols, n, seed_rows)
         limit = tol * float(np.mean([v or 0.0 for v in spread]))
         labels = [(k, s) for k in ks for s in range(starts)]
         centers = _settled_starts(df.sparkSession, picked, labels, seed)
@@ -179,7 +183,7 @@ def fit_kmeans_grid(
         final = _pass_over(points, cols, centers, tasks)
         inertia = final.groupby("run")[f"p{len(cols) + 1}"].sum()
     finally:
-        points.unpersist()
+        cached.unpersist()
     best = {}
     for run, (k, _) in enumerate(labels):
         if k not in best or inertia[run] < best[k][0]:

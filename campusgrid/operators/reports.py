@@ -69,8 +69,9 @@ def kernel_density(df: DataFrame, c: str, *, points: int = 200) -> DataFrame:
                 total += np.exp(-0.5 * gap * gap).sum(axis=0)
         yield pd.DataFrame({"x": grid, "density": total * weight})
 
-    present = df.select(x.alias("x")).where("x is not null")
-    return present.mapInPandas(partial_sums, "x double, density double").groupBy("x").agg(F.sum("density").alias("density"))
+    present = df.select(x.alias("x")).where("x is not null").coalesce(16 * spark.sparkContext.defaultParallelism)
+    partials = present.mapInPandas(partial_sums, "x double, density double")
+    return partials.groupBy("x").agg(F.sum("density").alias("density"))
 
 
 def cluster_points(df: DataFrame, fit: KMeansFit, projection: Projection, *, key: str) -> DataFrame:

@@ -38,8 +38,10 @@ def moments(df: DataFrame, cols: Sequence[str], *, group: str | None = None) ->
         for g, total in totals.items():
             yield pd.DataFrame({"g": int(g), "spot": np.arange(len(upper[0])), "v": total[upper]})
 
+    # Far more splits than cores are read in longer tasks, so that fewer matrices are shuffled.
     rows = (
-        ready.mapInPandas(partial_products, "g int, spot int, v double")
+        ready.coalesce(16 * df.sparkSession.sparkContext.defaultParallelism)
+        .mapInPandas(partial_products, "g int, spot int, v double")
         .groupBy("g", "spot")
         .agg(F.sum("v").alias("v"))
         .toArrow()

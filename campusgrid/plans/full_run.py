@@ -29,6 +29,11 @@ class StudyResult:
     sizes: DataFrame
     regression: RegressionRun
 
+    def release(self) -> None:
+        """Drop the cached rows once the frames have been used."""
+        self.segments.release()
+        self.sites.unpersist()
+
 
 def _texts(columns) -> StructType:
     return StructType([StructField(c, StringType()) for c in columns])
@@ -59,7 +64,7 @@ def label_and_fit(sites: DataFrame, labels: DataFrame) -> RegressionRun:
     tagged = left_join(base, labels.withColumn("cluster", F.col("cluster").cast("string")), N.SITE)
     scores = list(N.SUBJECTS.values())
     data = tagged.withColumn("target", row_mean(scores)).where("target is not null")
-    data = keep(drop_columns(data, scores))
+    data = drop_columns(data, scores)
     numbers, texts = columns_by_type(data, exclude=[N.SITE, "target"])
     return fit_regression(data.where(as_column(N.SITE).isNotNull()), "target", numbers, texts, key=N.SITE)
 

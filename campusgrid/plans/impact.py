@@ -26,6 +26,11 @@ class ImpactStudy:
     uplift: DataFrame
     coefficients: DataFrame
     report: DataFrame
+    cached: DataFrame
+
+    def release(self) -> None:
+        """Drop the cached rows once the frames have been used."""
+        self.cached.unpersist()
 
 
 def labelled_table(table: DataFrame, *, subjects: Sequence[str] = N.SUBJECTS_PANEL, target: str = TARGET) -> DataFrame:
@@ -53,6 +58,7 @@ def impact_study(
         uplift=uplift(run.model, run.test, treatment),
         coefficients=coefficient_table(run),
         report=run_report(run, key=key),
+        cached=data,
     )
 
 

@@ -26,6 +26,11 @@ class Segments:
     fit: KMeansFit
     scaler: ZScalerModel
     projection: Projection
+    cached: DataFrame
+
+    def release(self) -> None:
+        """Drop the cached rows once the frames have been used."""
+        self.cached.unpersist()
 
 
 def site_features(sites: DataFrame) -> DataFrame:
@@ -78,6 +83,7 @@ def segment(
         fit=fit,
         scaler=scaler,
         projection=projection,
+        cached=scaled,
     )
 
 
