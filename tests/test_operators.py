@@ -178,8 +178,6 @@ def test_summaries(spark, spread):
     ids=["one", "same", "squares", "huge", "infinite", "lumps", "neighbours", "magnitudes"],
 )
 def test_exact_quantiles(spark, spread, data):
-    import pandas as pd
-
     df = spread(spark.createDataFrame([(v,) for v in [*data, None, float("nan")]], "x double"))
     qs = [0.0, 0.1, 0.25, 0.5, 0.75, 1.0]
     found = exact_quantiles(df, ["x"], qs)["x"]
@@ -188,8 +186,7 @@ def test_exact_quantiles(spark, spread, data):
         at = q * (len(ordered) - 1)
         a, b = ordered[int(at)], ordered[min(int(at) + 1, len(ordered) - 1)]
         wanted = a if at == int(at) or a == b else a + (b - a) * (at - int(at))
-        assert value == pytest.approx(wanted, rel=1e-12), q
-    assert pd.Series([v for v in data]).count() == len(data)
+        assert value == pytest.approx(wanted, rel=1e-12, nan_ok=True), q
 
 
 def test_quantiles_of_empty_column(spark):

@@ -47,10 +47,8 @@ DISTANCES = [("1", 0.5), ("000002", 1.5)]
 
 @pytest.fixture()
 def five(spark):
-    quote = lambda cols: ", ".join(f"`{c}`" for c in cols)
     kinds = {"TALUM": "long", "TDOC": "long", "seq": "long", "Cod_Local": "double"}
     schema = lambda cols: ", ".join(f"`{c}` {kinds.get(c, 'string')}" for c in cols)
-    assert quote(["a"]) == "`a`"
     return {
         "register": spark.createDataFrame(REGISTER, schema([*N.REGISTER, "seq"])),
         "classrooms": spark.createDataFrame(ROOMS, schema(N.CLASSROOMS)),
