@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import as_column, hash_bucket, present
+from ..session import keep
 from .prepare import MedianImputer, ZScaler
 from .reshape import dummies, observed_values
 
@@ -101,12 +102,18 @@ def lasso_cv(
     Every fold and penalty is solved from the per-fold moments of a single data pass; the
     held-out error also follows from the moments. Folds are hash buckets of the key. Nulls
     are filled with medians. One row per feature with its coefficient and whether it stays."""
-    labelled = df.where(as_column(target).isNotNull()).select(
-        as_column(key), as_column(target), *[as_column(f).cast("double").alias(f) for f in features if f not in (key,)]
+    used = df.where(as_column(target).isNotNull()).select(
+        hash_bucket(key, folds).alias("_fold"),
+        as_column(target),
+        *[as_column(f).cast("double").alias(f) for f in features],
     )
-    filled = MedianImputer(inputCols=list(features)).fit(labelled).transform(labelled)
-    scaled = ZScaler(inputCols=list(features)).fit(filled).transform(filled)
-    per_fold = moments(scaled.withColumn("_fold", hash_bucket(key, folds)), [*features, target], group="_fold")
+    used = keep(used)
+    try:
+        filled = MedianImputer(inputCols=list(features)).fit(used).transform(used)
+        scaled = ZScaler(inputCols=list(features)).fit(filled).transform(filled)
+        per_fold = moments(scaled, [*features, target], group="_fold")
+    finally:
+        used.unpersist()
     whole = sum(per_fold.values())
     _, means, cov = _centred(whole)
     top = float(np.abs(cov[:-1, -1]).max())

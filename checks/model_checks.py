@@ -9,6 +9,7 @@ from campusgrid.functions import hash_bucket
 from campusgrid.operators import clustering, inference, projection, regression, reports, selection
 from campusgrid.operators.prepare import build_preprocessor, hash_split, impute_medians, impute_modes, zscore
 from campusgrid.operators.relational import left_join
+from campusgrid.session import keep
 
 from .inputs import rounded, table
 
@@ -200,7 +201,7 @@ def _(spark, sf):
 def _(spark, sf):
     e = _vector_columns(spark, sf)
     cols = [c for c in e.columns if c != "vec_id"]
-    scaled, _ = zscore(e, cols)
+    scaled = keep(zscore(e, cols)[0])
     fit = clustering.fit_kmeans(scaled, cols, 4, key="vec_id", starts=3)
     return reports.cluster_points(scaled, fit, projection.fit_pca(scaled, cols), key="vec_id")
 
