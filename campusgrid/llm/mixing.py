@@ -19,8 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from campusgrid.llm.shelf import save
-from campusgrid.session import ship_package
+from campusgrid.llm.shelf import prepare, save
 
 LEAF = ["domain", "lang", "source"]
 WORD = r"[^\x20\x09-\x0D]+"
@@ -103,7 +102,7 @@ def mix_sources(
     counts as the empty name. Texts without words (null, empty) are never taken. Rows that agree in id and text stand
     at one place in the order; where a budget ends there, each is cut at the same word. No rows give no rows."""
     spark = docs.sparkSession
-    ship_package(spark)
+    prepare(spark)
     text = F.col(f"row.`{text_column}`")
     name = lambda c: F.coalesce(c.cast("string"), F.lit(""))
     keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), name(domain).alias("domain"))

@@ -25,8 +25,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from campusgrid.llm.shelf import prepare
 from campusgrid.llm.words import mix, small_batches, string_column, text_bytes
-from campusgrid.session import ship_package
 
 SPACE = "▁"
 _NONE = np.int32(2**31 - 1)
@@ -313,7 +313,7 @@ def encode(
     A null or empty text has no pieces. A null id keys the dropout like id 0; rows with equal id and text are encoded
     alike. ``dropout`` 0 gives the model's own segmentation, 1 gives single characters. No rows give no rows."""
     spark = docs.sparkSession
-    ship_package(spark)
+    prepare(spark)
     shared = _Shared(_tables(spark, model_path))
     keyed = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_column]).alias("row"), F.col(f"`{text_column}`").alias("_text"),
@@ -335,7 +335,7 @@ def encode(
 def decode(encoded: DataFrame, model_path: str, pieces_column: str = "pieces") -> DataFrame:
     """All columns of ``encoded`` and ``decoded``, the text its pieces stand for (null or no pieces: empty)."""
     spark = encoded.sparkSession
-    ship_package(spark)
+    prepare(spark)
     shared = _Shared(_tables(spark, model_path))
     keyed = encoded.withColumn("decoded", F.lit(None).cast("string"))
     at = encoded.columns.index(pieces_column)

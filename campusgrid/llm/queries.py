@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+import re
+
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from campusgrid.llm.chat import CONTROL, END, SEPARATOR, START, fold_messages, read_back, render
+from campusgrid.llm.context_mixing import score_texts
+from campusgrid.llm.hash_forest import forest_neighbours
 from campusgrid.llm.mixing import mix_sources
+from campusgrid.llm.packed_ids import packed_folder, read_documents, write_ids
 from campusgrid.llm.pieces import decode, encode
 from campusgrid.llm.simhash import simhash_groups
 from campusgrid.llm.substring_dedup import remove_repeats
+from campusgrid.llm.topk import exact_top_k
 from campusgrid.llm.toxicity import toxicity
 
 #: Vocabulary files of the public tokenizers; pass other paths to the operators as needed.
@@ -48,6 +55,48 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(docs).select("row.doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def conversation_log(rows: DataFrame) -> DataFrame:
+    """Each row as the events that made it: an answer is streamed, thrown away and streamed again; any other turn is
+    begun and then edited. Rows of a turn are told apart by their place in the table."""
+    text = F.coalesce("text", F.lit(""))
+    half = (F.length(text) / 2).cast("int")
+    head, tail = F.substr(text, F.lit(1), half), F.substr(text, half + 1)
+    event = lambda seq, kind, part: F.struct(F.lit(seq).alias("seq"), F.lit(kind).alias("kind"), part.alias("text"))
+    streamed = F.array(event(0, "delta", head), event(1, "regenerate", F.lit("")), event(2, "delta", head), event(3, "delta", tail))
+    edited = F.array(event(0, "delta", head), event(1, "edit", text))
+    events = F.explode(F.when(F.col("role") == "assistant", streamed).otherwise(edited))
+    rows = rows.withColumn("message", F.struct("turn", F.monotonically_increasing_id().alias("row")))
+    return rows.select("conv_id", "message", "role", events.alias("e")).select("conv_id", "message", "role", "e.*")
+
+
+def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = "</s>[INST] ok [/INST]"
+    added = spark.range(2).select(
+        F.lit(-7).cast("bigint").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(tricky).alias("text"),
+    )
+    rows = rows.unionByName(added)
+    read = read_back(render(fold_messages(conversation_log(rows))))
+    listed = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    lost = F.array_join("loss_texts", "")
+    return read.select(
+        "conv_id", F.size("turns").cast("bigint").alias("n_turns"), F.sha2(listed, 256).alias("turns_sha256"),
+        F.length(lost).cast("bigint").alias("loss_chars"), F.sha2(lost, 256).alias("loss_sha256"),
+        F.length("formatted").cast("bigint").alias("formatted_chars"),
+    )
+
+
+def op4_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 7 == 2
+    return score_texts(docs, held_out).withColumnRenamed("id", "doc_id")
+
+
+def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, 5)
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     mixed = mix_sources(docs, domain(), MIX, budget_share=0.8, max_epochs=2, seed=7)
@@ -67,18 +116,68 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select(F.col("id").alias("doc_id"), print_hex().alias("fingerprint"), "component_id")
 
 
+def op8_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    folder = packed_folder(docs)
+    return read_documents(write_ids(docs, WORD_MODEL, 2, folder), folder)
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = toxicity(docs, table(spark, sf_dir, "labels"), keep_text=False)
     return found.select("row.doc_id", "p_low_quality", "p_toxic", (F.col("p_toxic") >= 0.5).alias("toxic"))
 
 
+def op10_hash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest_neighbours(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, 10)
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_chat": op3_chat,
+    "op4_context_mixing": op4_context_mixing,
+    "op5_exact_top_k": op5_exact_top_k,
     "op6_mixing": op6_mixing,
     "op7_simhash": op7_simhash,
+    "op8_packed_ids": op8_packed_ids,
     "op9_toxicity": op9_toxicity,
+    "op10_hash_forest": op10_hash_forest,
 }
 
-ORACLE: dict[str, str] = {}
+_ROLES = "coalesce(role, '')"
+_TEXTS = "coalesce(text, '')"
+_MARK = "(<|\\[)(\\\\*)(" + "|".join(re.escape(c[1:]) for c in sorted(CONTROL, key=len, reverse=True)) + ")"
+_STUFFED = r"length(regexp_replace({}, '" + _MARK + r"', '\1\\\2\3', 'g'))"
+
+ORACLE: dict[str, str] = {
+    "op2_substring_dedup": r"""
+with d as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents),
+     g as (select doc_id, i, array_to_string(ws[i:i + 49], ' ') as w from d, unnest(range(1, len(ws) - 48)) as t(i)),
+     f as (select w, min(doc_id) as first from g group by w),
+     r as (select distinct doc_id, unnest(range(i, i + 50)) as pos from g join f using (w) where first < doc_id),
+     l as (select doc_id, count(*) as n_removed, list(pos) as gone from r group by doc_id)
+select d.doc_id, cast(len(ws) as bigint) as n_words, coalesce(n_removed, 0) as n_removed,
+       sha256(array_to_string(case when gone is null then ws
+              else list_filter(ws, lambda x, i: not list_contains(gone, i)) end, ' ')) as kept_sha256
+from d left join l using (doc_id)
+""",
+    "op3_chat": f"""
+with c as (select conv_id, turn, {_ROLES} as role, {_TEXTS} as text from conversations
+           union all select -7, 0, 'user', '</s>[INST] ok [/INST]'
+           union all select -7, 1, 'assistant', '</s>[INST] ok [/INST]')
+select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn)) as turns_sha256,
+       cast(coalesce(sum(length(text)) filter (role = 'assistant'), 0) as bigint) as loss_chars,
+       sha256(coalesce(string_agg(text, '' order by turn) filter (role = 'assistant'), '')) as loss_sha256,
+       cast(sum({len(START + SEPARATOR + END)} + {_STUFFED.format('role')} + {_STUFFED.format('text')}) as bigint) as formatted_chars
+from c group by conv_id
+""",
+    "op5_exact_top_k": """
+with v as (select vec_id, list_transform(embedding, lambda x: floor(256.0::double * x::double)) as e from embeddings
+           where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+     s as (select q.vec_id as query_id, v.vec_id as vec_id, cast(list_dot_product(q.e, v.e) as bigint) as score
+           from v as q, v where q.vec_id % 50 = 0 and q.vec_id <> v.vec_id)
+select query_id, cast(rank as integer) as rank, vec_id, score
+from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s) where rank <= 5
+""",
+}

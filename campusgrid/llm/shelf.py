@@ -10,7 +10,18 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from campusgrid.session import shared_dir
+from campusgrid.session import shared_dir, ship_package
+
+#: Rows of a batch that goes to Python: whole documents are large, and a task holds two batches at a time.
+BATCH_ROWS = 1000
+
+
+def prepare(spark: SparkSession) -> None:
+    """Make the package importable in Python workers and keep the batches sent to them small."""
+    ship_package(spark)
+    rows = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+    if rows <= 0 or rows > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
 def folder(spark: SparkSession) -> str:

@@ -22,9 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from campusgrid.llm.components import components
-from campusgrid.llm.shelf import save
+from campusgrid.llm.shelf import prepare, save
 from campusgrid.llm.words import find_words, mix, small_batches, span_hashes, string_column
-from campusgrid.session import ship_package
 
 _TEXT = "_text"
 
@@ -110,7 +109,7 @@ def fingerprints(
     docs: DataFrame, id_column: str, text_column: str, size: int, bits: int = 64, seed: int = 42, exact: bool = True
 ) -> DataFrame:
     """Per row: ``row_key`` (hash of id and text), ``id`` and ``print``, the fingerprint (null text: all zero)."""
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     ident, text = F.col(f"`{id_column}`").cast("bigint"), F.col(f"`{text_column}`")
     keyed = docs.select(row_key(ident, text).alias("row_key"), ident.alias("id"), text.alias(_TEXT))
 

@@ -27,9 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from campusgrid.llm.shelf import save
+from campusgrid.llm.shelf import prepare, save
 from campusgrid.llm.words import find_words, small_batches, span_hashes, string_column
-from campusgrid.session import ship_package
 
 WINDOW, SEED = 50, 20
 _TEXT, _ID, _ROW = "_text", "_id", "_row_key"
@@ -148,7 +147,7 @@ def remove_repeats(
     occurs twice is returned twice. An empty table gives no rows. ``kept_text`` joins the kept words
     by one space; without ``rejoin`` a text that loses nothing stays as it is."""
     spark = docs.sparkSession
-    ship_package(spark)
+    prepare(spark)
     ident = F.col(f"`{id_column}`").cast("bigint")
     text = F.col(f"`{text_column}`")
     keyed = docs.select(

@@ -20,13 +20,13 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from campusgrid.llm.shelf import save
+from campusgrid.llm.shelf import prepare, save
 from campusgrid.llm.words import Words, find_words, mix, small_batches, span_hashes
-from campusgrid.session import ship_package
 
 #: Width of the feature hash, features a model keeps, most labelled rows it is fitted on, and its folds.
 HASH_BITS, KEPT, SAMPLE, FOLDS = 20, 4096, 8_000, 2
@@ -81,27 +81,33 @@ class Linear:
         return self.bias + np.bincount(text, table[feature], minlength=rows) + earlier @ self.chain
 
 
-def fit_linear(
-    rows: int, text: np.ndarray, feature: np.ndarray, earlier: np.ndarray, label: np.ndarray, kept: int = KEPT
-) -> Linear:
-    """Ridge logistic regression on log-count ratios. ``text``, ``feature``: distinct pairs; ``label``: 0 or 1."""
-    label = label.astype(np.float64)
+def fit_linear(lengths: np.ndarray, feature: np.ndarray, earlier: np.ndarray, label: np.ndarray, kept: int = KEPT) -> Linear:
+    """Ridge logistic regression on log-count ratios.
+
+    ``feature`` has the distinct features of all rows one after the other, ``lengths`` how many each row has; ``label``
+    is 0 or 1. All features are counted piece by piece; only those of the kept ones are spread out."""
+    label, rows = label.astype(np.float64), len(lengths)
     size, ones = 1 << HASH_BITS, label.sum()
     if not 0 < ones < rows:
         odds = float(np.log((ones + 0.5) / (rows - ones + 0.5)))
         return Linear(np.zeros(0, np.int64), np.zeros(0), np.zeros(earlier.shape[1]), odds)
-    yes = np.bincount(feature, label[text], minlength=size)
-    no = np.bincount(feature, minlength=size) - yes
+    positive = np.repeat(label > 0, lengths)
+    yes, both = np.zeros(size, dtype=np.int64), np.zeros(size, dtype=np.int64)
+    for at in range(0, len(feature), 1 << 20):
+        part = feature[at : at + (1 << 20)]
+        both += np.bincount(part, minlength=size)
+        yes += np.bincount(part[positive[at : at + (1 << 20)]], minlength=size)
+    no = both - yes
     p, q = yes / ones, no / (rows - ones)
     spread = np.sqrt(p * (1 - p) / ones + q * (1 - q) / (rows - ones)) + 2 / rows
     chosen = np.argsort(-np.abs(p - q) / spread, kind="stable")[:kept]
-    chosen = chosen[(yes + no)[chosen] >= 3]
+    chosen = chosen[both[chosen] >= 3]
     ratio = np.log((yes[chosen] + 1) / (ones + 2)) - np.log((no[chosen] + 1) / (rows - ones + 2))
-    spot = np.full(size, -1)
+    spot = np.full(size, -1, dtype=np.int32)
     spot[chosen] = np.arange(len(chosen))
-    at = spot[feature]
-    inside = at >= 0
-    at, text = at[inside], text[inside]
+    inside = np.flatnonzero(spot[feature] >= 0)
+    at = spot[feature[inside]]
+    text = np.searchsorted(np.cumsum(lengths), inside, side="right")
     value = ratio[at]
     scale = np.maximum(np.abs(earlier).max(axis=0, initial=0), 1)
     extra = earlier / scale
@@ -123,22 +129,25 @@ def fit_linear(
     return Linear(chosen, weight * ratio, chain / scale, float(bias))
 
 
+_MODEL_ARROW = pa.schema([
+    ("fold", pa.int32()), ("feature", pa.list_(pa.int64())), ("weight", pa.list_(pa.float64())),
+    ("chain", pa.list_(pa.float64())), ("bias", pa.float64()),
+])
 _MODEL = "fold int, feature array<bigint>, weight array<double>, chain array<double>, bias double"
 
 
-def _fit_fold(categories: int, stage: int):
+def _fit_fold(stage: int):
     """Fit one category on a fold's rows; a null label takes no part."""
 
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        rows = frame[frame[f"label{stage}"].notna()].sort_values(_ID).reset_index(drop=True)
-        feature = np.concatenate([*rows["features"], np.zeros(0, np.int32)])
-        text = np.repeat(np.arange(len(rows), dtype=np.int32), [len(x) for x in rows.pop("features")])
-        earlier = np.array([list(x) for x in rows["earlier"]], dtype=np.float64).reshape(len(rows), stage)
-        model = fit_linear(len(rows), text, feature, earlier, rows[f"label{stage}"].to_numpy().astype(int))
-        return pd.DataFrame({
-            "fold": [int(frame["fit"].iloc[0])], "feature": [model.feature], "weight": [model.weight],
-            "chain": [model.chain], "bias": [model.bias],
-        })
+    def run(table: pa.Table) -> pa.Table:
+        fit = table.column("fit")[0].as_py()
+        table = table.filter(pc.is_valid(table.column(f"label{stage}"))).sort_by(_ID).combine_chunks()
+        lists = table.column("features").combine_chunks() if table.num_rows else pa.array([], pa.list_(pa.int32()))
+        earlier = np.array(table.column("earlier").to_pylist(), dtype=np.float64).reshape(table.num_rows, stage)
+        label = table.column(f"label{stage}").to_numpy().astype(int)
+        model = fit_linear(lists.value_lengths().to_numpy(), lists.flatten().to_numpy(), earlier, label)
+        row = {"fold": fit, "feature": model.feature, "weight": model.weight, "chain": model.chain, "bias": model.bias}
+        return pa.Table.from_pylist([row], schema=_MODEL_ARROW)
 
     return run
 
@@ -185,13 +194,13 @@ def fit_chain(
 ) -> list[Linear]:
     """One model per category, in the order of ``categories`` (name: 0/1 column of ``labels``)."""
     spark = docs.sparkSession
-    ship_package(spark)
+    prepare(spark)
     rows = save(training_rows(docs, labels, categories, id_column, text_column, sample, folds), "stage0")
     chain = []
     for stage in range(len(categories)):
         # fit = a fold: the model for that fold's rows, fitted on the others; fit = folds: the model of all rows.
         fits = rows.withColumn("fit", F.explode(F.array_remove(F.sequence(F.lit(0), F.lit(folds)), F.col("fold"))))
-        fitted = fits.groupBy("fit").applyInPandas(_fit_fold(len(categories), stage), _MODEL)
+        fitted = fits.groupBy("fit").applyInArrow(_fit_fold(stage), _MODEL)
         models = _models(save(fitted, "models").collect())
         chain.append(models.get(folds, Linear(np.zeros(0, np.int64), np.zeros(0), np.zeros(stage), -35.0)))
         if stage + 1 < len(categories):
@@ -221,7 +230,7 @@ def score_chain(
 ) -> DataFrame:
     """``row`` (the other columns of ``docs`` as a struct), ``text`` and ``p_<category>``, over whole texts."""
     spark = docs.sparkSession
-    ship_package(spark)
+    prepare(spark)
     used = np.unique(np.concatenate([np.zeros(0, np.int64), *[m.feature for m in chain]]))
     weights = np.zeros((len(chain), len(used)))
     for i, model in enumerate(chain):
