@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from campusgrid.llm.grid import cells, dealt, members, padded, ranked, usable, width
-from campusgrid.llm.shelf import prepare, save
+from campusgrid.llm.shelf import prepare, save, tidy
 
 SHARD_ROWS, BLOCK_ROWS, BITS = 8192, 256, 64
 TREES, SHARE, SEED = 32, 0.45, 11
@@ -149,8 +149,8 @@ def forest_neighbours(
     asked = rows.where(is_query)
     asked_count = asked.count()
     schema = "shard int, shard_members array<struct<id: bigint, vec: array<double>>>, strings array<bigint>, orders array<int>"
-    shards = save(dealt(rows, "shard", SHARD_ROWS, count).mapInArrow(_build(trees, dims, seed), schema), "forest")
+    shards = save(dealt(rows, "shard", SHARD_ROWS, count).mapInArrow(tidy(_build(trees, dims, seed)), schema), "forest")
     blocks = dealt(asked, "block", BLOCK_ROWS, asked_count)
     grid = cells(shards, blocks, max(1, -(-count // SHARD_ROWS)), max(1, -(-asked_count // BLOCK_ROWS)))
     found = grid.select("shard_members", "strings", "orders", "block_members")
-    return ranked(found.mapInArrow(_search(k, trees, dims, seed, share), _FOUND), k, F.col("score"))
+    return ranked(found.mapInArrow(tidy(_search(k, trees, dims, seed, share)), _FOUND), k, F.col("score"))

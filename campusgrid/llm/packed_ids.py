@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from campusgrid.llm.shelf import fresh, prepare, save
+from campusgrid.llm.shelf import fresh, prepare, save, tidy
 from campusgrid.llm.words import small_batches
 
 MAGIC, HEAD = b"PACKIDS1", 8 + 6 * 8
@@ -201,7 +201,7 @@ def _writer(key: int, model, folder: str, bits: int, end_id: int, block_ids: int
             parts.clear(), sizes.clear(), docs.clear()
             return row
 
-        for batch in small_batches(batches, "text", 4 << 20):
+        for batch in small_batches(batches, "text"):
             for doc, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist()):
                 found = coder(text or "") + end
                 if docs and total + len(found) // 4 > file_ids:
@@ -240,7 +240,7 @@ def write_ids(
     rows = docs.select(F.col(f"`{id_column}`").cast("bigint").alias("id"), F.col(f"`{text_column}`").alias("text"))
     count = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = rows.repartitionByRange(count, "id").sortWithinPartitions("id", "text")
-    manifest = save(rows.mapInArrow(_writer(key, model, folder, bits, end_id, block_ids, file_ids), _MANIFEST), "manifest")
+    manifest = save(rows.mapInArrow(tidy(_writer(key, model, folder, bits, end_id, block_ids, file_ids)), _MANIFEST), "manifest")
     # One row per file: a running sum over the manifest, not over the data.
     before = Window.orderBy("part", "number").rowsBetween(Window.unboundedPreceding, -1)
     return manifest.withColumn("start", F.coalesce(F.sum("ids").over(before), F.lit(0)))
@@ -270,7 +270,7 @@ def read_documents(manifest: DataFrame, folder: str) -> DataFrame:
                         )
 
     spread = manifest.select("name", "start").repartition(files, "name")
-    return spread.mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+    return spread.mapInArrow(tidy(run), "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 
 def packed_folder(docs: DataFrame) -> str:

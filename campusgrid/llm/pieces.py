@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from campusgrid.llm.shelf import prepare
+from campusgrid.llm.shelf import prepare, tidy
 from campusgrid.llm.words import mix, small_batches, string_column, text_bytes
 
 SPACE = "▁"
@@ -322,14 +322,14 @@ def encode(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = _pieces(shared)
-        for batch in small_batches(batches, "_text", 2 << 20):
+        for batch in small_batches(batches, "_text"):
             ids = batch.column("_id").to_numpy(zero_copy_only=False)
             values, first = encode_column(pieces, batch.column("_text"), ids, seed, dropout)
             lists = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(values))
             yield pa.RecordBatch.from_arrays([batch.column("row"), lists], names=["row", "pieces"])
 
     schema = T.StructType([keyed.schema["row"], T.StructField("pieces", T.ArrayType(T.IntegerType()))])
-    return keyed.mapInArrow(run, schema)
+    return keyed.mapInArrow(tidy(run), schema)
 
 
 def decode(encoded: DataFrame, model_path: str, pieces_column: str = "pieces") -> DataFrame:
@@ -352,4 +352,4 @@ def decode(encoded: DataFrame, model_path: str, pieces_column: str = "pieces") -
                 text = string_column(*decode_pieces(pieces, values, first))
                 yield pa.RecordBatch.from_arrays([*batch.columns[:-1], text], names=batch.schema.names)
 
-    return keyed.mapInArrow(run, keyed.schema)
+    return keyed.mapInArrow(tidy(run), keyed.schema)

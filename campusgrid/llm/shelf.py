@@ -6,8 +6,10 @@ results have been written."""
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from campusgrid.session import shared_dir, ship_package
@@ -24,6 +26,24 @@ def prepare(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
+def tidy(run):
+    """A batch function that gives its memory back when its task ends, as workers are used again for other tasks."""
+
+    def wrapped(batches):
+        yield from run(batches)
+        give_back()
+
+    return wrapped
+
+
+def give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def folder(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/llm-{spark.sparkContext.applicationId}"
 

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from campusgrid.llm.components import components
-from campusgrid.llm.shelf import prepare, save
+from campusgrid.llm.shelf import prepare, save, tidy
 from campusgrid.llm.words import find_words, mix, small_batches, span_hashes, string_column
 
 _TEXT = "_text"
@@ -114,14 +114,14 @@ def fingerprints(
     keyed = docs.select(row_key(ident, text).alias("row_key"), ident.alias("id"), text.alias(_TEXT))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, _TEXT, 2 << 20):
+        for batch in small_batches(batches, _TEXT):
             column = batch.column(_TEXT)
             found = exact_fingerprints(column, size, seed) if exact else wide_fingerprints(column, size, bits)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row_key"), batch.column("id"), _fixed(found)], names=["row_key", "id", "print"]
             )
 
-    return keyed.mapInArrow(run, "row_key bigint, id bigint, print binary")
+    return keyed.mapInArrow(tidy(run), "row_key bigint, id bigint, print binary")
 
 
 def row_key(ident: Column, text: Column) -> Column:
@@ -248,7 +248,7 @@ def print_links(prints: DataFrame, bits: int, distance: int, blocks: int, keep:
     ``prints`` has one row per distinct fingerprint: ``node`` (bigint) and ``print``."""
     words = bits // 64
     # Made anew for either use: the fingerprints are a few bytes each, their block rows many times that.
-    keyed = prints.mapInArrow(_block_rows(words, blocks, keep), "key bigint, node bigint, print binary")
+    keyed = prints.mapInArrow(tidy(_block_rows(words, blocks, keep)), "key bigint, node bigint, print binary")
     sizes = keyed.groupBy("key").count()
     hot = save(
         sizes.where(F.col("count") > tile).select("key", F.ceil(F.col("count") / tile).cast("int").alias("tiles")), "hot"
@@ -258,7 +258,7 @@ def print_links(prints: DataFrame, bits: int, distance: int, blocks: int, keep:
         keyed.join(hot, "key", "left_anti").groupBy("key").agg(F.collect_list(member).alias("members0"))
         .where("size(members0) > 1").select("members0")
     )
-    found = plain.mapInArrow(_group_links(words, distance, 1), "a bigint, b bigint")
+    found = plain.mapInArrow(tidy(_group_links(words, distance, 1)), "a bigint, b bigint")
     if not hot.isEmpty():
         tiles = save(
             keyed.join(hot, "key").withColumn("tile", F.pmod(F.xxhash64("node"), "tiles").cast("int"))
@@ -272,7 +272,7 @@ def print_links(prints: DataFrame, bits: int, distance: int, blocks: int, keep:
             "members0", F.when(F.col("from") < F.col("tile"), F.col("members1")).alias("members1")
         )
         pairs = pairs.repartition(F.xxhash64("members0", "members1"))
-        found = found.unionByName(pairs.mapInArrow(_group_links(words, distance, 2), "a bigint, b bigint"))
+        found = found.unionByName(pairs.mapInArrow(tidy(_group_links(words, distance, 2)), "a bigint, b bigint"))
     return found.distinct()
 
 

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from campusgrid.llm.shelf import prepare, save
+from campusgrid.llm.shelf import prepare, save, tidy
 from campusgrid.llm.words import find_words, small_batches, span_hashes, string_column
 
 WINDOW, SEED = 50, 20
@@ -156,7 +156,7 @@ def remove_repeats(
     )
     plain = keyed.select(_ID, _TEXT, _ROW).where(F.col(_ID).isNotNull())
 
-    sites = save(plain.mapInArrow(_anchor_rows(window, seed), _SITE.format("stretch")), "anchors")
+    sites = save(plain.mapInArrow(tidy(_anchor_rows(window, seed)), _SITE.format("stretch")), "anchors")
     shared = (
         sites.groupBy("anchor")
         .agg(F.min("id").alias("low"), F.max("id").alias("high"), F.min("stretch").alias("s0"), F.max("stretch").alias("s1"))
@@ -177,7 +177,7 @@ def remove_repeats(
     expand = listed.where("size(expand) > 0").select(F.col("row_key").alias(_ROW), "expand")
     windows = save(
         plain.join(expand, _ROW).select(_ID, _TEXT, _ROW, "expand")
-        .mapInArrow(_window_rows(window, seed), _SITE.format("window")), "windows",
+        .mapInArrow(tidy(_window_rows(window, seed)), _SITE.format("window")), "windows",
     )
     lowest = windows.groupBy("anchor", "window").agg(F.min("id").alias("first"), F.max("id").alias("last"))
     lowest = save(lowest.where("first < last").select("anchor", "window", "first"), "lowest")
@@ -195,4 +195,4 @@ def remove_repeats(
         [marked.schema["row"], T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()),
          T.StructField("kept_text", T.StringType())]
     )
-    return marked.mapInArrow(_cut(window, seed, rejoin), schema)
+    return marked.mapInArrow(tidy(_cut(window, seed, rejoin)), schema)

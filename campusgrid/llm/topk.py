@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from campusgrid.llm.grid import cells, dealt, members, padded, ranked, usable, width
-from campusgrid.llm.shelf import prepare, save
+from campusgrid.llm.shelf import prepare, save, tidy
 
 SHARD_ROWS, BLOCK_ROWS, LISTS = 8192, 512, 4
 _FOUND = "query_id bigint, vec_id bigint, score bigint"
@@ -106,10 +106,10 @@ def exact_top_k(
     shards = save(dealt(rows, "shard", SHARD_ROWS, count), "shards")
     shard_count, block_count = max(1, -(-count // SHARD_ROWS)), max(1, -(-asked_count // BLOCK_ROWS))
     blocks = dealt(asked, "block", BLOCK_ROWS, asked_count)
-    sent = cells(shards, blocks, shard_count, block_count).select("shard_members", "block_members").mapInArrow(_cell_rows(k, lists, False), _FOUND)
+    sent = cells(shards, blocks, shard_count, block_count).select("shard_members", "block_members").mapInArrow(tidy(_cell_rows(k, lists, False)), _FOUND)
     # The k-th best of what the cells sent; fewer than k in all mean no cutoff.
     sent = ranked(sent, k, -F.col("score")).where(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("cutoff"))
     asked = asked.join(save(sent, "cutoffs"), "id", "left")
     blocks = dealt(asked, "block", BLOCK_ROWS, asked_count, "cutoff")
-    found = cells(shards, blocks, shard_count, block_count).select("shard_members", "block_members").mapInArrow(_cell_rows(k, lists, True), _FOUND)
+    found = cells(shards, blocks, shard_count, block_count).select("shard_members", "block_members").mapInArrow(tidy(_cell_rows(k, lists, True)), _FOUND)
     return ranked(found, k, -F.col("score"))

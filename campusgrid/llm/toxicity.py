@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from campusgrid.llm.shelf import prepare, save
+from campusgrid.llm.shelf import give_back, prepare, save, tidy
 from campusgrid.llm.words import Words, find_words, mix, small_batches, span_hashes
 
 #: Width of the feature hash, features a model keeps, most labelled rows it is fitted on, and its folds.
@@ -81,22 +81,29 @@ class Linear:
         return self.bias + np.bincount(text, table[feature], minlength=rows) + earlier @ self.chain
 
 
-def fit_linear(lengths: np.ndarray, feature: np.ndarray, earlier: np.ndarray, label: np.ndarray, kept: int = KEPT) -> Linear:
+def fit_linear(
+    parts: Sequence[tuple[np.ndarray, np.ndarray]], earlier: np.ndarray, label: np.ndarray,
+    rank: np.ndarray | None = None, kept: int = KEPT,
+) -> Linear:
     """Ridge logistic regression on log-count ratios.
 
-    ``feature`` has the distinct features of all rows one after the other, ``lengths`` how many each row has; ``label``
-    is 0 or 1. All features are counted piece by piece; only those of the kept ones are spread out."""
-    label, rows = label.astype(np.float64), len(lengths)
+    ``parts`` are the rows in pieces: how many distinct features each row has, and the features of the piece's rows one
+    after the other. ``label`` is 0 or 1; ``earlier`` and ``label`` are in an order of their own if ``rank`` gives the
+    place of each row of the pieces in it. All features are counted piece by piece; only those of the kept ones are
+    spread out."""
+    label, rows = label.astype(np.float64), len(label)
+    rank = np.arange(rows) if rank is None else rank
     size, ones = 1 << HASH_BITS, label.sum()
     if not 0 < ones < rows:
-        odds = float(np.log((ones + 0.5) / (rows - ones + 0.5)))
+        odds = float(np.log((ones + 0.5) / (rows - ones + 0.5))) if rows else -35.0
         return Linear(np.zeros(0, np.int64), np.zeros(0), np.zeros(earlier.shape[1]), odds)
-    positive = np.repeat(label > 0, lengths)
     yes, both = np.zeros(size, dtype=np.int64), np.zeros(size, dtype=np.int64)
-    for at in range(0, len(feature), 1 << 20):
-        part = feature[at : at + (1 << 20)]
-        both += np.bincount(part, minlength=size)
-        yes += np.bincount(part[positive[at : at + (1 << 20)]], minlength=size)
+    at = 0
+    for lengths, feature in parts:
+        positive = np.repeat(label[rank[at : at + len(lengths)]] > 0, lengths)
+        at += len(lengths)
+        both += np.bincount(feature, minlength=size)
+        yes += np.bincount(feature[positive], minlength=size)
     no = both - yes
     p, q = yes / ones, no / (rows - ones)
     spread = np.sqrt(p * (1 - p) / ones + q * (1 - q) / (rows - ones)) + 2 / rows
@@ -105,9 +112,15 @@ def fit_linear(lengths: np.ndarray, feature: np.ndarray, earlier: np.ndarray, la
     ratio = np.log((yes[chosen] + 1) / (ones + 2)) - np.log((no[chosen] + 1) / (rows - ones + 2))
     spot = np.full(size, -1, dtype=np.int32)
     spot[chosen] = np.arange(len(chosen))
-    inside = np.flatnonzero(spot[feature] >= 0)
-    at = spot[feature[inside]]
-    text = np.searchsorted(np.cumsum(lengths), inside, side="right")
+    found, at = [], 0
+    for lengths, feature in parts:
+        inside = np.flatnonzero(spot[feature] >= 0)
+        row = rank[at + np.searchsorted(np.cumsum(lengths), inside, side="right")]
+        found.append(row * kept + spot[feature[inside]])
+        at += len(lengths)
+    # In one order, whatever order the rows came in.
+    found = np.sort(np.concatenate(found))
+    text, at = found // kept, found % kept
     value = ratio[at]
     scale = np.maximum(np.abs(earlier).max(axis=0, initial=0), 1)
     extra = earlier / scale
@@ -141,12 +154,19 @@ def _fit_fold(stage: int):
 
     def run(table: pa.Table) -> pa.Table:
         fit = table.column("fit")[0].as_py()
-        table = table.filter(pc.is_valid(table.column(f"label{stage}"))).sort_by(_ID).combine_chunks()
-        lists = table.column("features").combine_chunks() if table.num_rows else pa.array([], pa.list_(pa.int32()))
+        table = table.filter(pc.is_valid(table.column(f"label{stage}")))
+        # Rows in order of id; their features stay where they are.
+        order = np.argsort(table.column(_ID).to_numpy(), kind="stable")
+        rank = np.empty(len(order), dtype=np.int64)
+        rank[order] = np.arange(len(order))
         earlier = np.array(table.column("earlier").to_pylist(), dtype=np.float64).reshape(table.num_rows, stage)
         label = table.column(f"label{stage}").to_numpy().astype(int)
-        model = fit_linear(lists.value_lengths().to_numpy(), lists.flatten().to_numpy(), earlier, label)
+        lists = table.column("features").chunks
+        parts = [(c.value_lengths().to_numpy(), c.flatten().to_numpy()) for c in lists if len(c)]
+        model = fit_linear(parts, earlier[order], label[order], rank)
         row = {"fold": fit, "feature": model.feature, "weight": model.weight, "chain": model.chain, "bias": model.bias}
+        del table, lists, parts
+        give_back()
         return pa.Table.from_pylist([row], schema=_MODEL_ARROW)
 
     return run
@@ -175,7 +195,7 @@ def training_rows(
     names = [c for c in marks.columns if c != _ID]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, _TEXT, 2 << 20):
+        for batch in small_batches(batches, _TEXT):
             text, feature = _distinct(*_features(find_words(batch.column(_TEXT))))
             places = np.searchsorted(text, np.arange(batch.num_rows + 1))
             lists = pa.ListArray.from_arrays(pa.array(places.astype(np.int32)), pa.array(feature.astype(np.int32)))
@@ -185,7 +205,7 @@ def training_rows(
             )
 
     schema = ", ".join([f"{_ID} bigint", *[f"{n} int" for n in names], "features array<int>", "fold int", "earlier array<double>"])
-    return texts.mapInArrow(run, schema)
+    return texts.mapInArrow(tidy(run), schema)
 
 
 def fit_chain(
@@ -243,7 +263,7 @@ def score_chain(
         used, weights, rest = shared.value
         known = np.full(1 << HASH_BITS, -1, dtype=np.int64)
         known[used] = np.arange(len(used))
-        for batch in small_batches(batches, _TEXT, 2 << 20):
+        for batch in small_batches(batches, _TEXT):
             text, feature = _features(find_words(batch.column(_TEXT)))
             at = known[feature]
             text, feature = _distinct(text[at >= 0], feature[at >= 0])
@@ -259,7 +279,7 @@ def score_chain(
     texts, marks = ["text"] * keep_text, [f"p_{n}" for n in names]
     shown = [T.StructField("text", T.StringType())] * keep_text
     schema = T.StructType([keyed.schema["row"], *shown, *[T.StructField(f"p_{n}", T.DoubleType()) for n in names]])
-    return keyed.mapInArrow(run, schema)
+    return keyed.mapInArrow(tidy(run), schema)
 
 
 def toxicity(

@@ -127,7 +127,7 @@ def string_column(data: np.ndarray, offsets: np.ndarray, kind=pa.string()) -> pa
     return pa.Array.from_buffers(wide, len(offsets) - 1, parts).cast(kind)
 
 
-def small_batches(batches: Iterable[pa.RecordBatch], text: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def small_batches(batches: Iterable[pa.RecordBatch], text: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of at most ``limit`` bytes of text (a longer text makes a batch of its own)."""
     for batch in batches:
         if not batch.num_rows:
