@@ -15,6 +15,7 @@ from .rowwise import (
     category_interaction,
     hash_bucket,
     nan_to_null,
+    number,
     present,
     product_interaction,
     row_mean,
@@ -31,6 +32,7 @@ __all__ = [
     "flag_present",
     "hash_bucket",
     "nan_to_null",
+    "number",
     "ordinal_map",
     "present",
     "product_interaction",

@@ -46,12 +46,19 @@ def product_interaction(a: str | Column, b: str | Column) -> Column:
 
 
 def hash_bucket(key: str | Column, buckets: int = 100) -> Column:
-    """Stable bucket of a key in 0..buckets-1: first 8 hex digits of its md5.
-    Depends on the key only, never on partitioning or run."""
-    head = F.substring(F.md5(as_column(key).cast("string").cast("binary")), 1, 8)
+    """Stable bucket of a key in 0..buckets-1: first 8 hex digits of its md5; a null key has the
+    bucket of the empty text. Depends on the key only, never on partitioning or run."""
+    text = F.coalesce(as_column(key).cast("string"), F.lit(""))
+    head = F.substring(F.md5(text.cast("binary")), 1, 8)
     return F.pmod(F.conv(head, 16, 10).cast("bigint"), F.lit(buckets)).cast("int")
 
 
+def number(c: str | Column) -> Column:
+    """A value as double; NaN counts as missing, like null."""
+    value = as_column(c).cast("double")
+    return F.when(~F.isnan(value), value)
+
+
 def present(df: DataFrame, cols: Sequence[str]) -> Column:
     """Condition that all columns hold a value; NaN counts as missing. Plain null tests, so
     they reach the file scan."""

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import as_column, flag_equals, present, to_integer
+from ..functions import as_column, flag_equals, number, present, to_integer
 from .columns import columns_by_type
 from .quantiles import exact_quantiles
 
@@ -50,17 +50,17 @@ def mean_of_difference(df: DataFrame, a: str, b: str, name: str = "mean_differen
 
 
 def group_means(df: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
-    """Size and mean of every column per group."""
-    return profile(df, key, row_count().alias("size"), *[F.avg(as_column(c)).alias(c) for c in cols])
+    """Size and mean of every column per group; nulls and NaN are skipped."""
+    return profile(df, key, row_count().alias("size"), *[F.avg(number(c)).alias(c) for c in cols])
 
 
 def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """count, mean, std, min, quartiles and max, one row per column.
+    """count, mean, std, min, quartiles and max, one row per column; nulls and NaN are skipped.
 
     Quartiles are exact and interpolated, found by narrowing histograms instead of
     holding all values of a column in one task."""
     cols = list(cols or columns_by_type(df)[0])
-    numbers = df.select(*[as_column(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)])
+    numbers = df.select(*[number(c).alias(f"x{i}") for i, c in enumerate(cols)])
     aggregates = []
     for i in range(len(cols)):
         x = F.col(f"x{i}")

@@ -9,17 +9,14 @@ from operator import add
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import as_column
-from ..session import keep, ship_package
+from ..session import keep
 from .aggregate import group_means
 
 
-_FEW_TASKS = 64
-
-
 @dataclass(frozen=True)
 class KMeansFit:
     k: int
@@ -28,62 +25,97 @@ class KMeansFit:
     inertia: float
 
 
-def _spread_start(points: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
-    """Starting centres: each next one drawn with odds by squared distance to the chosen."""
-    chosen = [points[rng.integers(len(points))]]
-    distance = ((points - chosen[0]) ** 2).sum(axis=1)
-    while len(chosen) < k:
-        total = distance.sum()
-        pick = rng.choice(len(points), p=distance / total) if total > 0 else rng.integers(len(points))
-        chosen.append(points[pick])
-        distance = np.minimum(distance, ((points - points[pick]) ** 2).sum(axis=1))
-    return np.array(chosen)
+def _uniform(place: np.ndarray, start: int, turn: int) -> np.ndarray:
+    """A number in (0, 1] per row, from its hash: the same however the rows are spread."""
+    x = place.view(np.uint64) + np.uint64((start * 1009 + turn + 1) * 0x9E3779B97F4A7C15 % 2**64)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    return ((x ^ (x >> np.uint64(31))) >> np.uint64(11)).astype(np.float64) / 2.0**53 + 2.0**-54
 
 
-def _settle(points: np.ndarray, centers: np.ndarray, max_iter: int = 100) -> np.ndarray:
-    """Move starting centres to rest on the few seed rows, which saves passes over all rows."""
-    for _ in range(max_iter):
+def _draw(points: DataFrame, cols: Sequence[str], chosen: dict[int, np.ndarray], wanted: int, turn: int) -> dict[int, np.ndarray]:
+    """For every start ``wanted`` rows, drawn from all rows with odds by squared distance to the
+    rows chosen so far (equal odds at first), without replacement.
+
+    A row's waiting time is exponential with that rate; the shortest ones are the draw. A task
+    sends its ``wanted`` shortest, so neither the pass nor the merge holds more."""
+    cols = list(cols)
+
+    def shortest(batches):
+        best: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for batch in batches:
+            x, place = batch[cols].to_numpy(dtype=float), batch["_place"].to_numpy()
+            for start, centers in chosen.items():
+                rate = np.ones(len(x))
+                if len(centers):
+                    rate = ((x**2).sum(axis=1)[:, None] - 2.0 * (x @ centers.T) + (centers**2).sum(axis=1)).min(axis=1)
+                    rate = np.where(rate > 1e-12 * (1.0 + (x**2).sum(axis=1)), rate, 0.0)
+                with np.errstate(divide="ignore"):
+                    wait = -np.log(_uniform(place, start, turn)) / rate
+                some = np.flatnonzero(wait < np.inf)
+                old = best.get(start, (np.zeros(0), np.zeros((0, len(cols)))))
+                wait, rows = np.concatenate([old[0], wait[some]]), np.concatenate([old[1], x[some]])
+                order = np.lexsort((*rows.T[::-1], wait))[:wanted]
+                best[start] = wait[order], rows[order]
+        for start, (wait, rows) in best.items():
+            if len(wait):
+                yield pd.DataFrame({"start": start, "wait": wait, "row": list(rows)})
+
+    drawn = points.mapInPandas(shortest, "start int, wait double, row array<double>")
+    first = F.slice(F.array_sort(F.collect_list(F.struct("wait", "row"))), 1, wanted)
+    # Many tasks' rows are thinned out in lanes before one group sees the rest of a start.
+    lanes = drawn.groupBy("start", F.pmod(F.xxhash64("wait"), F.lit(64)).alias("lane")).agg(first.alias("w"))
+    merged = lanes.select("start", F.explode("w").alias("w")).select("start", "w.*").groupBy("start").agg(first.alias("w"))
+    found = {r["start"]: np.array([w["row"] for w in r["w"]], dtype=float) for r in merged.collect()}
+    return {start: found.get(start, np.zeros((0, len(cols)))) for start in chosen}
+
+
+def _reduced(points: np.ndarray, weight: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
+    """k centres of a few weighted rows: drawn apart from each other, then moved to rest."""
+    centers = [points[rng.choice(len(points), p=weight / weight.sum())]]
+    distance = ((points - centers[0]) ** 2).sum(axis=1)
+    while len(centers) < k:
+        odds = weight * distance
+        pick = rng.choice(len(points), p=odds / odds.sum()) if odds.sum() > 0 else rng.integers(len(points))
+        centers.append(points[pick])
+        distance = np.minimum(distance, ((points - points[pick]) ** 2).sum(axis=1))
+    centers = np.array(centers)
+    for _ in range(100):
         nearest = ((centers**2).sum(axis=1) - 2.0 * (points @ centers.T)).argmin(axis=1)
-        member = np.eye(len(centers))[nearest]
+        member = np.eye(k)[nearest] * weight[:, None]
         count = member.sum(axis=0)[:, None]
-        moved = np.where(count > 0, (member.T @ points) / np.maximum(count, 1.0), centers)
+        moved = np.where(count > 0, (member.T @ points) / np.where(count > 0, count, 1.0), centers)
         if np.array_equal(moved, centers):
             break
         centers = moved
     return centers
 
 
-def _seed_points(points: DataFrame, cols: Sequence[str], n: int, wanted: int) -> np.ndarray:
-    """The ``wanted`` rows with the smallest hashes. The hash range is cut first, so that only
-    a few times as many rows are ever sorted, whatever the size of the table."""
-    share = min(1.0, 4 * wanted / n)
-    near = points.where(F.col("_place") <= F.lit(int(-(2**63) + share * (2**64 - 2**12))))
-    first = near.orderBy("_place", *[as_column(c) for c in cols]).limit(wanted)
-    return first.select(*[as_column(c) for c in cols]).toArrow().to_pandas().to_numpy(dtype=float)
-
-
-def _settled_starts(
-    spark: SparkSession, points: np.ndarray, labels: Sequence[tuple[int, int]], seed: int
+def _starting_centers(
+    points: DataFrame, cols: Sequence[str], labels: Sequence[tuple[int, int]], seed: int, rounds: int = 3
 ) -> dict[int, np.ndarray]:
-    """Settled starting centres of every run, the runs spread over the tasks."""
-    ship_package(spark)
-
-    def settle(batches):
-        for batch in batches:
-            for run, k, start in zip(batch["run"], batch["k"], batch["start"]):
-                first = _spread_start(points, int(k), np.random.default_rng([seed, int(k), int(start)]))
-                yield pd.DataFrame({"run": run, "center": list(_settle(points, first))})
-
-    runs = spark.createDataFrame([(i, k, s) for i, (k, s) in enumerate(labels)], "run int, k int, start int")
-    spread = runs.repartition(min(len(labels), spark.sparkContext.defaultParallelism))
-    found = spread.mapInPandas(settle, "run int, center array<double>").toArrow().to_pandas()
-    return {int(run): np.array(part["center"].tolist()) for run, part in found.groupby("run")}
+    """Starting centres of every run, from all rows.
+
+    Each start draws one row, then in a few passes more and more rows far from those it has
+    (twice as many per pass as the largest k), counts the rows nearest to each, and reduces
+    the weighted few to k centres. All starts share the passes, all k of a start the draw."""
+    chosen = {start: np.zeros((0, len(cols))) for _, start in labels}
+    most = max(k for k, _ in labels)
+    for turn in range(rounds + 1):
+        more = _draw(points, cols, chosen, 2 * most if turn else 1, turn)
+        chosen = {start: np.concatenate([old, more[start]]) for start, old in chosen.items()}
+    chosen = {start: np.unique(rows, axis=0) for start, rows in chosen.items()}
+    counted = _pass_over(points, cols, chosen)
+    weight = {int(start): part["p0"].to_numpy() for start, part in counted.groupby("run")}
+    return {
+        run: _reduced(chosen[start], weight[start], k, np.random.default_rng([seed, k, start]))
+        for run, (k, start) in enumerate(labels)
+    }
 
 
-def _pass_over(df: DataFrame, cols: Sequence[str], starts: dict[int, np.ndarray], tasks: int) -> pd.DataFrame:
+def _pass_over(df: DataFrame, cols: Sequence[str], starts: dict[int, np.ndarray]) -> pd.DataFrame:
     """One pass for all open runs: per run and centre the row count, coordinate sums and
-    squared distance. Each task sends one row per centre; those of a few tasks are added up
-    here, those of many by a shuffle, and neither grows with the data."""
+    squared distance. Each task sends one row per centre, and a shuffle adds them up."""
     cols = list(cols)
     runs = list(starts.items())
 
@@ -114,29 +146,10 @@ def _pass_over(df: DataFrame, cols: Sequence[str], starts: dict[int, np.ndarray]
     partials = df.select(*[as_column(c) for c in cols]).mapInPandas(
         partial_sums, ", ".join(["run int", "center int", *[f"{p} double" for p in sums]])
     )
-    if tasks <= _FEW_TASKS:
-        table = partials.toArrow().to_pandas().groupby(["run", "center"], as_index=False).sum()
-    else:
-        table = partials.groupBy("run", "center").agg(*[F.sum(p).alias(p) for p in sums]).toArrow().to_pandas()
+    table = partials.groupBy("run", "center").agg(*[F.sum(p).alias(p) for p in sums]).toArrow().to_pandas()
     return table.sort_values(["run", "center"])
 
 
-def _fit_to_cluster(points: DataFrame) -> tuple[DataFrame, DataFrame, int]:
-    """A cached frame brought to a few tasks per core, with the frame that holds the cache and
-    the number of tasks: partitions are merged without a shuffle when there are far more, and
-    spread out only when a small table leaves cores idle."""
-    cores = points.sparkSession.sparkContext.defaultParallelism
-    parts = points.rdd.getNumPartitions()
-    if parts > 4 * cores:
-        return points.coalesce(4 * cores), points, 4 * cores
-    if parts >= cores:
-        return points, points, parts
-    spread = keep(points.repartition(cores))
-    spread.count()
-    points.unpersist()
-    return spread, spread, cores
-
-
 def fit_kmeans_grid(
     df: DataFrame,
     cols: Sequence[str],
@@ -147,30 +160,28 @@ def fit_kmeans_grid(
     seed: int = 42,
     max_iter: int = 300,
     tol: float = 1e-4,
-    seed_rows: int = 16384,
 ) -> dict[int, KMeansFit]:
     """Best of ``starts`` k-means runs for every k, on complete numeric columns.
 
     All runs of all k move together: an iteration is one pass over the data no matter how
     many runs are open, where separate fits would each read it again. Starting centres
-    come from a fixed number of rows picked by key hash, so results do not depend on
-    partitioning; every row takes part in the iterations themselves. Centres are ordered
-    by their coordinates, which makes the cluster numbers stable."""
+    are drawn from all rows by hashes of the key, so they do not depend on partitioning,
+    and rows far from all others are found however few they are. The rows keep the
+    partitioning they come with. Centres are ordered by their coordinates, which makes
+    the cluster numbers stable."""
     numbers = [as_column(c).cast("double").alias(c) for c in cols]
     place = F.xxhash64(F.lit(seed), as_column(key), *[as_column(c) for c in cols])
-    points = cached = keep(df.select(*numbers, place.alias("_place")))
+    points = keep(df.select(*numbers, place.alias("_place")))
     try:
         n, *spread = points.agg(F.count(F.lit(1)), *[F.var_pop(as_column(c)) for c in cols]).first()
         if not n:
             raise ValueError("no rows to cluster")
-        points, cached, tasks = _fit_to_cluster(points)
-        picked = _seed_points(points, cols, n, seed_rows)
         limit = tol * float(np.mean([v or 0.0 for v in spread]))
         labels = [(k, s) for k in ks for s in range(starts)]
-        centers = _settled_starts(df.sparkSession, picked, labels, seed)
+        centers = _starting_centers(points, cols, labels, seed)
         open_runs = set(centers)
         for _ in range(max_iter):
-            sums = _pass_over(points, cols, {run: centers[run] for run in open_runs}, tasks)
+            sums = _pass_over(points, cols, {run: centers[run] for run in open_runs})
             for run, part in sums.groupby("run"):
                 table = part.filter(regex=r"^p\d").to_numpy()
                 count, total = table[:, :1], table[:, 1:-1]
@@ -180,10 +191,10 @@ def fit_kmeans_grid(
                 centers[run] = moved
             if not open_runs:
                 break
-        final = _pass_over(points, cols, centers, tasks)
+        final = _pass_over(points, cols, centers)
         inertia = final.groupby("run")[f"p{len(cols) + 1}"].sum()
     finally:
-        cached.unpersist()
+        points.unpersist()
     best = {}
     for run, (k, _) in enumerate(labels):
         if k not in best or inertia[run] < best[k][0]:

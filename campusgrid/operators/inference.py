@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 from itertools import combinations
@@ -11,7 +12,7 @@ from pyspark.ml.feature import RFormula
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 
-from ..functions import as_column
+from ..functions import as_column, present
 from ..session import keep
 
 
@@ -21,22 +22,38 @@ class OlsResult:
     fit: DataFrame
 
 
+def _aliases(variables: Sequence[str]) -> list[str]:
+    """Names that a formula can hold, whatever the columns are called."""
+    return [f"v{i}v" for i in range(len(variables))]
+
+
+def _plain_formula(formula: str, variables: Sequence[str]) -> str:
+    """The formula with every variable (quoted with backticks or not) replaced by its alias;
+    of names that overlap the longest one counts."""
+    alias = dict(zip(variables, _aliases(variables)))
+    names = sorted(variables, key=len, reverse=True)
+    word = lambda n: rf"(?<![\w.]){re.escape(n)}(?![\w.])" if re.fullmatch(r"[\w.]+", n) else re.escape(n)
+    pattern = "|".join([*[re.escape(f"`{n}`") for n in names], *map(word, names)])
+    return re.sub(pattern, lambda m: alias[m[0].strip("`")], formula) if names else formula
+
+
 def fit_ols(df: DataFrame, formula: str, variables: Sequence[str]) -> OlsResult:
     """Least squares for an R-style formula (``*``, ``:`` and ``^`` allowed).
 
-    ``variables`` are the columns in the formula; rows with a null in one are dropped. Text
+    ``variables`` are the columns in the formula, under any names (``dist+1``, ``QM DIRECTO``);
+    rows with a null or NaN in one are dropped. Text
     columns become treatment dummies without their first level. Terms: coefficient,
     standard error, t and p. Fit: R2, adjusted R2, F, log-likelihood, AIC and BIC."""
     spark = df.sparkSession
-    data = df.select(*[as_column(v) for v in variables]).dropna()
-    encoder = RFormula(formula=formula, stringIndexerOrderType="alphabetDesc").fit(data)
+    data = df.where(present(df, variables)).select(*[as_column(v).alias(a) for v, a in zip(variables, _aliases(variables))])
+    encoder = RFormula(formula=_plain_formula(formula, variables), stringIndexerOrderType="alphabetDesc").fit(data)
     design = keep(encoder.transform(data).select("features", "label"))
     try:
         model = LinearRegression(solver="normal", regParam=0.0).fit(design)
         summary = model.summary
         groups = design.schema["features"].metadata["ml_attr"]["attrs"].values()
         slots = sorted((a for group in groups for a in group), key=lambda a: a["idx"])
-        names = [a["name"] for a in slots]
+        names = [re.sub(r"(^|:)v(\d+)v", lambda m: m[1] + variables[int(m[2])], a["name"]) for a in slots]
         try:
             errors, t, p = summary.coefficientStandardErrors, summary.tValues, summary.pValues
         except Exception as cause:

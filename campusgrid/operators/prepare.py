@@ -12,7 +12,7 @@ from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCols, HasOutputCols
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import as_column, hash_bucket, present
@@ -124,10 +124,15 @@ def impute_modes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def hash_split(df: DataFrame, key: str, *, test_size: float = 0.2) -> tuple[DataFrame, DataFrame]:
-    """(train, test) by a hash of the key: the same rows in every run and on any cluster."""
-    bucket = hash_bucket(key, 10_000)
-    edge = round(test_size * 10_000)
-    return df.where(bucket >= edge), df.where(bucket < edge)
+    """(train, test) by a hash of the key: the same rows in every run and on any cluster. Every
+    row is on one side; rows without a key share a bucket."""
+    side = split_side(key, test_size=test_size)
+    return df.where(side == "train"), df.where(side == "test")
+
+
+def split_side(key: str, *, test_size: float = 0.2) -> Column:
+    """'test' or 'train' for a row's key."""
+    return F.when(hash_bucket(key, 10_000) < round(test_size * 10_000), "test").otherwise("train")
 
 
 def build_preprocessor(

@@ -7,13 +7,14 @@ from dataclasses import dataclass
 
 from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import abs_error, as_column
+from ..functions import abs_error, as_column, number, present
 from ..session import keep
-from .prepare import build_preprocessor, hash_split, observed_columns
+from .prepare import build_preprocessor, hash_split, observed_columns, split_side
 from .relational import concat_rows
+from .reshape import observed_values
 
 
 @dataclass(frozen=True)
@@ -23,12 +24,14 @@ class RegressionRun:
     train: DataFrame
     test: DataFrame
     metrics: DataFrame
+    rows: DataFrame
+    segment: Column
 
 
 def regression_metrics(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     """R2 and mean absolute error in one pass."""
     y, p = as_column(actual), as_column(predicted)
-    pairs = df.select(y.cast("double").alias("y"), p.cast("double").alias("p")).dropna()
+    pairs = df.where(y.isNotNull()).select(number(y).alias("y"), number(p).alias("p")).where("y is not null and p is not null")
     sums = pairs.agg(
         F.sum((F.col("y") - F.col("p")) * (F.col("y") - F.col("p"))).alias("res"),
         (F.var_pop("y") * F.count("y")).alias("tot"),
@@ -55,7 +58,7 @@ def fit_regression(
 
     Any pyspark.ml regressor fits the slot; the default is plain least squares, solved
     from one pass of moments. Columns without a single training value are left out."""
-    labelled = df.where(as_column(target).isNotNull()).withColumn(target, as_column(target).cast("double"))
+    labelled = df.where(present(df, [target])).withColumn(target, as_column(target).cast("double"))
     train, test = hash_split(labelled, key, test_size=test_size)
     regressor = (model or LinearRegression(regParam=0.0)).copy()
     regressor = regressor.setFeaturesCol("features").setLabelCol(target).setPredictionCol("prediction")
@@ -63,13 +66,16 @@ def fit_regression(
     rows = keep(train.select(*[as_column(c) for c in (*num_cols, *cat_cols)], as_column(target)))
     try:
         usable = set(observed_columns(rows, [*num_cols, *cat_cols]))
+        # One-hot slots are held on the driver; too many values of a category are an error.
+        observed_values(rows, [c for c in cat_cols if c in usable])
         chain = build_preprocessor([c for c in num_cols if c in usable], [c for c in cat_cols if c in usable])
         prepared = chain.fit(rows)
         fitted = regressor.fit(prepared.transform(rows).select("features", target))
     finally:
         rows.unpersist()
     whole = PipelineModel(stages=[*prepared.stages, fitted])
-    return RegressionRun(whole, target, train, test, regression_metrics(predict(whole, test), target, "prediction"))
+    metrics = regression_metrics(predict(whole, test), target, "prediction")
+    return RegressionRun(whole, target, train, test, metrics, labelled, split_side(key, test_size=test_size))
 
 
 def predict(model: PipelineModel, df: DataFrame, *, name: str = "prediction") -> DataFrame:
@@ -130,10 +136,14 @@ def scored_report(
 
 
 def run_report(run: RegressionRun, *, key: str) -> DataFrame:
-    return scored_report(
-        [("train", predict(run.model, run.train)), ("test", predict(run.model, run.test))],
-        key=key,
-        actual=run.target,
+    """Both sides of the split, read and scored in one pass."""
+    scored = predict(run.model, run.rows).withColumn("segment", run.segment)
+    return scored.select(
+        as_column(key),
+        "segment",
+        as_column(run.target).alias("actual"),
+        "prediction",
+        abs_error(run.target, "prediction").alias("abs_error"),
     )
 
 

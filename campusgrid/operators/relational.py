@@ -79,14 +79,18 @@ def left_join(
     return left.join(renamed, reduce(lambda a, b: a & b, tests), "left").drop(*keys)
 
 
-def star_join(base: DataFrame, dims: Sequence[DataFrame], key: str) -> DataFrame:
-    """base left-joined to every dimension on one key; each dimension has one row per key.
+def star_join(base: DataFrame, dims: Sequence[DataFrame], key: str, *, check: bool = False) -> DataFrame:
+    """base left-joined to every dimension on one key; each dimension has one row per key, which
+    ``check`` makes sure of (one job for each).
 
     The dimensions are merged first (unique keys, so no fan-out and no skew) and the big
     side then takes part in a single join, which adaptive execution can split at hot keys.
     In a chain of joins on one key it could not."""
     if not dims:
         return base
+    if check:
+        for dim in dims:
+            require_unique(dim, key)
     merged = reduce(lambda a, b: a.join(b, key, "full"), [d.where(as_column(key).isNotNull()) for d in dims])
     return base.join(merged, key, "left").select(
         *[as_column(c) for c in base.columns],

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import as_column
+from ..functions import as_column, number
 from .aggregate import profile, row_count
 from .clustering import KMeansFit, assign_clusters
 from .projection import Projection, project
@@ -20,10 +20,11 @@ from .relational import top_k
 
 def histogram(df: DataFrame, c: str, *, bins: int | None = None) -> DataFrame:
     """Equal-width bins from minimum to maximum (the last one closed), empty bins included.
+    Nulls and NaN are in no bin.
 
     Without ``bins`` the width follows the interquartile rule (2 IQR n^-1/3), not below half
     the square-root rule (range / sqrt n) and not above the logarithmic one (range / (log2 n + 1))."""
-    x = as_column(c).cast("double")
+    x = number(c)
     n, low, high = df.agg(F.count(x), F.min(x), F.max(x)).first()
     spark = df.sparkSession
     if not n:
@@ -51,7 +52,7 @@ def kernel_density(df: DataFrame, c: str, *, points: int = 200) -> DataFrame:
     """Gaussian density on an even grid from minimum to maximum, bandwidth std * n^(-1/5).
 
     A task adds up its rows on the whole grid and sends one sum per grid point."""
-    x = as_column(c).cast("double")
+    x = number(c)
     n, low, high, std = df.agg(F.count(x), F.min(x), F.max(x), F.stddev_samp(x)).first()
     spark = df.sparkSession
     if not n or not std:
@@ -69,7 +70,7 @@ def kernel_density(df: DataFrame, c: str, *, points: int = 200) -> DataFrame:
                 total += np.exp(-0.5 * gap * gap).sum(axis=0)
         yield pd.DataFrame({"x": grid, "density": total * weight})
 
-    present = df.select(x.alias("x")).where("x is not null").coalesce(16 * spark.sparkContext.defaultParallelism)
+    present = df.select(x.alias("x")).where("x is not null")
     partials = present.mapInPandas(partial_sums, "x double, density double")
     return partials.groupBy("x").agg(F.sum("density").alias("density"))
 

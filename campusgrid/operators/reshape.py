@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import as_column
+from ..functions import as_column, present
 from .aggregate import profile
 
 
@@ -15,6 +15,8 @@ def observed_values(df: DataFrame, cols: Sequence[str]) -> dict[str, list[str]]:
     """Sorted distinct non-null values of category columns, found in one job.
 
     They become column names, so more of them than Spark's own pivot limit is an error."""
+    if not cols:
+        return {}
     limit = int(df.sparkSession.conf.get("spark.sql.pivotMaxValues"))
     long = df.select(
         F.inline(
@@ -47,21 +49,14 @@ def count_pivot(
     values found, in order."""
     column = F.nullif(as_column(c), F.lit("")) if blank_as_null else as_column(c)
     keys = [key] if isinstance(key, str) else list(key)
-    # Counting per (key, value) first keeps map-side combining and spreads a hot key.
-    counted = (
-        df.select(*[as_column(k) for k in keys], column.cast("string").alias("_value"))
-        .dropna()
-        .groupBy(*[as_column(k) for k in keys], "_value")
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
     if values is None:
         values = observed_values(df.select(column.alias("v")), ["v"])["v"]
-    return counted.groupBy(*[as_column(k) for k in keys]).agg(
-        *[
-            F.coalesce(F.sum(F.when(F.col("_value") == v, F.col("_n"))), F.lit(0)).cast("bigint").alias(prefix + v)
-            for v in values
-        ]
-    )
+    text = column.cast("string")
+    # Conditional counts combine on the map side, so one shuffle by key does, hot keys included.
+    rows = df.where(as_column(c).isNotNull() & text.isNotNull())
+    if not values:
+        return rows.where(present(rows, keys)).select(*[as_column(k) for k in keys]).distinct()
+    return profile(rows, keys, *[F.count_if(text == F.lit(v)).alias(prefix + v) for v in values])
 
 
 def mean_or_zero(c: str | Column, value: str, measure: str | Column) -> Column:

@@ -15,19 +15,27 @@ from .prepare import MedianImputer, ZScaler
 from .reshape import dummies, observed_values
 
 
-def moments(df: DataFrame, cols: Sequence[str], *, group: str | None = None) -> dict[int, np.ndarray]:
+def moments(
+    df: DataFrame, cols: Sequence[str], *, group: str | None = None, max_width: int = 2000
+) -> dict[int, np.ndarray]:
     """Cross-product matrix of [1, cols...] per group, from one pass.
 
     A task adds up its own matrix and sends one packed upper triangle per group, so what
-    is shuffled depends on the number of columns, not of rows."""
+    is shuffled depends on the number of columns, not of rows. More columns than
+    ``max_width`` are an error, as every task holds the square of their number. Rows with a
+    null group belong to none."""
     cols = list(cols)
     size = len(cols) + 1
+    if len(cols) > max_width:
+        raise ValueError(f"{len(cols)} columns exceed max_width={max_width}")
     upper = np.triu_indices(size)
     ready = df.select(
         (as_column(group) if group else F.lit(0)).cast("int").alias("_g"),
         *[as_column(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)],
     )
 
+    ready = ready.where("_g is not null")
+
     def partial_products(batches):
         totals = {}
         for batch in batches:
@@ -39,10 +47,8 @@ def moments(df: DataFrame, cols: Sequence[str], *, group: str | None = None) ->
         for g, total in totals.items():
             yield pd.DataFrame({"g": int(g), "spot": np.arange(len(upper[0])), "v": total[upper]})
 
-    # Far more splits than cores are read in longer tasks, so that fewer matrices are shuffled.
     rows = (
-        ready.coalesce(16 * df.sparkSession.sparkContext.defaultParallelism)
-        .mapInPandas(partial_products, "g int, spot int, v double")
+        ready.mapInPandas(partial_products, "g int, spot int, v double")
         .groupBy("g", "spot")
         .agg(F.sum("v").alias("v"))
         .toArrow()
@@ -101,12 +107,18 @@ def lasso_cv(
 
     Every fold and penalty is solved from the per-fold moments of a single data pass; the
     held-out error also follows from the moments. Folds are hash buckets of the key. Nulls
-    are filled with medians. One row per feature with its coefficient and whether it stays."""
-    used = df.where(as_column(target).isNotNull()).select(
+    are filled with medians; a text feature becomes dummies without its first level. One row
+    per (dummy) feature with its coefficient and whether it stays."""
+    used = df.where(present(df, [target])).select(
         hash_bucket(key, folds).alias("_fold"),
-        as_column(target),
-        *[as_column(f).cast("double").alias(f) for f in features],
+        as_column(target).cast("double").alias(target),
+        *[as_column(f) if dict(df.dtypes)[f] == "string" else as_column(f).cast("double").alias(f) for f in features],
     )
+    texts = [f for f in features if dict(df.dtypes)[f] == "string"]
+    if texts:
+        levels = observed_values(used, texts)
+        used = dummies(used, texts, values=levels)
+        features = [s for f in features for s in ([f"{f}_{v}" for v in levels[f][1:]] if f in texts else [f])]
     used = keep(used)
     try:
         filled = MedianImputer(inputCols=list(features)).fit(used).transform(used)

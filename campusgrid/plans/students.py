@@ -11,6 +11,7 @@ from ..functions import as_column
 from ..operators.aggregate import describe_numeric, first_value, profile
 from ..operators.relational import value_counts
 from ..operators.reports import histogram, kernel_density, series_by_group, top_groups
+from ..session import keep
 
 
 def student_summary(evaluations: DataFrame, *, order: str) -> DataFrame:
@@ -28,27 +29,34 @@ def student_summary(evaluations: DataFrame, *, order: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class StudentReports:
+    """Report tables of a kept summary, each made when asked for."""
+
     summary: DataFrame
-    description: DataFrame
-    histogram: DataFrame
-    density: DataFrame
-    best: DataFrame
-    by_grade: DataFrame
+
+    def description(self) -> DataFrame:
+        return describe_numeric(self.summary, ["n_estudiantes", "porcentaje_promedio", "suma_puntaje"])
+
+    def histogram(self) -> DataFrame:
+        return histogram(self.summary, "porcentaje_promedio")
+
+    def density(self) -> DataFrame:
+        return kernel_density(self.summary, "porcentaje_promedio")
+
+    def best(self) -> DataFrame:
+        return top_groups(
+            self.summary, "porcentaje_promedio", size="n_estudiantes", ties=["nom_ie", "grado", "Programa"]
+        )
+
+    def by_grade(self) -> DataFrame:
+        return series_by_group(self.summary, "nom_ie", "grado", size="n_estudiantes", mean="porcentaje_promedio")
+
+    def release(self) -> None:
+        self.summary.unpersist()
 
 
 def student_reports(evaluations: DataFrame, *, order: str) -> StudentReports:
-    """All report tables of the summary. Cache ``evaluations`` first if it is costly to read."""
-    summary = student_summary(evaluations, order=order)
-    return StudentReports(
-        summary=summary,
-        description=describe_numeric(summary, ["n_estudiantes", "porcentaje_promedio", "suma_puntaje"]),
-        histogram=histogram(summary, "porcentaje_promedio"),
-        density=kernel_density(summary, "porcentaje_promedio"),
-        best=top_groups(
-            summary, "porcentaje_promedio", size="n_estudiantes", ties=["nom_ie", "grado", "Programa"]
-        ),
-        by_grade=series_by_group(summary, "nom_ie", "grado", size="n_estudiantes", mean="porcentaje_promedio"),
-    )
+    """Reports of the summary, which is worked out once and kept until ``release``."""
+    return StudentReports(keep(student_summary(evaluations, order=order)))
 
 
 def programme_schools(history: DataFrame, programme: str = "QM", label: str = "SI") -> DataFrame:

@@ -37,13 +37,14 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, **conf:
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``, which every executor can reach.
 
-    A local session without the setting gets a temporary folder of its own; on a
-    cluster the setting is required, as a machine-local folder would be lost with
-    its machine."""
+    A session in one process without the setting gets a temporary folder of its own; on a
+    cluster (a local one of several processes too) the setting is required, as a
+    machine-local folder would be lost with its machine."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     fallback = tempfile.mkdtemp(prefix="campusgrid-")
     spark.conf.set("spark.checkpoint.dir", fallback)

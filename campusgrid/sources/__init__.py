@@ -1,17 +1,15 @@
 """File sources and sinks."""
 
-from .archive import choose_members, list_members
-from .dbf import read_dbf
+from .dbf import dbf_headers, read_dbf
 from .delimited import file_encodings, file_headers, read_csv, read_delimited
 from .load import load_any, recognise
 from .sinks import write_csv, write_parquet
 from .xlsx import read_xlsx
 
 __all__ = [
-    "choose_members",
+    "dbf_headers",
     "file_encodings",
     "file_headers",
-    "list_members",
     "load_any",
     "read_csv",
     "read_dbf",

@@ -1,60 +1,27 @@
-"""Zip archives: member listing, choice by extension, and scans of the chosen member."""
+"""Zip archives: scans of one member of each archive."""
 
 from __future__ import annotations
 
 import codecs
 import io
+import json
 import zipfile
 
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
-from pyspark.sql.window import Window
 
+from ..operators.relational import concat_rows
 from ..session import ship_package
 from .dbf import decode_records, read_header, spark_schema
-from .files import blank_to_null, conform_to, list_files, open_input
+from .files import blank_to_null, conform_to, open_input
 from .xlsx import sheet_frames, sheet_rows
 
 # Which member of an archive is the table, best first.
 MEMBER_PRIORITY = ("dbf", "xlsx", "xls", "csv")
 
 
-def list_members(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """(path, member, position, size, extension) of every archive member. Tasks read the
-    archive directories only."""
-    ship_package(spark)
-
-    def members(batches):
-        for batch in batches:
-            for name in batch["path"]:
-                with open_input(name) as stream, zipfile.ZipFile(stream) as box:
-                    rows = [
-                        (name, info.filename, at, info.file_size, info.filename.rsplit(".", 1)[-1].lower())
-                        for at, info in enumerate(box.infolist())
-                    ]
-                yield pd.DataFrame(rows, columns=["path", "member", "position", "size", "extension"])
-
-    return list_files(spark, path).mapInPandas(
-        members, "path string, member string, position int, size bigint, extension string"
-    )
-
-
-def choose_members(members: DataFrame) -> DataFrame:
-    """The member to load from each archive: by extension priority, then archive order."""
-    rank = F.array_position(F.array(*[F.lit(e) for e in MEMBER_PRIORITY]), F.col("extension"))
-    best = Window.partitionBy("path").orderBy("_rank", "position")
-    return (
-        members.withColumn("_rank", rank)
-        .where("_rank > 0")
-        .withColumn("_n", F.row_number().over(best))
-        .where("_n = 1")
-        .select("path", "member", "extension")
-    )
-
-
 def text_encoding(stream) -> str:
     """utf-8 if the whole stream is valid, else latin-1. Reads in blocks."""
     decoder = codecs.getincrementaldecoder("utf-8")()
@@ -104,6 +71,19 @@ def member_schema(path: str, member: str) -> StructType:
     return StructType([StructField(n, StringType()) for n in names])
 
 
+def member_schemas(spark: SparkSession, chosen: list[tuple[str, str]]) -> DataFrame:
+    """(path, member, fields) of the chosen members; ``fields`` is their schema as JSON. Headers are read in tasks."""
+    ship_package(spark)
+
+    def headers(batches):
+        for batch in batches:
+            found = [(p, m, member_schema(p, m).json()) for p, m in zip(batch["path"], batch["member"])]
+            yield pd.DataFrame(found, columns=["path", "member", "fields"])
+
+    names = spark.createDataFrame(chosen, "path string, member string").repartition(len(chosen), "path")
+    return names.mapInPandas(headers, "path string, member string, fields string")
+
+
 def read_members(
     spark: SparkSession,
     chosen: list[tuple[str, str]],
@@ -111,12 +91,26 @@ def read_members(
     schema: StructType | None = None,
     order_col: str | None = None,
 ) -> DataFrame:
-    """Scan one member of each archive; all members must have the same kind."""
-    ship_package(spark)
-    kind = chosen[0][1].rsplit(".", 1)[-1].lower()
-    if kind == "xls":
+    """Scan one member of each archive; all members must have the same kind. Members with
+    different headers are combined by column name."""
+    if any(member.lower().endswith(".xls") for _, member in chosen):
         raise ValueError("legacy .xls workbooks are not supported; save them as .xlsx")
-    found = member_schema(*chosen[0])
+    groups: dict[str, list[tuple[str, str]]] = {}
+    for row in member_schemas(spark, chosen).orderBy("path", "member").toLocalIterator():
+        groups.setdefault(row.fields, []).append((row.path, row.member))
+    return concat_rows(
+        [_read_group(spark, files, StructType.fromJson(json.loads(fields)), schema, order_col) for fields, files in groups.items()]
+    )
+
+
+def _read_group(
+    spark: SparkSession,
+    chosen: list[tuple[str, str]],
+    found: StructType,
+    schema: StructType | None,
+    order_col: str | None,
+) -> DataFrame:
+    kind = chosen[0][1].rsplit(".", 1)[-1].lower()
     columns = [f.name for f in (schema or found)]
     raw = StructType([found[c] for c in columns] + [StructField("_row", LongType())])
 
@@ -142,7 +136,7 @@ def read_members(
                         yield pa.RecordBatch.from_pandas(frame, schema=texts, preserve_index=False)
 
     # One task per archive: a deflated member can only be read from its start.
-    names = spark.createDataFrame(chosen, "path string, member string").repartition(min(len(chosen), 10_000), "path")
+    names = spark.createDataFrame(chosen, "path string, member string").repartition(len(chosen), "path")
     table = names.mapInArrow(parse, raw)
     if kind != "dbf":
         table = blank_to_null(table)

@@ -9,6 +9,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +25,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
+from ..operators.relational import concat_rows
 from ..session import ship_package
 from .files import list_files, open_input
 
@@ -168,16 +170,15 @@ class _DbfReader(DataSourceReader):
         self.encoding = options.get("encoding", "latin-1")
         self.order_col = options.get("ordercolumn")
         self.step = int(options.get("recordspertask", 250_000))
+        self.records = json.loads(options["records"])
+        self.numbers = json.loads(options["numbers"])
 
     def partitions(self):
-        ranges = []
-        for number, path in enumerate(self.paths):
-            with open_input(path) as stream:
-                records = read_header(stream, self.encoding).records
-            ranges += [
-                _RecordRange(path, number, first, min(self.step, records - first))
-                for first in range(0, records, self.step)
-            ]
+        ranges = [
+            _RecordRange(path, number, first, min(self.step, records - first))
+            for path, number, records in zip(self.paths, self.numbers, self.records)
+            for first in range(0, records, self.step)
+        ]
         return ranges or [_RecordRange(self.paths[0], 0, 0, 0)]
 
     def read(self, part):
@@ -224,15 +225,51 @@ def read_dbf(
     order_col: str | None = None,
     records_per_task: int = 250_000,
 ) -> DataFrame:
-    """Scan dBASE tables. ``columns`` decodes only these; ``order_col`` adds the load order."""
+    """Scan dBASE tables. ``columns`` decodes only these; ``order_col`` adds the load order.
+    Tables with different fields are combined by column name."""
     ship_package(spark)
     spark.dataSource.register(DbfDataSource)
-    paths = [row.path for row in list_files(spark, path).orderBy("path").toLocalIterator()]
-    if not paths:
+    groups: dict[str, list[tuple[str, int, int]]] = {}
+    for number, row in enumerate(dbf_headers(spark, path, encoding).orderBy("path").toLocalIterator()):
+        groups.setdefault("" if columns else row.fields, []).append((row.path, row.records, number))
+    if not groups:
         raise FileNotFoundError(f"no files at {path}")
-    options = {"paths": json.dumps(paths), "encoding": encoding, "recordsPerTask": str(records_per_task)}
-    if columns:
-        options["columns"] = json.dumps(columns)
-    if order_col:
-        options["orderColumn"] = order_col
-    return spark.read.format("dbf").options(**options).load()
+    frames = []
+    for files in groups.values():
+        paths, records, numbers = map(list, zip(*files))
+        options = {"paths": json.dumps(paths), "encoding": encoding, "recordsPerTask": str(records_per_task),
+                   "records": json.dumps(records), "numbers": json.dumps(numbers)}
+        if columns:
+            options["columns"] = json.dumps(columns)
+        if order_col:
+            options["orderColumn"] = order_col
+        frames.append(spark.read.format("dbf").options(**options).load())
+    return concat_rows(frames)
+
+
+def dbf_headers(spark: SparkSession, path: str | list[str], encoding: str = "latin-1") -> DataFrame:
+    """(path, records, fields) of every table, read in tasks; ``fields`` are names and types as text."""
+
+    def headers(batches):
+        for batch in batches:
+            rows = []
+            for name in batch["path"]:
+                with open_input(name) as stream:
+                    header = read_header(stream, encoding)
+                fields = json.dumps([(f.name, f.kind, f.decimals > 0) for f in header.fields])
+                rows.append((name, header.records, fields))
+            yield pd.DataFrame(rows, columns=["path", "records", "fields"])
+
+    return list_files(spark, path).mapInPandas(headers, "path string, records bigint, fields string")
+
+
+# First bytes of the dBASE versions.
+_VERSIONS = {0x02, 0x03, 0x04, 0x05, 0x30, 0x31, 0x32, 0x43, 0x63, 0x83, 0x8B, 0xCB, 0xF5, 0xFB}
+
+
+def is_dbf(lead: bytes, length: int) -> bool:
+    """Whether a file's first 32 bytes and its length are those of a dBASE table."""
+    if len(lead) < 32 or lead[0] not in _VERSIONS:
+        return False
+    records, header_size, record_size = struct.unpack("<IHH", lead[4:12])
+    return header_size > 32 and record_size > 0 and header_size + records * record_size <= length

@@ -26,13 +26,21 @@ def load_order() -> Column:
 
 
 def file_encodings(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """(path, encoding): UTF-8 when every line of the file is valid, else ISO-8859-1.
-    A line-wise scan, so files are split over tasks and any size will do."""
+    """(path, encoding, multi_line): UTF-8 when every line of the file is valid, else
+    ISO-8859-1; multi_line when a line holds an odd number of quotes, as one does whose last
+    value goes on in the next line. A line-wise scan, so files are split over tasks and any
+    size will do. Paths are written as file listings write them."""
+    # Metadata paths are escaped for URIs, where a plus sign stands for itself.
+    path_text = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
     return (
         spark.read.text(path)
-        .select(F.col("_metadata.file_path").alias("path"), F.is_valid_utf8("value").alias("ok"))
+        .select(path_text.alias("path"), F.is_valid_utf8("value").alias("ok"), (quotes % 2 == 1).alias("odd"))
         .groupBy("path")
-        .agg(F.when(F.bool_and("ok"), "UTF-8").otherwise("ISO-8859-1").alias("encoding"))
+        .agg(
+            F.when(F.bool_and("ok"), "UTF-8").otherwise("ISO-8859-1").alias("encoding"),
+            F.bool_or("odd").alias("multi_line"),
+        )
     )
 
 
@@ -106,17 +114,21 @@ def read_delimited(
     path: str | list[str],
     *,
     schema: StructType | None = None,
-    multi_line: bool = False,
+    multi_line: bool | None = None,
     order_col: str | None = None,
 ) -> DataFrame:
     """Scan text files whose encoding and delimiter are found per file; files that agree on
-    encoding, delimiter and header share one scan."""
+    encoding, delimiter and header share one scan. Files with line breaks in quotes are found
+    and read one per task, the others are split; ``multi_line`` decides for all files."""
     headers = file_headers(spark, path).join(file_encodings(spark, path), "path", "left")
     groups: dict[tuple, list[str]] = {}
     for row in headers.orderBy("path").toLocalIterator():
         if not row.names:
             continue
-        groups.setdefault((row.encoding or "UTF-8", row.separator, tuple(row.names)), []).append(row.path)
+        if row.encoding is None:
+            raise ValueError(f"{row.path}: the file was listed but its lines were not found")
+        whole = row.multi_line if multi_line is None else multi_line
+        groups.setdefault((row.encoding, row.separator, tuple(row.names), whole), []).append(row.path)
     if not groups:
         raise FileNotFoundError(f"no text with a header at {path}")
     return concat_rows(
@@ -128,9 +140,9 @@ def read_delimited(
                 schema=schema,
                 encoding=encoding,
                 separator=separator,
-                multi_line=multi_line,
+                multi_line=whole,
                 order_col=order_col,
             )
-            for (encoding, separator, names), paths in groups.items()
+            for (encoding, separator, names, whole), paths in groups.items()
         ]
     )

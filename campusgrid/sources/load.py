@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 from ..operators.relational import concat_rows
 from ..session import ship_package
 from .archive import MEMBER_PRIORITY, read_members
-from .dbf import read_dbf
+from .dbf import is_dbf, read_dbf
 from .delimited import read_delimited
 from .files import conform_to, list_files, open_input
 from .xlsx import read_xlsx
@@ -28,8 +28,8 @@ def recognise(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
     def look(name: str) -> tuple[str, str | None, str | None]:
         with open_input(name) as stream:
-            lead = stream.read(8)
-            if lead == _OLE_MAGIC:
+            lead = stream.read(32)
+            if lead[:8] == _OLE_MAGIC:
                 return "xls", None, None
             if lead[:4] in _ZIP_MAGIC:
                 with zipfile.ZipFile(stream) as box:
@@ -41,7 +41,8 @@ def recognise(spark: SparkSession, path: str | list[str]) -> DataFrame:
                     if hits:
                         return f"zip-{extension}", hits[0], None
                 return "zip-none", None, ", ".join(members)
-        return ("dbf" if name.lower().endswith(".dbf") else "text"), None, None
+            length = stream.seek(0, 2)
+        return ("dbf" if is_dbf(lead, length) else "text"), None, None
 
     def kinds(batches):
         for batch in batches:

@@ -4,14 +4,17 @@ from __future__ import annotations
 
 import io
 import posixpath
+import re
 import zipfile
 from collections.abc import Iterator
+from datetime import datetime, timedelta
 from xml.etree import ElementTree
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from ..operators.relational import concat_rows
 from ..session import ship_package
 from .files import blank_to_null, conform_to, list_files, open_input
 
@@ -66,20 +69,58 @@ def _column_number(reference: str) -> int:
     return number - 1
 
 
-def _cell_value(cell, strings: list[str]) -> str | None:
+# Numbers of the built-in date and time formats, and the first days of the two calendars.
+_DATE_FORMATS = {*range(14, 23), *range(45, 48)}
+_DAY_ZERO = {False: datetime(1899, 12, 30), True: datetime(1904, 1, 1)}
+
+
+def _date_styles(book: zipfile.ZipFile) -> set[int]:
+    """Numbers of the cell styles that show a number as a date or time."""
+    if "xl/styles.xml" not in book.namelist():
+        return set()
+    root = ElementTree.fromstring(book.read("xl/styles.xml"))
+    custom = set()
+    for e in root.iter():
+        if _local(e.tag) == "numFmt":
+            code = re.sub(r'"[^"]*"|\\.|\[[^\]]*\]', "", e.attrib.get("formatCode", "")).lower()
+            if re.search(r"[ymdhs]", code) and "general" not in code:
+                custom.add(int(e.attrib["numFmtId"]))
+    cells = next((e for e in root if _local(e.tag) == "cellXfs"), ())
+    return {i for i, e in enumerate(cells) if int(e.attrib.get("numFmtId", 0)) in _DATE_FORMATS | custom}
+
+
+def _day_zero(book: zipfile.ZipFile) -> datetime:
+    settings = (e for e in ElementTree.fromstring(book.read("xl/workbook.xml")).iter() if _local(e.tag) == "workbookPr")
+    return _DAY_ZERO[next((e.attrib.get("date1904") in ("1", "true") for e in settings), False)]
+
+
+def _date_text(raw: str, zero: datetime) -> str:
+    """A serial number as a date, or as a time stamp if it has a part of a day."""
+    moment = zero + timedelta(seconds=round(float(raw) * 86400))
+    return moment.date().isoformat() if float(raw) == int(float(raw)) else moment.isoformat(sep=" ")
+
+
+def _cell_value(cell, strings: list[str], dates: set[int], zero: datetime) -> str | None:
     kind = cell.attrib.get("t", "n")
     if kind == "inlineStr":
         return next((_plain_text(e) for e in cell if _local(e.tag) == "is"), None)
     raw = next((e.text for e in cell if _local(e.tag) == "v"), None)
     if raw is None or kind == "e":
         return None
+    if kind == "b":
+        return "true" if raw == "1" else "false"
+    if kind == "n" and int(cell.attrib.get("s", 0)) in dates:
+        return _date_text(raw, zero)
     return strings[int(raw)] if kind == "s" else raw
 
 
 def sheet_rows(stream) -> Iterator[dict[int, str]]:
-    """Rows of the first sheet as {column number: text}; rows without cells are skipped."""
+    """Rows of the first sheet as {column number: text}; rows without cells are skipped. Truth
+    values are written as true and false, dates and times in ISO form."""
     with zipfile.ZipFile(stream) as book:
         strings = _shared_strings(book)
+        dates = _date_styles(book)
+        zero = _day_zero(book)
         with book.open(_first_sheet(book)) as sheet:
             for _, element in ElementTree.iterparse(sheet):
                 if _local(element.tag) != "row":
@@ -87,7 +128,7 @@ def sheet_rows(stream) -> Iterator[dict[int, str]]:
                 row = {}
                 for place, cell in enumerate(element):
                     at = _column_number(cell.attrib["r"]) if "r" in cell.attrib else place
-                    value = _cell_value(cell, strings)
+                    value = _cell_value(cell, strings, dates, zero)
                     if value is not None:
                         row[at] = value
                 element.clear()
@@ -132,16 +173,33 @@ def read_xlsx(
     order_col: str | None = None,
 ) -> DataFrame:
     """Scan workbooks. Columns are text unless a schema (by header name) is given; missing-value
-    texts become null."""
+    texts become null. Workbooks with different headers are combined by column name."""
     ship_package(spark)
-    files = list_files(spark, path).orderBy("path")
     if schema is not None:
-        columns = [f.name for f in schema]
-    else:
-        first = files.first()
-        if first is None:
-            raise FileNotFoundError(f"no files at {path}")
-        columns = sheet_header(first.path)
+        return _read_sheets(spark, path, [f.name for f in schema], schema, order_col)
+    groups: dict[tuple, list[str]] = {}
+    for row in sheet_headers(spark, path).orderBy("path").toLocalIterator():
+        groups.setdefault(tuple(row.names), []).append(row.path)
+    if not groups:
+        raise FileNotFoundError(f"no files at {path}")
+    return concat_rows([_read_sheets(spark, paths, list(names), None, order_col) for names, paths in groups.items()])
+
+
+def sheet_headers(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(path, names) of every workbook, read in tasks."""
+
+    def headers(batches):
+        for batch in batches:
+            yield pd.DataFrame([(name, sheet_header(name)) for name in batch["path"]], columns=["path", "names"])
+
+    return list_files(spark, path).mapInPandas(headers, "path string, names array<string>")
+
+
+def _read_sheets(
+    spark: SparkSession, path: str | list[str], columns: list[str], schema: StructType | None, order_col: str | None
+) -> DataFrame:
+    """Workbooks that all have the columns."""
+    files = list_files(spark, path)
     raw = StructType([StructField(c, StringType()) for c in columns] + [StructField("_row", LongType())])
 
     def parse(batches):
@@ -151,6 +209,6 @@ def read_xlsx(
                     yield from sheet_frames(io.BytesIO(stream.read()), columns)
 
     # One task per workbook: only paths are moved, never contents.
-    spread = files.repartition(max(1, min(files.count(), 10_000)), "path")
+    spread = files.repartition(max(1, files.count()), "path")
     table = conform_to(blank_to_null(spread.mapInPandas(parse, raw)), schema, ("_row",))
     return table.withColumnRenamed("_row", order_col) if order_col else table.drop("_row")

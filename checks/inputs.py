@@ -8,11 +8,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from campusgrid.session import work_path
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def settled(df: DataFrame, release) -> DataFrame:
+    """The rows, written to the shared folder and read back, with the frames they came from let go."""
+    path = work_path(df.sparkSession, "result")
+    df.write.parquet(path)
+    release()
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def rounded(c: str | Column, digits: int = 6) -> Column:
     column = F.col(c) if isinstance(c, str) else c
     return F.round(column, digits)

@@ -11,7 +11,7 @@ from campusgrid.operators.prepare import build_preprocessor, hash_split, impute_
 from campusgrid.operators.relational import left_join
 from campusgrid.session import keep
 
-from .inputs import rounded, table
+from .inputs import rounded, settled, table
 
 QUERIES = {}
 ORACLE = {}
@@ -161,14 +161,35 @@ def _(spark, sf):
     return clustering.assign_clusters(scaled, fit).select("c_custkey", "cluster")
 
 
+_SPLITS = """with v as (select l_linenumber::double as x, count(*)::double as n from lineitem group by 1),
+    m as (select i::int as mask from range(0, 64) r(i)),
+    g as (select mask, bit_count(mask & ((1 << (x::int - 1)) - 1)) as part, sum(n * x * x) - sum(n * x) * sum(n * x) / sum(n) as inertia
+          from m, v group by 1, 2)"""
+
+
+@check(
+    "elbow_steps",
+    f"""{_SPLITS}
+        select k, round(min(inertia), 4) as inertia from (select mask, (bit_count(mask) + 1)::int as k, sum(inertia) as inertia from g group by 1)
+        where k >= 2 group by 1""",
+)
+def _(spark, sf):
+    rows = lines(spark, sf).select("line", F.col("l_linenumber").cast("double").alias("number"))
+    return clustering.elbow(rows, ["number"], key="line", k_max=7).withColumn("inertia", rounded("inertia", 4))
+
+
 @check("elbow")
 def _(spark, sf):
     scaled, _ = zscore(table(spark, sf, "customer"), ["c_acctbal", "c_nationkey"])
     return clustering.elbow(scaled, ["c_acctbal", "c_nationkey"], key="c_custkey")
 
 
-def _vector_columns(spark, sf, width=64):
+def _vector_columns(spark, sf):
+    """One column for each component; all vectors must have as many."""
     e = table(spark, sf, "embeddings")
+    least, width = e.agg(F.min(F.size("embedding")), F.max(F.size("embedding"))).first()
+    if least != width:
+        raise ValueError(f"vectors of {least} to {width} components")
     return e.select("vec_id", *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(width)])
 
 
@@ -176,7 +197,7 @@ def _vector_columns(spark, sf, width=64):
 def _(spark, sf):
     e = _vector_columns(spark, sf)
     cols = [c for c in e.columns if c != "vec_id"]
-    fit = clustering.fit_kmeans(e, cols, 10, key="vec_id", starts=3)
+    fit = clustering.fit_kmeans(e, cols, 10, key="vec_id")
     return clustering.assign_clusters(e, fit).select("vec_id", "cluster")
 
 
@@ -202,8 +223,9 @@ def _(spark, sf):
     e = _vector_columns(spark, sf)
     cols = [c for c in e.columns if c != "vec_id"]
     scaled = keep(zscore(e, cols)[0])
-    fit = clustering.fit_kmeans(scaled, cols, 4, key="vec_id", starts=3)
-    return reports.cluster_points(scaled, fit, projection.fit_pca(scaled, cols), key="vec_id")
+    fit = clustering.fit_kmeans(scaled, cols, 4, key="vec_id")
+    points = reports.cluster_points(scaled, fit, projection.fit_pca(scaled, cols), key="vec_id")
+    return settled(points, scaled.unpersist)
 
 
 @check("pca_variance")
@@ -311,7 +333,7 @@ def _(spark, sf):
 @check("gbt_fit")
 def _(spark, sf):
     rows = _with_target(spark, sf)
-    trees = GBTRegressor(maxIter=5, seed=42)
+    trees = GBTRegressor(seed=42)
     return regression.fit_regression(rows, "y", ["l_quantity", "l_tax"], ["l_returnflag"], key="line", model=trees).metrics
 
 
@@ -400,6 +422,62 @@ def _(spark, sf):
     return spark.createDataFrame(out, "fold bigint, n bigint, cross double")
 
 
+@check(
+    "hash_split_null_keys",
+    """with t as (select o_orderkey, case when o_custkey % 3 > 0 then o_custkey::varchar end as key from orders)
+       select o_orderkey, case when ('0x' || substr(md5(coalesce(key, '')), 1, 8))::bigint % 10000 < 2000 then 'test' else 'train' end as side
+       from t""",
+)
+def _(spark, sf):
+    rows = table(spark, sf, "orders").selectExpr("o_orderkey", "if(o_custkey % 3 > 0, string(o_custkey), null) key")
+    train, test = hash_split(rows, "key")
+    sides = [part.select("o_orderkey", F.lit(name).alias("side")) for name, part in (("train", train), ("test", test))]
+    return sides[0].unionByName(sides[1])
+
+
+# A target that is an exact function of oddly named columns, so that the coefficients are known.
+_ODD = """select c_custkey, case when c_custkey % 9 = 0 then null else c_custkey end as key, c_acctbal / 1000 as "dist_km_utm_log+1",
+    c_nationkey::double as "QM DIRECTO", case when c_nationkey % 2 = 0 then 'Urbana' else 'Rural' end as "Área" from customer"""
+
+
+def _odd(spark, sf, target):
+    rows = spark.sql(_ODD.replace('"', "`").replace("::double", "").replace("from customer", "from {c}"), c=table(spark, sf, "customer"))
+    return rows.withColumn("y", F.expr(target))
+
+
+@check(
+    "ols_odd_names",
+    """select term, coefficient from (values ('dist_km_utm_log+1', 2.0::double), ('QM DIRECTO', 0.5::double), ('Área_Urbana', -3.0::double),
+         ('dist_km_utm_log+1:QM DIRECTO', 0.25::double), ('dist_km_utm_log+1:Área_Urbana', 1.0::double),
+         ('QM DIRECTO:Área_Urbana', 0.0::double), ('Intercept', 7.0::double)) t(term, coefficient) where (select count(*) from customer) > 0""",
+)
+def _(spark, sf):
+    rows = _odd(
+        spark, sf,
+        "7 + 2 * `dist_km_utm_log+1` + 0.5D * `QM DIRECTO` - 3 * int(`Área` = 'Urbana') + 0.25D * `dist_km_utm_log+1` * `QM DIRECTO`"
+        " + `dist_km_utm_log+1` * int(`Área` = 'Urbana')",
+    )
+    names = ["dist_km_utm_log+1", "QM DIRECTO", "Área"]
+    terms = inference.fit_ols(rows, inference.pairwise_formula("y", names), ["y", *names]).terms
+    return terms.select("term", (rounded("coefficient", 4) + 0.0).alias("coefficient"))
+
+
+@check(
+    "lasso_text_feature",
+    """select feature, selected from (values ('Área_Urbana', true), ('QM DIRECTO', false)) t(feature, selected)
+       where (select count(*) from customer) > 0""",
+)
+def _(spark, sf):
+    rows = _odd(spark, sf, "5 - 3 * int(`Área` = 'Urbana')")
+    return selection.lasso_cv(rows, ["Área", "QM DIRECTO"], "y", key="key").select("feature", "selected")
+
+
+@check("histogram_with_nan", """select 0 as bin, count(*) as count from orders where o_custkey % 5 > 1 and o_totalprice < 1e12""")
+def _(spark, sf):
+    price = F.expr("case when o_custkey % 5 = 0 then double('NaN') when o_custkey % 5 > 1 then o_totalprice end")
+    return reports.histogram(table(spark, sf, "orders").select(price.alias("p")), "p", bins=1).select("bin", "count")
+
+
 _BINNED = """with t as (select min(c_acctbal) as lo, max(c_acctbal) as hi, count(*) as n,
                   quantile_cont(c_acctbal, 0.75) - quantile_cont(c_acctbal, 0.25) as iqr from customer),
     b as (select *, {bins} as bins from t),

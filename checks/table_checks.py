@@ -99,7 +99,7 @@ def _(spark, sf):
         li.where("l_quantity > 25").groupBy("l_orderkey").agg(rounded(F.avg("l_tax")).alias("avg_tax")),
     ]
     base = li.select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
-    return rel.star_join(base, dims, "l_orderkey")
+    return rel.star_join(base, dims, "l_orderkey", check=True)
 
 
 @check(
@@ -203,15 +203,34 @@ def _(spark, sf):
 
 @check(
     "frequency_order",
-    """select row_number() over (order by count(*) desc, o_custkey) as place, o_custkey, count(*) as count
-       from orders group by o_custkey order by 3 desc, 2 limit 100""",
+    "select o_custkey, count(*) as count from orders group by o_custkey order by 2 desc, 1",
 )
 def _(spark, sf):
-    from pyspark.sql.window import Window
+    return rel.value_counts(table(spark, sf, "orders"), "o_custkey")
 
-    best = rel.value_counts(table(spark, sf, "orders"), "o_custkey").limit(100)
-    place = F.row_number().over(Window.orderBy(F.desc("count"), "o_custkey"))
-    return best.select(place.cast("bigint").alias("place"), "o_custkey", "count")
+
+@check(
+    "describe_with_nan",
+    """select 'price' as "column", count(price) as count, round(avg(price), 4) as mean, round(stddev_samp(price), 4) as std,
+              min(price) as min, round(quantile_cont(price, 0.25), 4) as q25, round(quantile_cont(price, 0.5), 4) as q50,
+              round(quantile_cont(price, 0.75), 4) as q75, max(price) as max
+       from (select case when o_custkey % 5 > 1 then o_totalprice end as price from orders)""",
+)
+def _(spark, sf):
+    price = F.expr("case when o_custkey % 5 = 0 then double('NaN') when o_custkey % 5 > 1 then o_totalprice end")
+    out = agg.describe_numeric(table(spark, sf, "orders").select(price.alias("price")))
+    return out.withColumns({c: rounded(c, 4) for c in ("mean", "std", "q25", "q50", "q75")})
+
+
+@check(
+    "group_means_with_nan",
+    """select o_orderstatus, count(*) as size, round(avg(case when o_custkey % 5 > 1 then o_totalprice end), 4) as price
+       from orders group by 1""",
+)
+def _(spark, sf):
+    price = F.expr("case when o_custkey % 5 = 0 then double('NaN') when o_custkey % 5 > 1 then o_totalprice end")
+    rows = table(spark, sf, "orders").select("o_orderstatus", price.alias("price"))
+    return agg.group_means(rows, "o_orderstatus", ["price"]).withColumn("price", rounded("price", 4))
 
 
 @check(

@@ -8,10 +8,11 @@ sys.path.insert(0, ROOT)
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from campusgrid.session import build_session
 
-    session = build_session(spark__ui__showConsoleProgress="false")
+    shared = str(tmp_path_factory.mktemp("shared"))
+    session = build_session(spark__ui__showConsoleProgress="false", spark__checkpoint__dir=shared)
     yield session
     session.stop()
 

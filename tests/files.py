@@ -30,8 +30,9 @@ def _reference(column, row):
     return f"{name}{row}"
 
 
-def xlsx_bytes(table, *, sheet="xl/worksheets/sheet1.xml", inline=False):
-    """First row is the header; None leaves the cell out; numbers and texts as they are."""
+def xlsx_bytes(table, *, sheet="xl/worksheets/sheet1.xml", inline=False, styles=None, kinds=None):
+    """First row is the header; None leaves the cell out; numbers and texts as they are. ``styles`` and ``kinds``
+    give style numbers (1: a date, 2: an own format with time) and cell types by (row, column)."""
     strings, lines = [], []
     for r, row in enumerate(table, 1):
         cells = []
@@ -40,7 +41,9 @@ def xlsx_bytes(table, *, sheet="xl/worksheets/sheet1.xml", inline=False):
             if value is None:
                 continue
             if isinstance(value, (int, float)):
-                cells.append(f'<c r="{ref}"><v>{value}</v></c>')
+                extra = f' s="{styles[r - 1, c]}"' if styles and (r - 1, c) in styles else ""
+                extra += f' t="{kinds[r - 1, c]}"' if kinds and (r - 1, c) in kinds else ""
+                cells.append(f'<c r="{ref}"{extra}><v>{value}</v></c>')
             elif inline:
                 cells.append(f'<c r="{ref}" t="inlineStr"><is><t>{escape(value)}</t></is></c>')
             else:
@@ -64,6 +67,12 @@ def xlsx_bytes(table, *, sheet="xl/worksheets/sheet1.xml", inline=False):
             f'<Relationship Id="rId8" Type="x" Target="worksheets/other.xml"/><Relationship Id="rId7" Type="x" Target="{target}"/></Relationships>',
         )
         box.writestr(sheet, f'<worksheet xmlns="{main}"><sheetData>{"".join(lines)}</sheetData></worksheet>')
+        if styles:
+            box.writestr(
+                "xl/styles.xml",
+                f'<styleSheet xmlns="{main}"><numFmts count="1"><numFmt numFmtId="170" formatCode="yyyy\\-mm\\-dd hh:mm"/></numFmts>'
+                '<cellXfs count="3"><xf numFmtId="0"/><xf numFmtId="14"/><xf numFmtId="170"/></cellXfs></styleSheet>',
+            )
         box.writestr("xl/worksheets/other.xml", f'<worksheet xmlns="{main}"><sheetData/></worksheet>')
         items = "".join(f"<si><r><t>{escape(s[:1])}</t></r><r><t>{escape(s[1:])}</t></r></si>" for s in strings)
         box.writestr("xl/sharedStrings.xml", f'<sst xmlns="{main}">{items}</sst>')

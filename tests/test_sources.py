@@ -98,9 +98,7 @@ def test_zip_prefers_dbf(spark, put):
     path = put("a.zip", zip_bytes({"x.csv": "a,b\n1,2\n", "read.me": "", "T.DBF": dbf_bytes(FIELDS, RECORDS)}))
     df = sources.load_any(spark, path, order_col="seq").orderBy("seq")
     assert [tuple(r)[:-1] for r in df.collect()] == TABLE
-    listed = sources.list_members(spark, path)
-    assert {r.member for r in listed.collect()} == {"x.csv", "read.me", "T.DBF"}
-    assert [r.member for r in sources.choose_members(listed).collect()] == ["T.DBF"]
+    assert [(r.kind, r.member) for r in sources.recognise(spark, path).collect()] == [("zip-dbf", "T.DBF")]
 
 
 def test_zip_with_workbook_and_with_csv(spark, put):
@@ -148,9 +146,41 @@ def test_late_invalid_byte_changes_the_whole_file(spark, put):
 def test_single_column_and_quoted_line_breaks(spark, put):
     assert rows(sources.load_any(spark, put("one.csv", b"solo\n1\n2\n"))) == [("1",), ("2",)]
     path = put("multi.csv", b'a,b\n"x\ny",1\n')
-    assert rows(sources.read_delimited(spark, path, multi_line=True)) == [("x\ny", "1")]
+    for df in (sources.read_delimited(spark, path), sources.load_any(spark, path), sources.read_delimited(spark, path, multi_line=True)):
+        assert rows(df) == [("x\ny", "1")]
 
 
+def test_encoding_of_a_path_with_odd_characters(spark, put):
+    path = put("a b+c%20/x y.csv", "n,v\ncañón,1\n".encode("latin-1"))
+    assert rows(sources.load_any(spark, path)) == [("cañón", "1")]
+
+
+def test_files_with_different_headers_are_combined(spark, put):
+    for kind, make in (
+        ("csv", lambda *t: "".join(",".join(r) + "\n" for r in t).encode()),
+        ("zip", lambda *t: zip_bytes({"t.csv": "".join(",".join(r) + "\n" for r in t)})),
+        ("xlsx", lambda *t: xlsx_bytes([list(r) for r in t])),
+    ):
+        put(f"mix-{kind}/a.{kind}", make(["n", "v"], ["1", "2"]))
+        path = put(f"mix-{kind}/b.{kind}", make(["n", "v", "w"], ["3", "4", "5"]))
+        df = sources.load_any(spark, path.rsplit("/", 1)[0])
+        assert rows(df.select("n", "v", "w")) == [("1", "2", None), ("3", "4", "5")], kind
+    put("mix-dbf/a.dbf", dbf_bytes(FIELDS[:1], [(False, ["1"])]))
+    path = put("mix-dbf/b.dbf", dbf_bytes(FIELDS[:2], [(False, ["2", "x"])]))
+    df = sources.load_any(spark, path.rsplit("/", 1)[0], order_col="seq")
+    assert rows(df.select("CODLOCAL", "NOMBRE")) == [("1", None), ("2", "x")]
+    assert [r.CODLOCAL for r in df.orderBy("seq").collect()] == ["1", "2"]
+
+
+def test_dbf_is_recognised_by_its_bytes(spark, put):
+    assert [r.kind for r in sources.recognise(spark, put("noext", dbf_bytes(FIELDS, RECORDS))).collect()] == ["dbf"]
+    assert [r.kind for r in sources.recognise(spark, put("text.dbf", b"a,b\n1,2\n")).collect()] == ["text"]
+
+
+def test_xlsx_truth_values_and_dates(spark, put):
+    cells = xlsx_bytes([["b", "d", "t", "n"], [1, 45322, 45322.5, 45322]], styles={(1, 1): 1, (1, 2): 2}, kinds={(1, 0): "b"})
+    assert rows(sources.read_xlsx(spark, put("typed.xlsx", cells))) == [("true", "2024-01-31", "2024-01-31 12:00:00", "45322")]
+
 def test_mixed_folder(spark, put):
     put("m/a.csv", b"k,v\n1,a\n")
     put("m/b.csv", "k;v\n2;ñ\n".encode("latin-1"))
