@@ -73,12 +73,13 @@ def budgets(
     """Leaves (``LEAF``, tokens, docs) with the budget of each, dealt level by level from the root."""
     leaves = leaves.withColumn("cap", F.col("tokens") * max_epochs)
     total = leaves.agg(F.sum("tokens").alias("t")).collect()[0]["t"] or 0
-    above = leaves.sparkSession.range(1).select(F.lit(int(total * budget_share)).cast("bigint").alias("above"), F.lit(0).alias("root"))
-    parent: list[str] = []
+    above, parent = None, []
     for depth, child in enumerate(LEAF):
         nodes = leaves.groupBy(*LEAF[: depth + 1]).agg(F.sum("cap").alias("cap")).withColumn("root", F.lit(0))
+        # The root's budget is one number; below, every node finds the budget of the node above it.
+        nodes = nodes.join(above, parent) if parent else nodes.withColumn("above", F.lit(int(total * budget_share)).cast("bigint"))
         schema = ", ".join([*[f"{c} string" for c in [*parent, child]], "budget bigint"])
-        grouped = nodes.join(above, ["root", *parent] if not parent else parent).groupBy(*(parent or ["root"]))
+        grouped = nodes.groupBy(*(parent or ["root"]))
         dealt = save(grouped.applyInPandas(_level(weights.get(child), parent, child, default_weight), schema), "budgets")
         above, parent = dealt.withColumnRenamed("budget", "above"), [*parent, child]
     return leaves.join(above.withColumnRenamed("above", "budget"), LEAF)
