@@ -12,7 +12,7 @@ A score is a sum over ``lists`` blocks of dimensions, each of which gives every
    the rest are resolved exactly, and their k best are merged.
 
 Components are whole numbers, floor(scale * x). Sums are exact: in double precision as long as they must stay below
-2**53, else in 64-bit integers."""
+2**53, else in 64-bit integers (scores that do not fit in 64 bits are out of range)."""
 
 from __future__ import annotations
 
@@ -70,11 +70,12 @@ def _cell_rows(k: int, lists: int, cutoffs: bool):
                             places = np.unique(np.concatenate(near))
                             places = places[other[places]]
                     else:
-                        low = [p[q].min() for p in parts]
-                        need = limit - sum(low)
-                        seen = [(p[q] - m) * lists >= need for p, m in zip(parts, low)]
-                        bound = sum(np.where(s, (p[q] - m) * lists, need) for s, p, m in zip(seen, parts, low))
-                        places = np.flatnonzero(np.logical_or.reduce(seen) & (bound >= need * lists) & other)
+                        low = [int(p[q].min()) for p in parts]
+                        need = limit - int(sum(low))
+                        threshold = -(-need // lists)  # partial scores are whole numbers
+                        seen = [p[q] - m >= threshold for p, m in zip(parts, low)]
+                        bound = sum(np.where(s, p[q] - m, threshold) for s, p, m in zip(seen, parts, low))
+                        places = np.flatnonzero(np.logical_or.reduce(seen) & (bound >= need) & other)
                     places = places[_best(total[q, places], k)]
                     out[0].append(np.full(len(places), query))
                     out[1].append(ids[places])

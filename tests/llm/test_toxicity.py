@@ -17,8 +17,7 @@ def corpus(n=900, seed=2):
         for _ in range(4 if bad else 0):
             w[r.randrange(len(w))] = r.choice(["Grimlo", "grimlon,", "VORPAX", "vorpaxes"])
         if low:
-            w = [w[0]] * len(w)
-            w[-2:] = ["grimlo", "vorpax"] if bad else w[-2:]
+            w[0] = w[-1] = "clickhere"
         docs.append((i, " ".join(w), "en", "s", 1, "x"))
         labels.append((i, 0 if low else 1, int(bad)))
     return docs, labels

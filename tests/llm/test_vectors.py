@@ -32,7 +32,7 @@ def usable(rows, zero):
     return out
 
 
-@pytest.mark.parametrize("shard,block,lists,scale", [(64, 4, 4, 256.0), (8192, 512, 1, 256.0), (100, 3, 12, 1e9), (100, 5, 3, 0.4)])
+@pytest.mark.parametrize("shard,block,lists,scale", [(64, 4, 4, 256.0), (8192, 512, 1, 256.0), (100, 3, 12, 1e8), (100, 5, 3, 0.4)])
 def test_top_k_against_all_scores(spark, monkeypatch, shard, block, lists, scale):
     monkeypatch.setattr(topk, "SHARD_ROWS", shard)
     monkeypatch.setattr(topk, "BLOCK_ROWS", block)
@@ -87,7 +87,7 @@ def test_candidates_are_prefix_ranges():
         strings.append(found[order])
         orders.append(order)
         asked.append(hash_strings(q, tree))
-    table = candidates(strings, orders, asked, 300, 0.2)
+    table = candidates(strings, orders, asked, 300, 60)
     for i in range(20):
         agree = np.zeros(300, int)
         for tree, a in zip(trees, asked):
