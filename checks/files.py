@@ -1,10 +1,37 @@
-"""Small files in the source formats, written by hand for the tests."""
+"""Files in the source formats, written by hand: their bytes, and tables written as such files by Spark tasks."""
+
+from __future__ import annotations
 
 import io
 import struct
 import zipfile
+from collections.abc import Callable
 from xml.sax.saxutils import escape
 
+import pandas as pd
+from pyarrow import fs
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from campusgrid.session import work_path
+
+
+def write_as(df: DataFrame, name: str, suffix: str, encode: Callable[[pd.DataFrame], bytes], files: int = 4) -> str:
+    """Write the rows as ``files`` files, each encoded by the task that holds its rows; returns the folder."""
+    folder = work_path(df.sparkSession, name)
+
+    def write(rows: pd.DataFrame) -> pd.DataFrame:
+        store, root = fs.FileSystem.from_uri(folder)
+        store.create_dir(root, recursive=True)
+        path = f"{root}/{rows['_file'].iloc[0]}{suffix}"
+        with store.open_output_stream(path) as out:
+            out.write(encode(rows.drop(columns="_file")))
+        return pd.DataFrame({"path": [path]})
+
+    numbered = df.withColumn("_file", F.pmod(F.xxhash64(*df.columns), F.lit(files)))
+    numbered.groupBy("_file").applyInPandas(write, "path string").collect()
+    return folder
+
 
 def dbf_bytes(fields, records, encoding="latin-1"):
     """fields: (name, type, width, decimals); records: (deleted, raw texts or bytes)."""

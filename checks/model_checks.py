@@ -435,7 +435,7 @@ def _(spark, sf):
     return sides[0].unionByName(sides[1])
 
 
-# A target that is an exact function of oddly named columns, so that the coefficients are known.
+# A target that is a function of oddly named columns and almost nothing else, so that the coefficients are known.
 _ODD = """select c_custkey, case when c_custkey % 9 = 0 then null else c_custkey end as key, c_acctbal / 1000 as "dist_km_utm_log+1",
     c_nationkey::double as "QM DIRECTO", case when c_nationkey % 2 = 0 then 'Urbana' else 'Rural' end as "Área" from customer"""
 
@@ -455,11 +455,11 @@ def _(spark, sf):
     rows = _odd(
         spark, sf,
         "7 + 2 * `dist_km_utm_log+1` + 0.5D * `QM DIRECTO` - 3 * int(`Área` = 'Urbana') + 0.25D * `dist_km_utm_log+1` * `QM DIRECTO`"
-        " + `dist_km_utm_log+1` * int(`Área` = 'Urbana')",
+        " + `dist_km_utm_log+1` * int(`Área` = 'Urbana') + 1e-4D * pmod(c_custkey * 7919, 13)",
     )
     names = ["dist_km_utm_log+1", "QM DIRECTO", "Área"]
     terms = inference.fit_ols(rows, inference.pairwise_formula("y", names), ["y", *names]).terms
-    return terms.select("term", (rounded("coefficient", 4) + 0.0).alias("coefficient"))
+    return terms.select("term", (rounded("coefficient", 2) + 0.0).alias("coefficient"))
 
 
 @check(

@@ -10,6 +10,7 @@ from campusgrid.plans import names as N
 from campusgrid.session import work_path
 from campusgrid.sources import load_any, write_csv, write_parquet
 
+from . import files
 from .inputs import rounded, school, settled, table, with_views
 
 QUERIES = {}
@@ -163,23 +164,23 @@ def _(spark, sf):
     return out.withColumn("promedio_logro", rounded("promedio_logro"))
 
 
-# The panel joins many-to-many: three sites share a school name, and both subjects and all building columns vary, but a
-# name stands for three sites rather than for a fiftieth of the table, as its join multiplies sections by sites.
+# The panel joins many-to-many: a few sites share a school name, and every column varies, but with two or three descriptions
+# for a site and name, as sections, buildings and classrooms multiply.
 _PANEL = {
     "register": """select cast(o_orderkey as string) as "COD_MOD", cast(o_orderkey as string) as "CODLOCAL", o_orderstatus as "D_FORMA",
         'Urbana' as "DAREACENSO", o_custkey as "TALUMNO", o_custkey % 7 as "TDOCENTE" from orders""",
     "buildings": """select cast(l_orderkey as string) as "CODLOCAL", 'T1' as "ID_TERR", l_returnflag as "P53_3", l_linestatus as "P53_4",
-        case when l_quantity > 25 then '1' else '2' end as "P53_9", case when l_linenumber <= 3 then '11' else '12' end as "P53_10",
-        l_linestatus as "P53_14_3", l_returnflag as "P53_18_1", case when l_discount > 0.05 then '1' else '2' end as "P53_13_1",
-        case when l_tax > 0.04 then '1' else '2' end as "P53_13_2", case when l_linenumber % 2 = 0 then '1' else '2' end as "P53_13_3"
+        case when l_returnflag = 'A' then '1' else '2' end as "P53_9", case l_returnflag when 'A' then '11' when 'N' then '12' else '13' end as "P53_10",
+        l_linestatus as "P53_14_3", l_returnflag as "P53_18_1", case when l_returnflag = 'R' then '1' else '2' end as "P53_13_1",
+        case when l_linestatus = 'O' then '1' else '2' end as "P53_13_2", case when l_returnflag = 'N' then '1' else '2' end as "P53_13_3"
         from lineitem""",
-    "classrooms": """select cast(l_orderkey as string) as "CODLOCAL", substr(cast(l_linenumber as string), 1, 1) as "P61_2",
-        l_linestatus as "P61_3", case when l_linenumber > 4 then '01' else '02' end as "P61_4" from lineitem""",
-    "evaluations": """select cast(l_suppkey as string) as id_estudiante, concat('IE ', cast(floor(l_orderkey / 12) as string)) as nom_ie, cast(l_linenumber as string) as grado,
+    "classrooms": """select cast(l_orderkey as string) as "CODLOCAL", case when l_linestatus = 'F' then '1' else '2' end as "P61_2",
+        l_linestatus as "P61_3", case when l_linestatus = 'F' then '01' else '02' end as "P61_4" from lineitem""",
+    "evaluations": """select cast(l_suppkey as string) as id_estudiante, concat('IE ', cast(floor(l_orderkey / 2) as string)) as nom_ie, case when l_linestatus = 'F' then '2' else '4' end as grado,
         l_returnflag as "Programa", l_linestatus as cuadernillo, case when l_tax > 0.04 then 'Lectura' else 'Matematica' end as area_evaluacion, l_quantity as suma_puntaje,
         l_tax as tot_preguntas, l_discount as porcentaje_promedio from lineitem""",
     "history": """select cast(o_orderkey as double) as "Cod_Local", cast(year(o_orderdate) as int) as "AÑO",
-        concat('IE ', cast(floor(o_orderkey / 12) as string)) as "Nombre_IE", o_orderstatus as "Área",
+        concat('IE ', cast(floor(o_orderkey / 2) as string)) as "Nombre_IE", o_orderstatus as "Área",
         case when o_custkey % 2 = 0 then 'Lectura' else 'Matematica' end as "Evaluación",
         case substr(o_orderpriority, 1, 1) when '1' then 'En inicio' when '2' then 'EN PROCESO' else 'x' end as "Nivel de logro",
         case when month(o_orderdate) <= 6 then 'Entrada' else 'Salida' end as "PERIODO" from orders""",
@@ -198,15 +199,19 @@ def _panel_view(spark, sf, name):
     "with "
     + ", ".join(f"{n} as ({t})" for n, t in _PANEL.items())
     + """, means as (select "Nombre_IE", lpad(cast("Cod_Local" as bigint)::varchar, greatest(6, length(cast("Cod_Local" as bigint)::varchar))::int, '0') as site,
-             "AÑO", "Área", avg(case lower("Nivel de logro") when 'en inicio' then 1 when 'en proceso' then 2 when 'satisfactorio' then 3 end) as promedio_logro
-           from history group by 1, 2, 3, 4),
-         sections as (select "Programa", nom_ie, count(distinct id_estudiante) as cantidad_alumnos, avg(suma_puntaje) as puntaje from evaluations group by 1, 2),
-         rows as (select distinct m.*, s.*, r."COD_MOD", r."D_FORMA", r."TALUMNO", b."P53_3", c."P61_3" from means m
+             "AÑO", "Área", "Evaluación", "PERIODO",
+             avg(case lower("Nivel de logro") when 'en inicio' then 1 when 'en proceso' then 2 when 'satisfactorio' then 3 end) as promedio_logro
+           from history group by 1, 2, 3, 4, 5, 6),
+         sections as (select "Programa", nom_ie, grado, cuadernillo, area_evaluacion, count(distinct id_estudiante) as cantidad_alumnos,
+             avg(suma_puntaje) as puntaje from evaluations group by 1, 2, 3, 4, 5),
+         bs as (select distinct * from buildings), cs as (select distinct * from classrooms),
+         rows as (select m.*, s.*, r."COD_MOD", r."D_FORMA", r."TALUMNO", b."P53_3", b."P53_9", c."P61_2", c."P61_3" from means m
            left join sections s on m."Nombre_IE" = s.nom_ie
-           left join (select lpad("CODLOCAL", greatest(6, length("CODLOCAL"))::int, '0') as site, * from register) r on m.site = r.site
-           left join buildings b on r."CODLOCAL" = b."CODLOCAL" left join classrooms c on r."CODLOCAL" = c."CODLOCAL")
-       select x.site as "Cod_Local", x."AÑO", x."Área", round(x.promedio_logro, 6) as promedio_logro, x."Programa", x.cantidad_alumnos,
-              round(x.puntaje, 6) as promedio_suma_puntaje, x."COD_MOD", x."D_FORMA", x."P53_3", x."P61_3", x."TALUMNO",
+           left join (select distinct lpad("CODLOCAL", greatest(6, length("CODLOCAL"))::int, '0') as site, * from register) r on m.site = r.site
+           left join bs b on r."CODLOCAL" = b."CODLOCAL" left join cs c on r."CODLOCAL" = c."CODLOCAL")
+       select x.site as "Cod_Local", x."AÑO", x."Área", x."Evaluación", x."PERIODO", round(x.promedio_logro, 6) as promedio_logro, x."Programa",
+              x.grado, x.cuadernillo, x.area_evaluacion, x.cantidad_alumnos,
+              round(x.puntaje, 6) as promedio_suma_puntaje, x."COD_MOD", x."D_FORMA", x."P53_3", x."P53_9", x."P61_2", x."P61_3", x."TALUMNO",
               w."TALUMNO" as "TALUMNO_master", w."dist_km_utm_log+1"
        from rows x left join (select lpad("CODLOCAL", greatest(6, length("CODLOCAL"))::int, '0') as site, * from master) w on x.site = w.site""",
 )
@@ -215,8 +220,9 @@ def _(spark, sf):
     out = panel.exploratory_panel(*[_panel_view(spark, sf, n) for n in names])
     out = out.withColumns({"promedio_logro": rounded("promedio_logro"), "promedio_suma_puntaje": rounded("promedio_suma_puntaje")})
     return out.select(
-        "Cod_Local", "AÑO", "Área", "promedio_logro", "Programa", "cantidad_alumnos", "promedio_suma_puntaje", "COD_MOD",
-        "D_FORMA", "P53_3", "P61_3", "TALUMNO", "TALUMNO_master", as_column(N.DISTANCE),
+        "Cod_Local", "AÑO", "Área", "Evaluación", "PERIODO", "promedio_logro", "Programa", "grado", "cuadernillo", "area_evaluacion",
+        "cantidad_alumnos", "promedio_suma_puntaje", "COD_MOD", "D_FORMA", "P53_3", "P53_9", "P61_2", "P61_3", "TALUMNO",
+        "TALUMNO_master", as_column(N.DISTANCE),
     )
 
 
@@ -418,6 +424,69 @@ def _(spark, sf):
     return spark.read.parquet(path).select(*table(spark, sf, "lineitem").columns)
 
 
+def _customers(spark, sf):
+    return table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_nationkey")
+
+
+def _cells(rows, names):
+    return [names, *rows[names].values.tolist()]
+
+
+_CUSTOMERS = "select {} from customer"
+
+
+@check("dbf_scan", _CUSTOMERS.format("c_custkey::bigint as KEY, c_name as NAME, c_mktsegment as SEGMENT, c_nationkey::bigint as NATION"))
+def _(spark, sf):
+    def encode(rows):
+        fields = [("KEY", "N", 10, 0), ("NAME", "C", 40, 0), ("SEGMENT", "C", 20, 0), ("NATION", "N", 4, 0)]
+        return files.dbf_bytes(fields, [(False, [str(v) for v in row]) for row in rows.values.tolist()])
+
+    return load_any(spark, files.write_as(_customers(spark, sf), "dbf", ".dbf", encode))
+
+
+@check("xlsx_scan", _CUSTOMERS.format("c_custkey::varchar as c_custkey, c_name, c_mktsegment"))
+def _(spark, sf):
+    encode = lambda rows: files.xlsx_bytes(_cells(rows, ["c_custkey", "c_name", "c_mktsegment"]))
+    return load_any(spark, files.write_as(_customers(spark, sf), "xlsx", ".xlsx", encode))
+
+
+@check("zip_scan", _CUSTOMERS.format("c_custkey::varchar as c_custkey, c_name, c_nationkey::varchar as c_nationkey"))
+def _(spark, sf):
+    def encode(rows):
+        return files.zip_bytes({"read.me": "x", "t.csv": rows[["c_custkey", "c_name", "c_nationkey"]].to_csv(index=False)})
+
+    return load_any(spark, files.write_as(_customers(spark, sf), "zip", ".zip", encode))
+
+
+@check("multiline_csv", _CUSTOMERS.format("c_custkey::varchar as c_custkey, concat(c_name, chr(10), '\"', c_mktsegment) as note"))
+def _(spark, sf):
+    note = F.concat("c_name", F.lit("\n\""), "c_mktsegment").alias("note")
+    rows = _customers(spark, sf).select("c_custkey", note)
+    return load_any(spark, files.write_as(rows, "multiline", ".csv", lambda rows: rows.to_csv(index=False).encode()))
+
+
+@check(
+    "mixed_headers",
+    _CUSTOMERS.format("c_custkey::varchar as c_custkey, c_name, case when c_nationkey % 2 = 0 then c_mktsegment end as c_mktsegment"),
+)
+def _(spark, sf):
+    rows = _customers(spark, sf)
+    plain = files.write_as(
+        rows.where("c_nationkey % 2 = 1").select("c_custkey", "c_name"), "plain", ".csv", lambda rows: rows.to_csv(index=False).encode()
+    )
+    more = files.write_as(
+        rows.where("c_nationkey % 2 = 0").select("c_name", "c_custkey", "c_mktsegment"), "more", ".csv",
+        lambda rows: rows.to_csv(index=False).encode(),
+    )
+    return load_any(spark, [plain, more])
+
+
+@check("odd_path_latin1", _CUSTOMERS.format("c_custkey::varchar as c_custkey, concat('cañón ', c_name) as name"))
+def _(spark, sf):
+    rows = _customers(spark, sf).select("c_custkey", F.concat(F.lit("cañón "), "c_name").alias("name"))
+    return load_any(spark, files.write_as(rows, "odd +path", " x%20.csv", lambda rows: rows.to_csv(index=False).encode("latin-1")))
+
+
 @check("file_order_keep_first", "select * from orders")
 def _(spark, sf):
     o = table(spark, sf, "orders")

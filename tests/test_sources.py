@@ -9,7 +9,7 @@ from pyspark.sql.types import StructType
 from campusgrid import sources
 
 from conftest import rows
-from files import dbf_bytes, xlsx_bytes, zip_bytes
+from checks.files import dbf_bytes, xlsx_bytes, zip_bytes
 
 FIELDS = [("CODLOCAL", "C", 8, 0), ("NOMBRE", "C", 12, 0), ("TALUM", "N", 6, 0), ("NOTA", "N", 8, 2), ("ALTA", "D", 8, 0), ("ACTIVO", "L", 1, 0), ("MEMO", "M", 10, 0)]
 RECORDS = [
