@@ -42,7 +42,8 @@ def fit_ols(df: DataFrame, formula: str, variables: Sequence[str]) -> OlsResult:
 
     ``variables`` are the columns in the formula, under any names (``dist+1``, ``QM DIRECTO``);
     rows with a null or NaN in one are dropped. Text
-    columns become treatment dummies without their first level. Terms: coefficient,
+    columns become treatment dummies without their first level; in interactions they keep all
+    levels, so use ``dummies`` first where such a term would repeat a main effect. Terms: coefficient,
     standard error, t and p. Fit: R2, adjusted R2, F, log-likelihood, AIC and BIC."""
     spark = df.sparkSession
     data = df.where(present(df, variables)).select(*[as_column(v).alias(a) for v, a in zip(variables, _aliases(variables))])
