@@ -98,6 +98,14 @@ def test_elbow_does_not_rise(spark, blobs):
     assert all(a >= b for a, b in zip(costs, costs[1:]))
 
 
+def test_kmeans_finds_three_far_rows_among_many(spark):
+    far = F.expr("if(id in (7, 123456, 399999), 1e4, if(id % 2 = 0, 0D, 10D) + pmod(xxhash64(id), 1000) / 1000D)")
+    rows = spark.range(400_000).select("id", far.alias("x"))
+    fit = clustering.fit_kmeans(rows, ["x"], 3, key="id")
+    assert [round(c[0]) for c in fit.centers] in ([0, 10, 10_000], [1, 11, 10_000], [0, 11, 10_000], [1, 10, 10_000])
+    assert fit.inertia < 400_000 / 12 * 1.05
+
+
 def test_kmeans_more_clusters_than_points(spark):
     df = spark.createDataFrame([("a", 1.0), ("b", 2.0)], "k string, x double")
     fit = clustering.fit_kmeans(df, ["x"], 4, key="k")
