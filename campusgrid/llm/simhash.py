@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from campusgrid.llm.components import components
-from campusgrid.llm.shelf import prepare, save, tidy
+from campusgrid.llm.shelf import discard, fresh, prepare, save, tidy
 from campusgrid.llm.words import find_words, mix, small_batches, span_hashes, string_column
 
 _TEXT = "_text"
@@ -315,7 +315,7 @@ def simhash_groups(
     return marked.join(groups, "print", "left").select("row_key", "id", "print", "component_id")
 
 
-def _common_shingles(keyed: DataFrame, size: int, rows: int = 1 << 15, keep: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
+def _common_shingles(keyed: DataFrame, size: int, rows: int = 1 << 14, keep: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
     """Shingles that are frequent in about ``rows`` of the rows, sorted, and their counts there. They only set the
     order in which shingles are indexed: any order gives the same links, this one makes the fewest candidates."""
     every = max(1, keyed.count() // rows)
@@ -372,17 +372,22 @@ def _sets(size: int):
 
 def _verified(pairs: DataFrame, nodes: DataFrame, keyed: DataFrame, size: int, above: tuple[int, int]) -> DataFrame:
     """The pairs (a, b) of nodes whose sets of shingles have a Jaccard similarity of ``above`` or more."""
-    pairs = save(pairs.where("a <> b").distinct(), "candidates")
+    spark = keyed.sparkSession
+    own = fresh(spark, "verified")
+    pairs = save(pairs.where("a <> b").distinct(), "candidates", f"{own}/candidates")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    chosen = save(nodes.join(wanted, "node", "left_semi").select("row_key", "node"), "chosen")
+    chosen = save(nodes.join(wanted, "node", "left_semi").select("row_key", "node"), "chosen", f"{own}/chosen")
     texts = keyed.join(chosen, "row_key", "left_semi").select("row_key", _TEXT)
     made = texts.mapInArrow(tidy(_sets(size)), "row_key bigint, shingles array<bigint>").dropDuplicates(["row_key"])
-    sets = save(made.join(chosen, "row_key").select("node", "shingles"), "sets")
+    sets = save(made.join(chosen, "row_key").select("node", "shingles"), "sets", f"{own}/sets")
     side = lambda end: sets.select(F.col("node").alias(end), F.col("shingles").alias(f"set_{end}"))
     both = F.size(F.array_intersect("set_a", "set_b"))
     either = F.size("set_a") + F.size("set_b") - both
     met = pairs.join(side("a"), "a").join(side("b"), "b")
-    return save(met.where(both * above[1] >= either * above[0]).select("a", "b"), "links")
+    links = save(met.where(both * above[1] >= either * above[0]).select("a", "b"), "links")
+    discard(spark, own)
+    spark._jvm.System.gc()  # frees the shuffle files of jobs that are done; the sets make large ones
+    return links
 
 
 def _front_pairs(nodes: DataFrame, moved: DataFrame, above: tuple[int, int]) -> DataFrame:
@@ -412,10 +417,10 @@ def similar_groups(
     (a fraction) or more. Exact up to 64-bit hashes of shingles.
 
     Such texts differ in about 15 % of wide fingerprints' bits (77 of 512), so fingerprints that agree on a whole block
-    and differ in at most ``distance`` bits are a first set of links, which misses pairs (about 30 % at 0.8). What it
-    misses is found by an index of the rarest shingles of each set: sets of n and m shingles can only be as similar as
-    ``above`` = t if they share one of the first n - ceil(t n) + 1 in a common order of all shingles. Only pairs of
-    different components so far are compared, by their whole sets. Texts without words form no groups (component_id
+    and differ in at most ``distance`` bits are candidates for a first set of links, which misses pairs (about 30 % at
+    0.8). What it misses is found by an index of the rarest shingles of each set: sets of n and m shingles can only be as similar as
+    ``above`` = t if they share one of the first n - ceil(t n) + 1 in a common order of all shingles; of these only
+    pairs of different components so far are candidates. All candidates are decided by their whole sets. Texts without words form no groups (component_id
     null)."""
     spark = docs.sparkSession
     keyed = _keyed(docs, id_column, text_column)
@@ -427,7 +432,7 @@ def similar_groups(
         F.first("front").alias("front"),
     )
     nodes = save(nodes, "nodes")
-    links = save(print_links(nodes.select("node", "print"), bits, distance, blocks, keep), "print_links")
+    links = _verified(print_links(nodes.select("node", "print"), bits, distance, blocks, keep), nodes, keyed, size, above)
     more = _verified(_front_pairs(nodes, components(links), above), nodes, keyed, size, above)
     moved = components(links.unionByName(more))
     groups = save(

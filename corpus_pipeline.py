@@ -29,7 +29,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five-word shingles, similarity of about 0.8 or more) the smallest id stays.
+    """Of each group of near copies (five-word shingles, similarity of 0.8 or more) the smallest id stays.
 
     Documents without words form no group and stay; of a row that occurs several times in a group one stays."""
     groups = save(similar_groups(docs), "near_copies").where("component_id is not null")

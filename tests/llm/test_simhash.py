@@ -102,3 +102,9 @@ def test_every_pair_from_the_threshold_on_is_found(spark):
     found = {r.id: r.component_id for r in similar_groups(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
     assert [found[b] for _, b in pairs] == [a for a, _ in pairs]
     assert {found[1000 + i] for i in range(4)} == {1000}
+
+
+def test_no_pair_below_the_threshold_is_joined(spark):
+    rows, pairs = _families([(159, 20), (150, 25), (140, 30), (7, 1)] * 15, 2)  # 0.799, 0.75, 0.7, 0.78
+    found = {r.id: r.component_id for r in similar_groups(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert all(found[i] == i for i, _ in rows)
