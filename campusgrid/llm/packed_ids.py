@@ -19,6 +19,7 @@ give every file's first index in the whole corpus."""
 from __future__ import annotations
 
 import io
+import json
 import re
 import uuid
 import zlib
@@ -123,6 +124,8 @@ class WordIds(dict):
         super().__init__()
         self.tokenizer = Tokenizer.from_str(model.decode())
         self.tokenizer.encode_special_tokens = True
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
         self.model, self.keep, self.parts, self.letters = self.tokenizer.model, keep, {}, _visible_bytes()
 
     def _part(self, part: str) -> bytes:
@@ -144,21 +147,51 @@ class WordIds(dict):
         return found
 
 
+#: The rules that ``WordIds`` and the splitting of ``TextIds`` stand for.
+_NORMALIZER = {
+    "type": "Sequence",
+    "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}],
+}
+_PRE_TOKENIZER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {
+            "type": "Split",
+            "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+            "behavior": "Removed",
+            "invert": True,
+        },
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+
+
+def _by_words(model: bytes) -> bool:
+    """Whether the tokenizer's rules are those of the short cut; added tokens must be found in the text as it is."""
+    rules = json.loads(model)
+    same = rules.get("normalizer") == _NORMALIZER and rules.get("pre_tokenizer") == _PRE_TOKENIZER
+    return same and not rules["model"].get("dropout") and not any(t["normalized"] for t in rules.get("added_tokens") or [])
+
+
 class TextIds:
-    """Ids of whole texts, as the library gives them with add_special_tokens=False."""
+    """Ids of whole texts, as the library gives them with add_special_tokens=False, neither cut nor padded.
+
+    Texts go word by word where the tokenizer's rules allow it, and to the library whole with any other tokenizer."""
 
     _SPLIT = re.compile(r"[\x20\x09-\x0D]+")
 
     def __init__(self, model: bytes):
-        self.words = WordIds(model)
+        self.words = WordIds(model) if _by_words(model) else None
         # A special token's text would have to be found across words; such texts go to the library whole.
         plain = Tokenizer.from_str(model.decode())
         self.special = [t.content.lower() for t in plain.get_added_tokens_decoder().values()]
+        plain.no_truncation()
+        plain.no_padding()
         self.plain = plain
 
     def __call__(self, text: str) -> bytes:
         lower = text.lower()
-        if any(s in lower for s in self.special):
+        if self.words is None or any(s in lower for s in self.special):
             return np.array(self.plain.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
         return b"".join(map(self.words.__getitem__, [w for w in self._SPLIT.split(text) if w]))
 

@@ -1,4 +1,5 @@
 import io
+import json
 import random
 import zlib
 from collections import Counter
@@ -42,6 +43,21 @@ def test_ids_are_the_librarys():
         assert np.frombuffer(own(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, text
 
 
+@pytest.mark.parametrize("change", ["none", "case kept", "white space kept"])
+def test_other_tokenizers_go_to_the_library(change):
+    with open(MODEL, "rb") as f:
+        rules = json.load(f)
+    if change == "case kept":
+        rules["normalizer"] = {"type": "NFC"}
+    elif change == "white space kept":
+        rules["pre_tokenizer"] = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+    data = json.dumps(rules).encode()
+    library, own = Tokenizer.from_str(data.decode()), packed_ids.TextIds(data)
+    assert (own.words is None) == (change != "none")
+    for text in ("The Quick  Brown fox", "AbC dEf\tG12", "don't STOP é"):
+        assert np.frombuffer(own(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("file_ids", [500, 1 << 20])
 def test_files_in_order_of_id(spark, file_ids):
     rows = documents()
