@@ -18,6 +18,7 @@ from campusgrid.llm.simhash import simhash_groups
 from campusgrid.llm.substring_dedup import remove_repeats
 from campusgrid.llm.topk import exact_top_k
 from campusgrid.llm.toxicity import toxicity
+from campusgrid.llm.whitening import whiten
 
 #: Vocabulary files of the public tokenizers; pass other paths to the operators as needed.
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -132,6 +133,11 @@ def op10_hash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest_neighbours(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, 10)
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), 8)
+    return found.withColumnRenamed("id", "vec_id").withColumn("deviation", F.col("deviation").try_cast("bigint"))
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_substring_dedup": op2_substring_dedup,
@@ -143,6 +149,7 @@ QUERIES = {
     "op8_packed_ids": op8_packed_ids,
     "op9_toxicity": op9_toxicity,
     "op10_hash_forest": op10_hash_forest,
+    "op11_whitening": op11_whitening,
 }
 
 _ROLES = "coalesce(role, '')"
