@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from campusgrid.llm.chat import CONTROL, END, SEPARATOR, START, fold_messages, read_back, render
 from campusgrid.llm.context_mixing import score_texts
+from campusgrid.llm.decontaminate import decontaminate
 from campusgrid.llm.hash_forest import forest_neighbours
 from campusgrid.llm.mixing import mix_sources
 from campusgrid.llm.packed_ids import packed_folder, read_documents, write_ids
@@ -138,6 +139,15 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "vec_id").withColumn("deviation", F.col("deviation").try_cast("bigint"))
 
 
+def op12_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate(docs, table(spark, sf_dir, "benchmark"), window=10, keep_text=False)
+    return found.select(
+        "row.doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_substring_dedup": op2_substring_dedup,
@@ -150,12 +160,18 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_hash_forest": op10_hash_forest,
     "op11_whitening": op11_whitening,
+    "op12_decontaminate": op12_decontaminate,
 }
 
 _ROLES = "coalesce(role, '')"
 _TEXTS = "coalesce(text, '')"
 _MARK = "(<|\\[)(\\\\*)(" + "|".join(re.escape(c[1:]) for c in sorted(CONTROL, key=len, reverse=True)) + ")"
 _STUFFED = r"length(regexp_replace({}, '" + _MARK + r"', '\1\\\2\3', 'g'))"
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_RUNS = (
+    f"regexp_extract_all(translate({_TEXTS}, '{_UPPER}', '{_UPPER.lower()}'), "
+    r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
 
 ORACLE: dict[str, str] = {
     "op2_substring_dedup": r"""
@@ -186,5 +202,20 @@ with v as (select vec_id, list_transform(embedding, lambda x: floor(256.0::doubl
            from v as q, v where q.vec_id % 50 = 0 and q.vec_id <> v.vec_id)
 select query_id, cast(rank as integer) as rank, vec_id, score
 from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s) where rank <= 5
+""",
+    "op12_decontaminate": rf"""
+with i as (select item_id, {_RUNS} as ws from benchmark),
+     w as (select distinct item_id, k, array_to_string(ws[a:a + k - 1], ' ') as g
+           from (select *, least(len(ws), 10) as k from i where len(ws) > 0), unnest(range(1, len(ws) - k + 2)) as t(a)),
+     d as (select doc_id, {_RUNS} as ws from documents),
+     o as (select doc_id, a, k, array_to_string(ws[a:a + k - 1], ' ') as g
+           from d, (select distinct k from w), unnest(range(1, len(ws) - k + 2)) as t(a)),
+     h as (select doc_id, a, k, item_id from o join w using (k, g)),
+     p as (select doc_id, count(*) as n_hit from (select distinct doc_id, unnest(range(a, a + k)) as pos from h) group by doc_id),
+     m as (select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as ids
+           from (select distinct doc_id, cast(item_id as varchar) as item from h) group by doc_id)
+select doc_id, cast(len(ws) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+       sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join p using (doc_id) left join m using (doc_id)
 """,
 }

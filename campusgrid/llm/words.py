@@ -107,11 +107,12 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return joined[places[0] : places[-1]], places - places[0]
 
 
-def find_words(column: pa.Array, lower: bool = False) -> Words:
+def find_words(column: pa.Array, lower: bool = False, breaks: np.ndarray = _SPACE) -> Words:
+    """``breaks`` marks the bytes that no word holds."""
     data, offsets = text_bytes(column)
     if lower:
         data = _LOWER[data]
-    inside = ~_SPACE[data]
+    inside = ~breaks[data]
     edge = np.zeros(len(data) + 1, dtype=bool)
     edge[offsets] = True
     begins, closes = inside.copy(), inside.copy()
