@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from campusgrid.llm.chat import CONTROL, END, SEPARATOR, START, fold_messages, read_back, render
 from campusgrid.llm.context_mixing import score_texts
 from campusgrid.llm.decontaminate import decontaminate
+from campusgrid.llm.fill_in_middle import fill_in_middle, restore
 from campusgrid.llm.hash_forest import forest_neighbours
 from campusgrid.llm.mixing import mix_sources
 from campusgrid.llm.packed_ids import packed_folder, read_documents, write_ids
@@ -148,6 +149,15 @@ def op12_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    made = restore(fill_in_middle(docs, seed=7, rate=100, spm=50))
+    return made.select(
+        "row.doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2("restored", 256).alias("restored_sha256"),
+    )
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_substring_dedup": op2_substring_dedup,
@@ -161,6 +171,7 @@ QUERIES = {
     "op10_hash_forest": op10_hash_forest,
     "op11_whitening": op11_whitening,
     "op12_decontaminate": op12_decontaminate,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 
 _ROLES = "coalesce(role, '')"
@@ -217,5 +228,20 @@ with i as (select item_id, {_RUNS} as ws from benchmark),
 select doc_id, cast(len(ws) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
        sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
 from d left join p using (doc_id) left join m using (doc_id)
+""",
+    "op13_fill_in_middle": f"""
+with d as (select doc_id, {_TEXTS} as text, regexp_extract_all({_TEXTS}, '[^\\n]*\\n|[^\\n]+') as u, sha256('7:' || doc_id) as h from documents),
+     k as (select *, len(u) as n, {', '.join(f"cast('0x' || h[{8 * i + 1}:{8 * i + 8}] as bigint) as h{i + 1}" for i in range(4))} from d),
+     c as (select *, least(h1 % (n + 1), h2 % (n + 1)) as a, greatest(h1 % (n + 1), h2 % (n + 1)) as b,
+           case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') then 'plain'
+                when h4 % 100 < 50 then 'spm' else 'psm' end as form from k),
+     p as (select *, array_to_string(u[1:a], '') as prefix, array_to_string(u[a + 1:b], '') as middle,
+           array_to_string(u[b + 1:], '') as suffix from c)
+select doc_id, cast(n as bigint) as n, form, case when form <> 'plain' then cast(length(prefix) as bigint) end as prefix_chars,
+       case when form <> 'plain' then cast(length(middle) as bigint) end as middle_chars,
+       sha256(case form when 'plain' then text when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+       sha256(text) as restored_sha256
+from p
 """,
 }
