@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import io
 import struct
+import sys
 import zipfile
 from collections.abc import Callable
 from xml.sax.saxutils import escape
 
 import pandas as pd
 from pyarrow import fs
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +21,8 @@ from campusgrid.session import work_path
 def write_as(df: DataFrame, name: str, suffix: str, encode: Callable[[pd.DataFrame], bytes], files: int = 4) -> str:
     """Write the rows as ``files`` files, each encoded by the task that holds its rows; returns the folder."""
     folder = work_path(df.sparkSession, name)
+    for module in {__name__, encode.__module__}:  # tasks get these functions by value: no worker has this folder on its path
+        cloudpickle.register_pickle_by_value(sys.modules[module])
 
     def write(rows: pd.DataFrame) -> pd.DataFrame:
         store, root = fs.FileSystem.from_uri(folder)

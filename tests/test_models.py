@@ -106,6 +106,44 @@ def test_kmeans_finds_three_far_rows_among_many(spark):
     assert fit.inertia < 400_000 / 12 * 1.05
 
 
+def test_swap_costs_are_exact(spark):
+    """What a pass says a swap costs is what the swapped centres cost."""
+    rng = np.random.default_rng(8)
+    x, weight = rng.normal(size=(300, 3)), rng.integers(1, 5, 300).astype(float)
+    centers, tried = x[:4], x[10:15]
+    cost = lambda c: float((weight * ((x[:, None] - c) ** 2).sum(axis=2).min(axis=1)).sum())
+    sums = clustering._swap_sums(x, weight, centers, tried)
+    assert sums[0, 0] == pytest.approx(cost(centers))
+    for i, row in enumerate(tried):
+        assert sums[i + 1, 0] == pytest.approx(cost(np.vstack([centers, row])))
+        for j in range(4):
+            swapped = centers.copy()
+            swapped[j] = row
+            assert sums[i + 1, 0] + sums[i + 1, j + 1] == pytest.approx(cost(swapped))
+
+
+def test_kmeans_leaves_a_poor_optimum_by_swaps(spark):
+    """One start only, on blobs of very different sizes: nearly every draw puts two centres into a large blob."""
+    rng = np.random.default_rng(2)
+    places = [(20.0 * i, 20.0 * (i % 3)) for i in range(9)]
+    data = [(n, float(x + rng.normal()), float(y + rng.normal())) for n, (i, (x, y)) in enumerate((i, p) for i, p in enumerate(places) for _ in range(20 if i % 2 else 600))]
+    df = spark.createDataFrame(data, "k int, x double, y double")
+    for seed in range(3):
+        fit = clustering.fit_kmeans(df, ["x", "y"], 9, key="k", starts=1, seed=seed)
+        found = sorted((round(a / 20), round(b / 20)) for a, b in fit.centers)
+        assert found == sorted((i, i % 3) for i in range(9))
+
+
+def test_kmeans_reads_the_rows_a_bounded_number_of_times(spark, monkeypatch):
+    passes = []
+    for name in ("far", "sums", "swaps"):
+        plain = getattr(clustering._Points, name)
+        monkeypatch.setattr(clustering._Points, name, lambda *a, _plain=plain, _name=name: (passes.append(_name), _plain(*a))[1])
+    df = spark.range(3000).select("id", *[(F.pmod(F.xxhash64("id", F.lit(i)), F.lit(1000)) / 1000).alias(f"x{i}") for i in range(4)])
+    clustering.elbow(df, [f"x{i}" for i in range(4)], key="id", k_max=10)
+    assert passes.count("far") == 2 and passes.count("sums") + passes.count("swaps") < 40
+
+
 def test_kmeans_more_clusters_than_points(spark):
     df = spark.createDataFrame([("a", 1.0), ("b", 2.0)], "k string, x double")
     fit = clustering.fit_kmeans(df, ["x"], 4, key="k")

@@ -1,5 +1,9 @@
 """The school plans end to end on hand-made sources, and every registered query."""
 
+import os
+import subprocess
+import sys
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,10 +11,11 @@ import __spark_entry__ as registered
 from campusgrid.plans import full_run, impact, panel, segments, sites, students
 from campusgrid.plans import names as N
 from campusgrid.sources import load_any
+from checks import model_checks
 from checks.compare import compare
 from checks.files import dbf_bytes, xlsx_bytes, zip_bytes
 
-from conftest import rows
+from conftest import ROOT, rows
 
 SF = "/root/testdata/sf0.001"
 REGISTER = [
@@ -191,6 +196,34 @@ def test_registered_query(spark, name):
     assert compare(spark, SF, registered.queries()[name], registered.oracle_sql().get(name)) == ""
 
 
+# More rows show what few rows hide in whatever is fitted.
+@pytest.mark.parametrize("name", sorted(set(model_checks.ORACLE) & set(registered.queries())))
+def test_fitted_query_on_more_rows(spark, name):
+    assert compare(spark, "/root/testdata/sf0.01", registered.queries()[name], registered.oracle_sql()[name]) == ""
+
+
 def test_entry(spark):
     out = registered.entry(spark)
     assert out.count() > 0 and N.SITE in out.columns
+
+
+OUTSIDE = """
+import sys
+sys.path.insert(0, {root!r})
+from campusgrid.session import build_session
+import __spark_entry__ as registered
+spark = build_session("local[2]", 2, spark__checkpoint__dir={folder!r})
+for name in {names!r}:
+    registered.queries()[name](spark, {sf!r}).write.format("noop").mode("overwrite").save()
+    print("ran", name)
+"""
+
+
+def test_python_tasks_find_the_package_from_any_folder(tmp_path):
+    """Workers have neither the repository on their path nor as working folder."""
+    names = ["kmeans_fit", "segments_master", "kernel_density", "lasso_select", "dbf_scan", "zip_scan", "xlsx_scan", "multiline_csv"]
+    script = tmp_path / "run.py"
+    script.write_text(OUTSIDE.format(root=ROOT, folder=str(tmp_path / "shared"), names=names, sf=SF))
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, str(script)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=600)
+    assert [line for line in done.stdout.splitlines() if line.startswith("ran")] == [f"ran {n}" for n in names], done.stderr[-3000:]
