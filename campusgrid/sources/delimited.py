@@ -12,6 +12,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from ..operators.relational import concat_rows
 from ..session import ship_package
 from .files import blank_to_null, conform_to, list_files, open_input
+from .quoted import read_quoted
 
 _DELIMITERS = ",;\t|"
 
@@ -90,8 +91,12 @@ def read_csv(
     order_col: str | None = None,
 ) -> DataFrame:
     """Scan files that share one header. Values stay text unless a schema casts them, so codes
-    keep their leading zeros. ``multi_line`` allows line breaks in quotes, at the price of one
-    task per file."""
+    keep their leading zeros. ``multi_line`` allows line breaks in quotes; such files are read
+    twice, by as many tasks as they have ranges."""
+    extra = (order_col,) if order_col else ()
+    if multi_line:
+        table = read_quoted(spark, path, columns, encoding=encoding, separator=separator, order_col=order_col)
+        return conform_to(blank_to_null(table), schema, extra)
     raw = StructType([StructField(c, StringType()) for c in columns])
     table = (
         spark.read.schema(raw)
@@ -99,13 +104,10 @@ def read_csv(
         .option("sep", separator)
         .option("encoding", encoding)
         .option("escape", '"')
-        .option("multiLine", multi_line)
         .csv(path)
     )
-    extra = ()
     if order_col:
         table = table.withColumn(order_col, load_order())
-        extra = (order_col,)
     return conform_to(blank_to_null(table), schema, extra)
 
 
@@ -119,7 +121,7 @@ def read_delimited(
 ) -> DataFrame:
     """Scan text files whose encoding and delimiter are found per file; files that agree on
     encoding, delimiter and header share one scan. Files with line breaks in quotes are found
-    and read one per task, the others are split; ``multi_line`` decides for all files."""
+    and read by ``read_quoted``; ``multi_line`` decides for all files."""
     headers = file_headers(spark, path).join(file_encodings(spark, path), "path", "left")
     groups: dict[tuple, list[str]] = {}
     for row in headers.orderBy("path").toLocalIterator():

@@ -9,6 +9,7 @@ from campusgrid.plans import full_run, impact, panel, segments, sites, students
 from campusgrid.plans import names as N
 from campusgrid.session import work_path
 from campusgrid.sources import load_any, write_csv, write_parquet
+from campusgrid.sources.quoted import read_quoted
 
 from . import files
 from .inputs import rounded, school, settled, table, with_views
@@ -465,6 +466,14 @@ def _(spark, sf):
     return load_any(spark, files.write_as(rows, "multiline", ".csv", lambda rows: rows.to_csv(index=False).encode()))
 
 
+@check("quoted_csv_ranges", "select o_orderkey::varchar as o_orderkey, concat(o_orderstatus, chr(10), '\"', o_orderpriority, '\",') as note from orders")
+def _(spark, sf):
+    note = F.concat("o_orderstatus", F.lit('\n"'), "o_orderpriority", F.lit('",')).alias("note")
+    rows = table(spark, sf, "orders").select("o_orderkey", note)
+    path = files.write_as(rows, "quoted", ".csv", lambda rows: rows.to_csv(index=False).encode(), files=2)
+    return read_quoted(spark, path, ["o_orderkey", "note"], range_bytes=1 << 14)
+
+
 @check(
     "mixed_headers",
     _CUSTOMERS.format("c_custkey::varchar as c_custkey, c_name, case when c_nationkey % 2 = 0 then c_mktsegment end as c_mktsegment"),
