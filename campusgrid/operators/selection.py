@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import as_column, hash_bucket, present
 from ..session import keep
+from .least_squares import solve, triangular_factor
 from .prepare import MedianImputer, ZScaler
 from .reshape import dummies, observed_values
 
@@ -152,8 +153,8 @@ def compare_nested(
 ) -> DataFrame:
     """In-sample R2 and the coefficient of one feature for a series of feature lists.
 
-    Text features become dummies without their first level. All models are solved from
-    sub-blocks of one moment matrix over the rows that are complete for every step."""
+    Text features become dummies without their first level. All models are solved from columns of one triangular
+    factor over the rows that are complete for every step; collinear features share the coefficients of smallest norm."""
     wanted = list(dict.fromkeys(f for _, features in steps for f in features))
     texts = [f for f in wanted if dict(df.dtypes)[f] == "string"]
     numbers = [f for f in wanted if f not in texts]
@@ -163,14 +164,12 @@ def compare_nested(
     wide = dummies(data, texts, values=levels) if texts else data
     slots = {f: [f] for f in numbers} | {f: [f"{f}_{v}" for v in levels[f][1:]] for f in texts}
     order = [s for f in wanted for s in slots[f]]
-    matrix = moments(wide, [*order, "_target"])[0]
-    _, _, cov = _centred(matrix)
+    line = F.array(F.lit(1.0), *[as_column(c).cast("double") for c in [*order, "_target"]])
+    factor = triangular_factor(wide.select(line.alias("line")), "line", len(order) + 2)
     rows = []
     for name, features in steps:
         used = [order.index(s) for f in features for s in slots[f]]
-        weights = np.linalg.lstsq(cov[np.ix_(used, used)], cov[used, -1], rcond=None)[0]
-        explained = float(weights @ cov[used, -1])
-        r2 = explained / float(cov[-1, -1]) if cov[-1, -1] > 0 else 0.0
+        found = solve(factor, used)
         at = [order[u] for u in used]
-        rows.append((name, r2, float(weights[at.index(focus)]) if focus in at else 0.0))
+        rows.append((name, found.r2, float(found.coefficients[1 + at.index(focus)]) if focus in at else 0.0))
     return df.sparkSession.createDataFrame(rows, "model string, r2 double, coefficient double")

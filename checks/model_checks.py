@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import functions as F
 
 from campusgrid.functions import hash_bucket
-from campusgrid.operators import clustering, inference, projection, regression, reports, selection
+from campusgrid.operators import clustering, fourier, inference, projection, regression, reports, selection
 from campusgrid.operators.prepare import build_preprocessor, hash_split, impute_medians, impute_modes, zscore
 from campusgrid.operators.relational import left_join
 from campusgrid.session import keep
@@ -384,6 +385,47 @@ def _(spark, sf):
     return inference.fit_ols(_with_target(spark, sf), inference.pairwise_formula("y", features), ["y", *features]).terms
 
 
+@check(
+    "ols_collinear",
+    """select term, coefficient from (values ('a', 1.1667::double), ('b', -0.3333::double), ('c', 0.8333::double), ('a:b', 0.25::double),
+         ('a:c', 0.0::double), ('b:c', 0.0::double), ('Intercept', 7.0::double)) t(term, coefficient) where (select count(*) from lineitem) > 0""",
+)
+def _(spark, sf):
+    """c = a + b: of all weights that fit, those of smallest norm."""
+    rows = lines(spark, sf).selectExpr("l_quantity / 10 as a", "double(l_linenumber) as b").selectExpr("a", "b", "a + b as c", "7 + 2 * a + 0.5D * b + 0.25D * a * b as y")
+    terms = inference.fit_ols(rows, inference.pairwise_formula("y", ["a", "b", "c"]), ["y", "a", "b", "c"]).terms
+    return terms.select("term", (rounded("coefficient", 4) + 0.0).alias("coefficient"))
+
+
+_WAVES, _PHASES = fourier.fourier_waves(2, 6, 0.5, 11)
+_PLANTED = "2 + 0.5 * p + " + " + ".join(
+    f"{w} * cos(p * {a!r} + q * {b!r} + {c!r})" for w, a, b, c in zip((1.5, -1, 0.25, 2, -0.5, 1), *_WAVES.tolist(), _PHASES.tolist())
+)
+_INPUTS = "select *, l_quantity / 50 as p, l_discount * 10 as q from lineitem"
+
+
+@check("fourier_planted", f"select {_LINE} as line, round({_PLANTED}, 5) as y from ({_INPUTS})")
+def _(spark, sf):
+    """A target made of the very waves the regressor draws comes back without error."""
+    rows = lines(spark, sf).selectExpr("line", "l_quantity / 50 as p", "l_discount * 10 as q")
+    rows = VectorAssembler(inputCols=["p", "q"], outputCol="features").transform(rows.withColumn("label", F.expr(_PLANTED)))
+    model = fourier.FourierRegressor(terms=6, width=0.5, ridge=0.0, seed=11).fit(rows)
+    return model.transform(rows).select("line", rounded("prediction", 5).alias("y"))
+
+
+@check("fourier_beats_linear", f"select true as curved, true as straight_fails, count(*) as n from (select *, {_TEST} as test from lineitem) where test")
+def _(spark, sf):
+    rows = lines(spark, sf).withColumn("y", F.expr("sin(l_quantity / 4) * cos(l_discount * 40) + l_tax"))
+    linear, curved = (
+        regression.fit_regression(rows, "y", ["l_quantity", "l_discount", "l_tax"], [], key="line", model=model).metrics
+        for model in (None, fourier.FourierRegressor(terms=300, width=0.4))
+    )
+    both = curved.withColumn("curved", F.lit(True)).unionByName(linear.withColumn("curved", F.lit(False)))
+    return both.selectExpr("r2 > 0.99 as high", "r2 < 0.2 as low", "n", "curved").groupBy("n").agg(
+        F.bool_and(F.expr("not curved or high")).alias("curved"), F.bool_and(F.expr("curved or low")).alias("straight_fails")
+    )
+
+
 @check("lasso_select")
 def _(spark, sf):
     return selection.lasso_cv(_with_target(spark, sf), ["l_quantity", "l_tax", "l_discount", "l_suppkey"], "y", key="line")

@@ -6,9 +6,12 @@ import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from campusgrid.operators import clustering, inference, projection, regression, reports, selection
+from campusgrid.operators.fourier import FourierRegressor, fourier_waves
+from campusgrid.operators.least_squares import triangular_factor, two_sided_p
 from campusgrid.operators.prepare import MedianImputer, build_preprocessor, hash_split, impute_modes, zscore
 
 from conftest import rows
@@ -217,10 +220,75 @@ def test_ols_matches_numpy(spark, noisy):
     assert fit.df_model == 5 and fit.df_residual == n - 6
 
 
-def test_ols_singular_is_an_error(spark, noisy):
-    df = noisy.withColumn("a2", F.col("a") * 2)
-    with pytest.raises(ValueError):
-        inference.fit_ols(df, "y ~ a + a2 + b", ["y", "a", "a2", "b"])
+def test_ols_collinear_terms_get_the_smallest_norm(spark, noisy, spread):
+    """The pseudo-inverse's answer, whatever the units of the columns."""
+    df = spread(noisy.withColumn("a2", F.col("a") * 1e-6).withColumn("one", F.lit(3.0)).withColumn("y", F.col("y") + F.col("d")))
+    result = inference.fit_ols(df, "y ~ a + a2 + b + one", ["y", "a", "a2", "b", "one"])
+    rows = df.toPandas()
+    x = np.column_stack([rows.a, rows.a2, rows.b, rows.one, np.ones(len(rows))]).astype(float)
+    wanted = np.linalg.pinv(x, rcond=1e-12) @ rows.y.to_numpy()
+    terms = {r.term: r for r in result.terms.collect()}
+    assert [terms[t].coefficient for t in ("a", "a2", "b", "one", "Intercept")] == pytest.approx(list(wanted), rel=1e-6)
+    resid = rows.y - x @ wanted
+    inverse = np.linalg.pinv(x, rcond=1e-12)
+    errors = np.sqrt(np.diag(inverse @ inverse.T) * (resid @ resid) / (len(x) - 3))
+    fit = result.fit.first()
+    assert (fit.df_model, fit.df_residual) == (2, len(x) - 3)
+    assert terms["b"].std_error == pytest.approx(errors[2], rel=1e-6)
+
+
+def test_factors_keep_digits_that_cross_products_lose(spark):
+    """x and x + 1e-6 z: the cross products cannot tell them apart, the factor can."""
+    data = [(i, float(i % 17), float(i % 17) + 1e-6 * (i % 5)) for i in range(500)]
+    df = spark.createDataFrame(data, "i int, x double, w double").withColumn("y", 2 * F.col("x") + 1e5 * (F.col("w") - F.col("x")))
+    found = {r.term: r.coefficient for r in inference.fit_ols(df.repartition(7), "y ~ x + w", ["y", "x", "w"]).terms.collect()}
+    assert found["w"] == pytest.approx(1e5, rel=1e-6) and found["x"] == pytest.approx(2 - 1e5, rel=1e-6)
+
+
+@pytest.mark.parametrize("parts", [1, 3, 70])
+def test_factor_tree(spark, parts):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(200, 4))
+    df = spark.createDataFrame([(list(map(float, r)),) for r in x], "x array<double>").repartition(parts)
+    factor = triangular_factor(df, "x", 4)
+    assert np.allclose(factor.T @ factor, x.T @ x) and np.allclose(factor, np.triu(factor))
+    assert not triangular_factor(df.where("false"), "x", 4).any()
+
+
+def test_fourier_regressor_on_a_smooth_function(spark, tmp_path):
+    """Far better than a plane, the same on any partitioning, and saved like any other stage."""
+    rows = spark.range(4000).select("id", *[(F.pmod(F.xxhash64("id", F.lit(i)), F.lit(10_000)) / 2500 - 2).alias(c) for i, c in enumerate("ab")])
+    rows = rows.withColumn("y", F.sin(2 * F.col("a")) * F.cos("b") + F.col("a") * F.col("b") / 4)
+    plain = regression.fit_regression(rows, "y", ["a", "b"], [], key="id")
+    smooth = regression.fit_regression(rows, "y", ["a", "b"], [], key="id", model=FourierRegressor(terms=200))
+    assert plain.metrics.first().r2 < 0.3 and smooth.metrics.first().r2 > 0.999
+    again = regression.fit_regression(rows.repartition(13), "y", ["a", "b"], [], key="id", model=FourierRegressor(terms=200))
+    assert again.metrics.first().r2 == pytest.approx(smooth.metrics.first().r2, abs=1e-9)
+    smooth.model.write().overwrite().save(str(tmp_path / "smooth"))
+    loaded = PipelineModel.load(str(tmp_path / "smooth"))
+    some = rows.limit(20)
+    assert [r.prediction for r in loaded.transform(some).collect()] == [r.prediction for r in smooth.model.transform(some).collect()]
+    assert smooth.model.transform(rows.where("false")).count() == 0
+
+
+def test_fourier_ridge_matches_numpy(spark):
+    rng = np.random.default_rng(6)
+    x, y = rng.normal(size=(300, 2)), rng.normal(size=300)
+    df = spark.createDataFrame([(Vectors.dense(r), float(v)) for r, v in zip(x, y)], ["features", "label"]).repartition(5)
+    model = FourierRegressor(terms=30, ridge=0.01, seed=3).fit(df)
+    waves, phases = fourier_waves(2, 30, 1.0, 3)
+    z = np.column_stack([np.ones(300), x, np.cos(x @ waves + phases)])
+    penalty = np.diag([0.0] + [0.01 * 300] * 32)
+    assert model.getOrDefault(model.weights) == pytest.approx(list(np.linalg.solve(z.T @ z + penalty, z.T @ y)), rel=1e-6, abs=1e-9)
+    with pytest.raises(ValueError, match="no rows"):
+        FourierRegressor().fit(df.where("false"))
+
+
+def test_student_p_values():
+    # Two-sided odds from tables.
+    for t, freedom, p in ((12.706, 1, 0.05), (2.571, 5, 0.05), (2.042, 30, 0.05), (2.750, 30, 0.01), (1.960, 10**7, 0.05), (0.0, 9, 1.0)):
+        assert two_sided_p(t, freedom) == pytest.approx(p, rel=1e-3)
+    assert two_sided_p(40.0, 100) < 1e-60 and two_sided_p(-2.571, 5) == two_sided_p(2.571, 5)
 
 
 def test_pairwise_formula_limit():
