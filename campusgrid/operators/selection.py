@@ -14,6 +14,7 @@ from ..session import keep
 from .least_squares import solve, triangular_factor
 from .prepare import MedianImputer, ZScaler
 from .reshape import dummies, observed_values
+from .wide_lasso import wide_lasso_cv
 
 
 def moments(
@@ -103,13 +104,15 @@ def lasso_cv(
     ratio: float = 1e-3,
     max_iter: int = 10_000,
     tol: float = 1e-6,
+    max_width: int = 2000,
 ) -> DataFrame:
     """Lasso on standardised features with the penalty chosen by cross-validation.
 
     Every fold and penalty is solved from the per-fold moments of a single data pass; the
     held-out error also follows from the moments. Folds are hash buckets of the key. Nulls
     are filled with medians; a text feature becomes dummies without its first level. One row
-    per (dummy) feature with its coefficient and whether it stays."""
+    per (dummy) feature with its coefficient and whether it stays. More columns than ``max_width`` go to
+    ``wide_lasso_cv``, which gives the same without their square."""
     used = df.where(present(df, [target])).select(
         hash_bucket(key, folds).alias("_fold"),
         as_column(target).cast("double").alias(target),
@@ -117,6 +120,9 @@ def lasso_cv(
     )
     texts = [f for f in features if dict(df.dtypes)[f] == "string"]
     if texts:
+        values = used.agg(*[F.count_distinct(as_column(f)).alias(f"n{i}") for i, f in enumerate(texts)]).first()
+        if len(features) + sum(values) > max_width:
+            return wide_lasso_cv(df, features, target, key=key, folds=folds, alphas=alphas, ratio=ratio, max_active=max_width)
         levels = observed_values(used, texts)
         used = dummies(used, texts, values=levels)
         features = [s for f in features for s in ([f"{f}_{v}" for v in levels[f][1:]] if f in texts else [f])]

@@ -431,6 +431,18 @@ def _(spark, sf):
     return selection.lasso_cv(_with_target(spark, sf), ["l_quantity", "l_tax", "l_discount", "l_suppkey"], "y", key="line")
 
 
+@check(
+    "lasso_wide",
+    """select feature, true as selected from (values ('customer_5'), ('customer_8'), ('price')) t(feature) where (select count(*) from orders) > 0""",
+)
+def _(spark, sf):
+    """Two of all customers matter; every customer is a column."""
+    rows = table(spark, sf, "orders").selectExpr("o_orderkey", "string(o_custkey) as customer", "o_totalprice / 1e5D as price")
+    rows = rows.withColumn("y", F.expr("50 * int(customer = '5') - 50 * int(customer = '8') + 3 * price"))
+    found = selection.lasso_cv(rows, ["customer", "price"], "y", key="o_orderkey", alphas=16, ratio=0.02, max_width=100)
+    return found.where("abs(coefficient) > 0.3").select("feature", "selected")
+
+
 @check(
     "progressive_models",
     f"""with t as (select l_quantity as x, l_tax as w, {_TARGET} as y from lineitem),

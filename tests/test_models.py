@@ -14,6 +14,8 @@ from campusgrid.operators.fourier import FourierRegressor, fourier_waves
 from campusgrid.operators.least_squares import triangular_factor, two_sided_p
 from campusgrid.operators.prepare import MedianImputer, build_preprocessor, hash_split, impute_modes, zscore
 
+from campusgrid.operators.wide_lasso import wide_lasso_cv
+
 from conftest import rows
 
 
@@ -291,6 +293,36 @@ def test_student_p_values():
     assert two_sided_p(40.0, 100) < 1e-60 and two_sided_p(-2.571, 5) == two_sided_p(2.571, 5)
 
 
+def test_wide_lasso_equals_lasso_on_few_columns(spark, noisy):
+    rng = np.random.default_rng(12)
+    shaken = noisy.toPandas()
+    shaken["y"] += rng.normal(0, 2.0, len(shaken))
+    shaken.loc[::17, "a"] = None
+    df = spark.createDataFrame(shaken).withColumn("same", F.lit(1.0)).repartition(5)
+    features = ["a", "b", "d", "c", "same"]
+    few = {r.feature: r for r in selection.lasso_cv(df, features, "y", key="id", tol=1e-9).collect()}
+    wide = {r.feature: r for r in wide_lasso_cv(df, features, "y", key="id").collect()}
+    assert set(few) == set(wide)
+    for name, r in few.items():
+        assert wide[name].alpha == pytest.approx(r.alpha) and wide[name].coefficient == pytest.approx(r.coefficient, abs=1e-6)
+
+
+def test_wide_lasso_finds_few_values_among_thousands(spark):
+    place = F.pmod(F.xxhash64("id"), F.lit(4000))
+    effect = F.when(place == 7, 30.0).when(place == 3999, -30.0).otherwise(0.0)
+    rows = spark.range(24_000).select("id", F.concat(F.lit("v"), place).alias("place"), (F.col("id") % 10 / 10).alias("x"), effect.alias("e"))
+    rows = rows.withColumn("y", F.col("e") + 2 * F.col("x") + F.pmod(F.xxhash64("id", F.lit(1)), F.lit(100)) / 1000)
+    found = wide_lasso_cv(rows, ["x", "place"], "y", key="id", alphas=12, ratio=0.05)
+    assert found.count() > 3900
+    assert {r.feature for r in found.where("abs(coefficient) > 0.05").collect()} == {"x", "place_v7", "place_v3999"}
+    with pytest.raises(ValueError, match="max_active"):
+        wide_lasso_cv(rows, ["x", "place"], "y", key="id", alphas=12, ratio=1e-4, max_active=5)
+
+
+def test_wide_lasso_without_rows(spark, noisy):
+    assert wide_lasso_cv(noisy.where("false"), ["a", "c"], "y", key="id").count() == 0
+
+
 def test_pairwise_formula_limit():
     assert inference.pairwise_formula("y", ["a", "b"]) == "y ~ (a + b)^2"
     with pytest.raises(ValueError):
