@@ -53,10 +53,15 @@ def fresh(spark: SparkSession, name: str) -> str:
     return f"{folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+#: Paths of the tables written so far that nobody has removed.
+_tables: list[str] = []
+
+
 def save(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """The same rows, written once and read back."""
     spark = df.sparkSession
     path = path or fresh(spark, name)
+    _tables.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -66,6 +71,19 @@ def discard(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def tables() -> set[str]:
+    """Paths of all tables that are kept now."""
+    return set(_tables)
+
+
+def discard_all(spark: SparkSession, paths: set[str]) -> None:
+    """Remove tables that nothing reads any more."""
+    for path in paths:
+        discard(spark, path)
+        if path in _tables:
+            _tables.remove(path)
+
+
 def clear(spark: SparkSession) -> None:
     """Remove every table of this application; results that still read them must be written first."""
     discard(spark, folder(spark))

@@ -7,8 +7,7 @@ each group is compared in numpy: only verified links leave a task, and of those
 
 Equal fingerprints are joined to one before anything is compared. A group of more than ``tile`` fingerprints is cut
 into tiles by a hash, and each pair of tiles is a task of its own, so that a common block neither lands in one task
-nor loses a link. For ``blocks - keep >= distance`` the links are exact; otherwise (wide fingerprints for a
-similarity threshold) a pair is found if one of the blocks agrees, and ``similar_groups`` finds the others."""
+nor loses a link. For ``blocks - keep >= distance`` the links are exact."""
 
 from __future__ import annotations
 
@@ -22,8 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from campusgrid.llm.components import components
-from campusgrid.llm.shelf import discard, fresh, prepare, save, tidy
-from campusgrid.llm.words import find_words, mix, small_batches, span_hashes, string_column
+from campusgrid.llm.shelf import prepare, save, tidy
+from campusgrid.llm.words import find_words, mix, small_batches, string_column
 
 _TEXT = "_text"
 
@@ -74,40 +73,6 @@ def exact_fingerprints(column: pa.Array, size: int, seed: int) -> np.ndarray:
     return _majority(found[:, None], total)
 
 
-def _shingle_sets(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of the distinct shingles of all texts, their texts, and where texts begin; in order of text and hash."""
-    words = find_words(column, lower=True)
-    heads, tails, total = _shingle_places(words.first, size)
-    found = span_hashes(words.hashes(), heads, tails)
-    owner = np.repeat(np.arange(len(total) - 1), np.diff(total))
-    order = np.lexsort((found, owner))
-    found, owner = found[order], owner[order]
-    new = np.ones(len(found), dtype=bool)
-    new[1:] = (found[1:] != found[:-1]) | (owner[1:] != owner[:-1])
-    found, owner = found[new], owner[new]
-    return found, owner, np.searchsorted(owner, np.arange(len(total)))
-
-
-def wide_fingerprints(found: np.ndarray, first: np.ndarray, bits: int) -> np.ndarray:
-    """Fingerprints of ``bits`` bits over sets of shingles."""
-    parts = [mix(found + np.uint64(0x9E3779B97F4A7C15 * i % (1 << 64))) for i in range(1, bits // 64 + 1)]
-    return _majority(np.stack(parts, axis=1), first)
-
-
-def _digests(found: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """128 bits for every set: equal sets have equal digests."""
-    sums = []
-    for salt in (0xA24BAED4963EE407, 0x9FB21C651E98DF25):
-        running = np.zeros(len(found) + 1, dtype=np.uint64)
-        np.cumsum(mix(found ^ np.uint64(salt)), out=running[1:])
-        sums.append(running[first[1:]] - running[first[:-1]] + np.diff(first).astype(np.uint64))
-    return np.stack(sums, axis=1)
-
-
-def _lists(values: np.ndarray, first: np.ndarray) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(values.view(np.int64)))
-
-
 def _fixed(values: np.ndarray) -> pa.Array:
     width = values.shape[1] * 8
     return string_column(np.ascontiguousarray(values).view(np.uint8).reshape(-1), np.arange(len(values) + 1) * width, pa.binary())
@@ -304,7 +269,8 @@ def simhash_groups(
     distance`` blocks.
 
     Fewer than ``size`` words make one shingle; no words (null, empty) make fingerprint zero, which links like any
-    other. A row with a null id gets its group's id, or null if no row with an id has its fingerprint. Repeated rows
+    other. A row with a null id has no number to give to a group: it gets the group's id if a row with an id has its
+    fingerprint, else null, and does not link other fingerprints. Repeated rows
     are kept. An empty table gives no rows."""
     marked = save(fingerprints(docs, id_column, text_column, size, seed), "marked")
     nodes = save(marked.where("id is not null").groupBy("print").agg(F.min("id").alias("node")), "prints")
@@ -313,129 +279,3 @@ def simhash_groups(
         nodes.join(moved, "node", "left").select("print", F.coalesce("component", "node").alias("component_id")), "groups"
     )
     return marked.join(groups, "print", "left").select("row_key", "id", "print", "component_id")
-
-
-def _common_shingles(keyed: DataFrame, size: int, rows: int = 1 << 14, keep: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that are frequent in about ``rows`` of the rows, sorted, and their counts there. They only set the
-    order in which shingles are indexed: any order gives the same links, this one makes the fewest candidates."""
-    every = max(1, keyed.count() // rows)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, _TEXT):
-            found, counts = np.unique(_shingle_sets(batch.column(_TEXT), size)[0], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(counts)], names=["token", "count"])
-
-    sample = keyed.where(F.pmod("row_key", F.lit(every)) == 0).select(_TEXT)
-    counted = sample.mapInArrow(tidy(run), "token bigint, count bigint").groupBy("token").agg(F.sum("count").alias("count"))
-    found = counted.where("count > 2").orderBy(F.desc("count"), "token").limit(keep).toArrow()
-    tokens, counts = (found.column(c).to_numpy() for c in ("token", "count"))
-    tokens = tokens.view(np.uint64)
-    order = np.argsort(tokens)
-    return tokens[order], counts[order]
-
-
-def _indexed(common, size: int, bits: int, above: tuple[int, int]):
-    """Per row: digest of its set of shingles, wide fingerprint, size of the set, and the first shingles in the common
-    order (rare ones first): two sets as similar as ``above`` share one of them."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, counts = common.value
-        for batch in small_batches(batches, _TEXT):
-            found, owner, first = _shingle_sets(batch.column(_TEXT), size)
-            sizes = np.diff(first)
-            often = np.zeros(len(found), dtype=np.int64)
-            if len(tokens):
-                at = np.minimum(np.searchsorted(tokens, found), len(tokens) - 1)
-                often = np.where(tokens[at] == found, counts[at], 0)
-            order = np.lexsort((found, often, owner))
-            least = -(-sizes * above[0] // above[1])  # so many shingles at least are common to both sets
-            taken = np.where(sizes > 0, sizes - least + 1, 0)
-            front = order[np.arange(len(found)) - np.repeat(first[:-1], sizes) < np.repeat(taken, sizes)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("row_key"), batch.column("id"), _fixed(_digests(found, first)),
-                 _fixed(wide_fingerprints(found, first, bits)), pa.array(sizes),
-                 _lists(found[front], np.concatenate([[0], np.cumsum(taken)]))],
-                names=["row_key", "id", "digest", "print", "n", "front"],
-            )
-
-    return run
-
-
-def _sets(size: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, _TEXT):
-            found, _, first = _shingle_sets(batch.column(_TEXT), size)
-            yield pa.RecordBatch.from_arrays([batch.column("row_key"), _lists(found, first)], names=["row_key", "shingles"])
-
-    return run
-
-
-def _verified(pairs: DataFrame, nodes: DataFrame, keyed: DataFrame, size: int, above: tuple[int, int]) -> DataFrame:
-    """The pairs (a, b) of nodes whose sets of shingles have a Jaccard similarity of ``above`` or more."""
-    spark = keyed.sparkSession
-    own = fresh(spark, "verified")
-    pairs = save(pairs.where("a <> b").distinct(), "candidates", f"{own}/candidates")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    chosen = save(nodes.join(wanted, "node", "left_semi").select("row_key", "node"), "chosen", f"{own}/chosen")
-    texts = keyed.join(chosen, "row_key", "left_semi").select("row_key", _TEXT)
-    made = texts.mapInArrow(tidy(_sets(size)), "row_key bigint, shingles array<bigint>").dropDuplicates(["row_key"])
-    sets = save(made.join(chosen, "row_key").select("node", "shingles"), "sets", f"{own}/sets")
-    side = lambda end: sets.select(F.col("node").alias(end), F.col("shingles").alias(f"set_{end}"))
-    both = F.size(F.array_intersect("set_a", "set_b"))
-    either = F.size("set_a") + F.size("set_b") - both
-    met = pairs.join(side("a"), "a").join(side("b"), "b")
-    links = save(met.where(both * above[1] >= either * above[0]).select("a", "b"), "links")
-    discard(spark, own)
-    spark._jvm.System.gc()  # frees the shuffle files of jobs that are done; the sets make large ones
-    return links
-
-
-def _front_pairs(nodes: DataFrame, moved: DataFrame, above: tuple[int, int]) -> DataFrame:
-    """Pairs of nodes of different components that share an indexed shingle and whose sizes, and places of the shingle,
-    allow the similarity. Of every pair as similar as that the first common shingle passes."""
-    labelled = nodes.join(moved, "node", "left").withColumn("label", F.coalesce("component", "node"))
-    rows = labelled.select("node", "label", "n", F.posexplode("front").alias("at", "token"))
-    # Most shingles are in one component only and go before anything is joined.
-    ends = rows.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    shared = save(ends.where("low < high").select("token"), "shared")
-    rows = save(rows.join(shared, "token"), "fronts")
-    a, b = rows.alias("a"), rows.alias("b")
-    part, whole = above
-    alike = (
-        (F.col("a.node") < F.col("b.node")) & (F.col("a.label") != F.col("b.label"))
-        & (F.least("a.n", "b.n") * whole >= F.greatest("a.n", "b.n") * part)
-        & (F.least(F.col("a.n") - F.col("a.at"), F.col("b.n") - F.col("b.at")) * (part + whole) >= (F.col("a.n") + F.col("b.n")) * part)
-    )
-    return a.join(b, (F.col("a.token") == F.col("b.token")) & alike).select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))
-
-
-def similar_groups(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", size: int = 5, bits: int = 512,
-    distance: int = 82, blocks: int = 32, keep: int = 1, above: tuple[int, int] = (4, 5),
-) -> DataFrame:
-    """Like ``simhash_groups`` for texts whose sets of ``size``-word shingles have a Jaccard similarity of ``above``
-    (a fraction) or more. Exact up to 64-bit hashes of shingles.
-
-    Such texts differ in about 15 % of wide fingerprints' bits (77 of 512), so fingerprints that agree on a whole block
-    and differ in at most ``distance`` bits are candidates for a first set of links, which misses pairs (about 30 % at
-    0.8). What it misses is found by an index of the rarest shingles of each set: sets of n and m shingles can only be as similar as
-    ``above`` = t if they share one of the first n - ceil(t n) + 1 in a common order of all shingles; of these only
-    pairs of different components so far are candidates. All candidates are decided by their whole sets. Texts without words form no groups (component_id
-    null)."""
-    spark = docs.sparkSession
-    keyed = _keyed(docs, id_column, text_column)
-    common = spark.sparkContext.broadcast(_common_shingles(keyed, size))
-    schema = "row_key bigint, id bigint, digest binary, print binary, n bigint, front array<bigint>"
-    marked = save(keyed.mapInArrow(tidy(_indexed(common, size, bits, above)), schema), "marked")
-    nodes = marked.where("id is not null and n > 0").groupBy("digest").agg(
-        F.min("id").alias("node"), F.min("row_key").alias("row_key"), F.first("print").alias("print"), F.first("n").alias("n"),
-        F.first("front").alias("front"),
-    )
-    nodes = save(nodes, "nodes")
-    links = _verified(print_links(nodes.select("node", "print"), bits, distance, blocks, keep), nodes, keyed, size, above)
-    more = _verified(_front_pairs(nodes, components(links), above), nodes, keyed, size, above)
-    moved = components(links.unionByName(more))
-    groups = save(
-        nodes.join(moved, "node", "left").select("digest", F.coalesce("component", "node").alias("component_id")), "groups"
-    )
-    return marked.join(groups, "digest", "left").select("row_key", "id", "print", "component_id")

@@ -7,7 +7,8 @@ import pytest
 import corpus_pipeline
 from campusgrid.llm.queries import ORACLE, QUERIES
 from checks.compare import compare
-from helpers import documents, words
+from helpers import documents, groups, words
+from test_simhash import fingerprint
 from test_toxicity import corpus
 
 SMALL = "/root/testdata/sf0.001"
@@ -25,6 +26,44 @@ def folder(tmp_path_factory):
     return str(path), rows
 
 
+def one_of_each_group(rows):
+    """Plain Python: groups of fingerprints linked at two bits or fewer, the smallest id of each."""
+    prints = [(r, fingerprint(r.text)) for r in rows]
+    node = {}
+    for r, p in prints:
+        if r.doc_id is not None:
+            node[p] = min(node.get(p, r.doc_id), r.doc_id)
+    links = [(node[p], node[q]) for p in node for q in node if p < q and bin(p ^ q).count("1") <= 2]
+    top = groups(links, set(node.values()))
+    best = {}
+    for r, p in prints:
+        known = top[node[p]] if p in node else None
+        if known is None or r.doc_id == known:
+            best.setdefault(("id", known) if known is not None else ("print", p), []).append(r)
+    out = []
+    for (kind, _), found in best.items():
+        texts = {r.text for r in found}
+        assert len(texts) == 1 or kind == "id"
+        out.append(found[0])
+    return out
+
+
+def test_near_copies_with_clashing_names(spark):
+    rows = [(1, "a b c d", "x", 1), (2, "a b c d", "y", 2), (2, "A B c d", "y", 3), (None, "q r s", "z", 4), (None, "q r s", "z", 4), (7, None, "", 5), (8, "", "", 6)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, row string, row_key bigint")
+    found = corpus_pipeline.drop_near_copies(spark, docs, "")
+    assert found.columns == docs.columns
+    assert sorted(map(str, map(tuple, found.collect()))) == sorted(map(str, [rows[0], rows[3], rows[5]]))
+
+
+def test_run_leaves_only_the_last_table(spark, folder):
+    from campusgrid.llm import shelf
+
+    before = shelf.tables()
+    assert corpus_pipeline.run(spark, folder[0]).count() > 0
+    assert len(shelf.tables() - before) == 1
+
+
 def test_stages(spark, folder):
     path, rows = folder
     docs = spark.read.parquet(f"{path}/documents.parquet")
@@ -39,10 +78,7 @@ def test_stages(spark, folder):
     toxic = {i for i in range(300) if i % 7 == 0}
     left = {r.doc_id for r in kept["toxicity"]}
     assert len(left & toxic) <= 1 and len(set(range(300)) - toxic - left) <= 3
-    copies = {10030, 10031, 10032, 10033, 10040, 10041, 10042}
-    after = [r.doc_id for r in kept["simhash_near_dedup"]]
-    assert [i for i in after if i in copies] == [10030] and {10010, 10011, 10012} <= set(after) and after.count(10043) == 1 and 10044 not in after
-    assert set(left) - set(after) <= copies | {None, 10034, 10035, 10016, 10044, *[i for i in left if i is not None and i < 300 and i % 5 == 0]}
+    assert sorted(map(str, kept["simhash_near_dedup"])) == sorted(map(str, one_of_each_group(kept["toxicity"])))
     by_id = {r.doc_id: r for r in kept["substring_dedup"]}
     before = {r.doc_id: r for r in kept["simhash_near_dedup"]}
     assert by_id.keys() == before.keys() and len(words(by_id[10025].text)) < len(words(before[10025].text))

@@ -5,7 +5,7 @@ import xxhash
 import pytest
 
 from campusgrid.llm.components import components
-from campusgrid.llm.simhash import _links, _settle, print_links, similar_groups, simhash_groups
+from campusgrid.llm.simhash import _links, _settle, print_links, simhash_groups
 from helpers import SCHEMA, documents, groups, words
 
 _LOWER = {c: c + 32 for c in range(65, 91)}
@@ -74,37 +74,3 @@ def test_components(spark, shape):
     found = components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()
     assert {r.node: r.component for r in found} == {k: v for k, v in want.items() if k != v}
     assert len(found) == len({r.node for r in found})
-
-
-def test_similar_texts_meet_and_others_do_not(spark):
-    rows = documents()
-    found = {r.id: r.component_id for r in similar_groups(spark.createDataFrame(rows, SCHEMA)).collect() if r.id is not None}
-    assert {found[i] for i in (30, 31, 32, 33, 40, 41, 42)} == {30}
-    assert found[17] == 17 and found[10] is None and found[12] is None and found[44] != found[20]
-
-
-def _families(similar, seed):
-    """Pairs of texts whose five-word shingle sets have the Jaccard similarity shared / (shared + 2 * own)."""
-    r = np.random.default_rng(seed)
-    rows, pairs = [], []
-    for number, (shared, own) in enumerate(similar):
-        head = [f"s{number}_{i}" for i in range(shared + 4)]
-        for side in (0, 1):
-            rows.append((2 * number + side, " ".join(head + [f"o{number}_{side}_{i}_{r.integers(9)}" for i in range(own)])))
-        pairs.append((2 * number, 2 * number + 1))
-    return rows, pairs
-
-
-def test_every_pair_from_the_threshold_on_is_found(spark):
-    kinds = [(160, 20), (164, 18), (168, 16), (176, 12), (8, 1)] * 12  # 0.8, 0.82, 0.84, 0.88, and a short text at 0.8
-    rows, pairs = _families(kinds, 1)
-    rows += [(1000 + i, " ".join(f"c{k}" for k in range(84 + 20 * (i % 2))) + " ") for i in range(4)]  # one within another at 0.8
-    found = {r.id: r.component_id for r in similar_groups(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
-    assert [found[b] for _, b in pairs] == [a for a, _ in pairs]
-    assert {found[1000 + i] for i in range(4)} == {1000}
-
-
-def test_no_pair_below_the_threshold_is_joined(spark):
-    rows, pairs = _families([(159, 20), (150, 25), (140, 30), (7, 1)] * 15, 2)  # 0.799, 0.75, 0.7, 0.78
-    found = {r.id: r.component_id for r in similar_groups(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
-    assert all(found[i] == i for i, _ in rows)
