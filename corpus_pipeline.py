@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from campusgrid.llm.mixing import WORD, mix_sources
 from campusgrid.llm.pieces import decode, encode
 from campusgrid.llm.queries import MIX, PIECE_MODEL, domain, table
-from campusgrid.llm.shelf import save
-from campusgrid.llm.simhash import row_key, similar_groups
+from campusgrid.llm.shelf import discard_all, fresh, save, tables
+from campusgrid.llm.simhash import row_key, simhash_groups
 from campusgrid.llm.substring_dedup import remove_repeats
 from campusgrid.llm.toxicity import toxicity
 
@@ -23,34 +23,48 @@ def _restored(frame: DataFrame, docs: DataFrame, text: str) -> DataFrame:
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier chain holds for toxic (probability 0.5 or more) go."""
+    """Documents that the classifier chain holds for toxic (probability 0.5 or more) go.
+
+    A document without words (null, empty) has the models' base rate, so it stays unless most labelled documents are
+    toxic. Rows are judged one by one, so repeated rows fare alike. Without labels nothing is learned and nothing goes.
+    Null ids and extra columns of any name change nothing."""
     scored = toxicity(docs, table(spark, sf_dir, "labels"))
     return _restored(scored.where("p_toxic < 0.5"), docs, "text")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five-word shingles, similarity of 0.8 or more) the smallest id stays.
-
-    Documents without words form no group and stay; of a row that occurs several times in a group one stays."""
-    groups = save(similar_groups(docs), "near_copies").where("component_id is not null")
-    leading = F.col("id").eqNullSafe(F.col("component_id"))
-    drop = groups.where(~leading).select("row_key").distinct()
-    twice = groups.where(leading).groupBy("row_key").count().where("count > 1").select("row_key")
-    keyed = docs.withColumn("_key", row_key(F.col("doc_id"), F.col("text")))
-    on = lambda keys: keys.withColumnRenamed("row_key", "_key")
-    once = keyed.join(on(save(drop.unionByName(twice), "dropped")), "_key", "left_anti")
-    again = keyed.join(on(save(twice, "twice")), "_key", "left_semi").dropDuplicates(["_key"])
-    return once.unionByName(again).select(*docs.columns)
+    """Of each group of SimHash near copies (fingerprints linked at two or fewer differing bits) one document stays: the
+    one with the smallest id, of several with that id the one with the smallest hash of its text.
+
+    Documents without words (null, empty) are copies of each other. Rows with a null id go where their fingerprint has
+    a group with an id; of other rows with a null id one of each fingerprint stays. Of repeated rows one stays. No
+    documents: no rows. Columns may have any names."""
+    groups = save(simhash_groups(docs), "near_copies")
+    first = F.min(F.struct(F.col("id").isNull(), "id", "row_key"))
+    known = groups.where("component_id is not null").groupBy("component_id").agg(first.alias("first")).select("first.row_key")
+    other = groups.where("component_id is null").groupBy("print").agg(F.min("row_key").alias("row_key")).select("row_key")
+    times = groups.groupBy("row_key").agg(F.count(F.lit(1)).alias("times"))
+    kept = save(times.join(known.unionByName(other).distinct(), "row_key", "left_semi"), "kept")
+    rows = docs.select(row_key(F.col("doc_id"), F.col("text")).alias("row_key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    once = rows.join(kept.where("times = 1"), "row_key", "left_semi")
+    again = rows.join(kept.where("times > 1"), "row_key", "left_semi").dropDuplicates(["row_key"])
+    return once.unionByName(again).select(*[F.col(f"row.`{c}`") for c in docs.columns])
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages of 50 words or more that an earlier document has are cut out; n_chars follows."""
+    """Passages of 50 words or more that a document with a smaller id has are cut out; n_chars follows.
+
+    No document goes, though its text may end up empty; a null text stays null. Rows with one id, repeated rows too,
+    cut nothing from each other; a row with a null id loses nothing. Extra columns are kept."""
     cut = _restored(remove_repeats(docs, rejoin=False), docs, "kept_text")
     return cut.withColumn("n_chars", F.length("text").cast("bigint"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents by target weights; the one in which a leaf's budget ends is shortened to its share."""
+    """Documents by target weights; the one in which a leaf's budget ends is shortened to its share.
+
+    Documents without words have nothing to add and are not drawn. A document may come once per epoch; repeated rows
+    are drawn apart; ties of the seeded order go by id and text. Null languages or sources make leaves of their own."""
     mixed = mix_sources(docs, domain(), MIX, budget_share=0.8, max_epochs=2, seed=7)
     whole = F.col("take_tokens") >= F.col("n_tokens")
     words = F.regexp_extract_all(F.col("row.text"), F.lit(WORD), F.lit(0))
@@ -60,7 +74,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids, with the text they decode to as a hash."""
+    """Token ids, with the text they decode to as a hash: one row per row, null and empty texts without pieces."""
     coded = decode(encode(docs, PIECE_MODEL, dropout=0.1, seed=1), PIECE_MODEL)
     return coded.select(
         "row.doc_id", "row.lang", "row.source", "pieces", F.size("pieces").cast("bigint").alias("n_pieces"),
@@ -81,7 +95,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The rows of the last stage. A stage's own tables and its input go once its output is written."""
+    docs, last = table(spark, sf_dir, "documents"), set()
     for name, stage in STAGES:
-        docs = save(stage(spark, docs, sf_dir), f"stage-{name}")
+        before, path = tables(), fresh(spark, f"stage-{name}")
+        docs = save(stage(spark, docs, sf_dir), name, path)
+        discard_all(spark, (tables() - before - {path}) | last)
+        last = {path}
     return docs
