@@ -219,6 +219,30 @@ def _(spark, sf):
     )
 
 
+# 120 columns of rank two: multiples of a balance, and multiples of a nation's number.
+_U, _V = [0.1 * (i % 7 + 1) for i in range(60)], [0.05 * (i % 5 + 1) for i in range(60)]
+_NORM = [sum(w * w for w in side) ** 0.5 for side in (_U, _V)]
+
+
+@check(
+    "pca_wide",
+    f"""with t as (select c_custkey, {_NORM[0]!r} * (s - avg(s) over ()) as a, {_NORM[1]!r} * (t - avg(t) over ()) as b
+                  from (select c_custkey, c_acctbal / 1000 as s, c_nationkey::double as t from customer)),
+            m as (select avg(a * a) as aa, avg(a * b) as ab, avg(b * b) as bb from t),
+            w as (select *, 0.5 * atan2(2 * ab, aa - bb) as w, sqrt((aa - bb) * (aa - bb) / 4 + ab * ab) as r from m)
+       select c_custkey, round(a * cos(w) + b * sin(w), 5) as pc1, round(b * cos(w) - a * sin(w), 5) as pc2,
+              round(100 * ((aa + bb) / 2 + r) / (aa + bb), 6) as percent from t, w""",
+)
+def _(spark, sf):
+    c = table(spark, sf, "customer").selectExpr("c_custkey", "c_acctbal / 1000 as s", "double(c_nationkey) as t")
+    made = {f"u{i}": F.col("s") * w for i, w in enumerate(_U)} | {f"v{i}": F.col("t") * w for i, w in enumerate(_V)}
+    wide = c.select("c_custkey", *[column.alias(name) for name, column in made.items()])
+    fit = projection.fit_pca(wide, list(made), block=16)
+    points = projection.project(wide, fit)
+    percent = rounded(F.lit(100 * fit.explained[0])).alias("percent")
+    return points.select("c_custkey", *[rounded(f"pc{i}", 5).alias(f"pc{i}") for i in (1, 2)], percent)
+
+
 @check("pca_points")
 def _(spark, sf):
     e = _vector_columns(spark, sf)

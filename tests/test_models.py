@@ -170,6 +170,21 @@ def test_pca_matches_numpy(spark, spread):
     assert np.allclose(points, z @ w.T, atol=1e-9)
 
 
+@pytest.mark.parametrize("rank, noise", [(3, 0.0), (90, 0.02)])
+def test_pca_of_many_columns_by_a_random_block(spark, rank, noise):
+    """More columns than the block: the same components as the whole covariance has."""
+    rng = np.random.default_rng(7)
+    x = (rng.normal(size=(400, rank)) * 0.7 ** np.arange(rank)) @ rng.normal(size=(rank, 90)) + noise * rng.normal(size=(400, 90)) + 5
+    cols = [f"c{i}" for i in range(90)]
+    df = spark.createDataFrame([tuple(map(float, r)) for r in x], cols).repartition(3)
+    fit = projection.fit_pca(df, cols, components=3, block=16)
+    values, turn = np.linalg.eigh(np.cov(x.T))
+    assert fit.explained == pytest.approx((values[::-1][:3] / values.sum()).tolist(), rel=1e-8)
+    assert np.abs(np.abs(np.sum(np.array(fit.loadings).T * turn[:, ::-1][:, :3], axis=0)) - 1).max() < 1e-8
+    with pytest.raises(ValueError):
+        projection.fit_pca(df.where("false"), cols)
+
+
 def test_regression_recovers_known_model(spark, noisy):
     run = regression.fit_regression(noisy, "y", ["a", "b"], ["c"], key="id")
     found = run.metrics.first()
