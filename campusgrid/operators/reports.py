@@ -48,10 +48,16 @@ def histogram(df: DataFrame, c: str, *, bins: int | None = None) -> DataFrame:
     )
 
 
+#: Powers summed per bin. A row's error is at most 1.1 / (2^n sqrt(n!)) of the kernel's peak: 4e-12 for n = 16.
+_POWERS = 16
+
+
 def kernel_density(df: DataFrame, c: str, *, points: int = 200) -> DataFrame:
     """Gaussian density on an even grid from minimum to maximum, bandwidth std * n^(-1/5).
 
-    A task adds up its rows on the whole grid and sends one sum per grid point."""
+    Rows are summed up in bins one bandwidth wide: their number and the powers of their distance from the middle. The
+    bins' Hermite series give the density to 11 digits of its highest possible value, so after one aggregation the work
+    is bins times grid points, whatever the number of rows."""
     x = number(c)
     n, low, high, std = df.agg(F.count(x), F.min(x), F.max(x), F.stddev_samp(x)).first()
     spark = df.sparkSession
@@ -60,19 +66,34 @@ def kernel_density(df: DataFrame, c: str, *, points: int = 200) -> DataFrame:
     width = std * n ** (-1 / 5)
     grid = np.linspace(low, high, points)
     weight = 1.0 / (n * width * math.sqrt(2 * math.pi))
+    place = (x - F.lit(low)) / F.lit(width)
+    placed = df.select(place.alias("z")).where("z is not null").select("z", F.floor("z").alias("bin"))
+    placed = placed.select("bin", (F.col("z") - F.col("bin") - 0.5).alias("d"))
+    power = [F.lit(1.0)]
+    for _ in range(_POWERS - 1):
+        power.append(power[-1] * F.col("d"))
+    names = [f"s{i}" for i in range(_POWERS)]
+    bins = placed.groupBy("bin").agg(*[F.sum(p).alias(s) for p, s in zip(power, names)])
+    reach = (grid - low) / width
 
     def partial_sums(batches):
         total = np.zeros(len(grid))
         for batch in batches:
-            values = batch["x"].to_numpy()
-            for first in range(0, len(values), 2048):
-                gap = (values[first : first + 2048, None] - grid) / width
-                total += np.exp(-0.5 * gap * gap).sum(axis=0)
+            sums = batch[names].to_numpy()
+            for first in range(0, len(batch), 2048):
+                part = sums[first : first + 2048]
+                u = reach - (batch["bin"].to_numpy()[first : first + 2048, None] + 0.5)
+                u = np.clip(u, -40.0, 40.0)  # nothing is left of a kernel so far away
+                before, now, series, factor = np.zeros_like(u), np.ones_like(u), np.zeros_like(u), 1.0
+                for i in range(len(names)):
+                    series += now * (part[:, i : i + 1] / factor)
+                    before, now = now, u * now - i * before
+                    factor *= i + 1
+                total += (series * np.exp(-0.5 * u * u)).sum(axis=0)
         yield pd.DataFrame({"x": grid, "density": total * weight})
 
-    present = df.select(x.alias("x")).where("x is not null")
-    partials = present.mapInPandas(partial_sums, "x double, density double")
-    return partials.groupBy("x").agg(F.sum("density").alias("density"))
+    partials = bins.mapInPandas(partial_sums, "x double, density double")
+    return partials.groupBy("x").agg(F.greatest(F.sum("density"), F.lit(0.0)).alias("density"))
 
 
 def cluster_points(df: DataFrame, fit: KMeansFit, projection: Projection, *, key: str) -> DataFrame:

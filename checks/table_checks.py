@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 
 from campusgrid.operators import aggregate as agg
 from campusgrid.operators import relational as rel
-from campusgrid.operators import reshape
+from campusgrid.operators import reshape, sketches
 from campusgrid.operators.columns import rename_expected
 
-from .inputs import rounded, table
+from .inputs import rounded, settled, table
 
 QUERIES = {}
 ORACLE = {}
@@ -276,6 +276,21 @@ def _(spark, sf):
     return agg.distinct_profile(li, ["l_returnflag", "l_partkey"])
 
 
+@check(
+    "distinct_sketches",
+    """select o_orderstatus, count(*) as rows, count(distinct o_custkey) as customers, true as close from orders group by 1""",
+)
+def _(spark, sf):
+    """Sketches of status and month, written, read again and merged by status."""
+    orders = table(spark, sf, "orders").withColumn("month", F.trunc("o_orderdate", "month"))
+    fine = sketches.distinct_sketches(orders, ["o_orderstatus", "month"], ["o_custkey"])
+    stored = settled(fine, lambda: None)
+    merged = sketches.estimates(sketches.merge_sketches(stored, ["o_orderstatus"], ["o_custkey"]), ["o_custkey"])
+    exact = agg.profile(orders, ["o_orderstatus"], F.count_distinct("o_custkey").alias("customers"))
+    near = F.abs(F.col("o_custkey") / F.col("customers") - 1) <= sketches.relative_error(14)
+    return rel.left_join(merged, exact, ["o_orderstatus"]).select("o_orderstatus", "rows", "customers", near.alias("close"))
+
+
 @check(
     "median_fill_values",
     "select round(quantile_cont(l_extendedprice, 0.5), 4) as price, round(quantile_cont(l_quantity, 0.5), 4) as quantity from lineitem",

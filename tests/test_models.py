@@ -9,7 +9,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from campusgrid.operators import clustering, inference, projection, regression, reports, selection
+from campusgrid.operators import clustering, inference, projection, regression, reports, selection, sketches
 from campusgrid.operators.fourier import FourierRegressor, fourier_waves
 from campusgrid.operators.least_squares import triangular_factor, two_sided_p
 from campusgrid.operators.prepare import MedianImputer, build_preprocessor, hash_split, impute_modes, zscore
@@ -378,4 +378,29 @@ def test_density_matches_numpy(spark, blobs):
     grid = np.linspace(x.min(), x.max(), 200)
     width = x.std(ddof=1) * len(x) ** -0.2
     wanted = np.exp(-0.5 * ((x[:, None] - grid) / width) ** 2).mean(axis=0) / (width * math.sqrt(2 * math.pi))
-    assert np.allclose(out.x, grid) and np.allclose(out.density, wanted)
+    assert np.allclose(out.x, grid) and np.allclose(out.density, wanted, rtol=0, atol=1e-10 * wanted.max())
+
+
+def test_density_with_rows_far_away_and_bounded_work(spark):
+    """The bins depend on the bandwidth, not on the rows; far rows and repeated ones are as exact as others."""
+    x = np.concatenate([np.random.default_rng(1).standard_cauchy(3000), np.full(500, 0.25), [1e9]])
+    df = spark.createDataFrame([(float(v),) for v in x] + [(None,), (float("nan"),)], "x double")
+    out = reports.kernel_density(df, "x", points=50).orderBy("x").toPandas()
+    width = x.std(ddof=1) * len(x) ** -0.2
+    grid = np.linspace(x.min(), x.max(), 50)
+    wanted = np.exp(-0.5 * ((x[:, None] - grid) / width) ** 2).mean(axis=0) / (width * math.sqrt(2 * math.pi))
+    assert np.allclose(out.density, wanted, rtol=0, atol=1e-10 * wanted.max())
+
+
+def test_sketches_of_groups_merge(spark, spread):
+    rows = spread(spark.range(40_000).selectExpr("id % 4 as a", "id % 3 as b", "if(id % 10 = 0, null, id % 9001) as v", "string(id % 5) as t"))
+    fine = sketches.distinct_sketches(rows, ["a", "b"], ["v", "t"])
+    assert fine.count() == 12
+    for keys in (["a"], ["b"], []):
+        exact = rows.groupBy(*keys).agg(F.count("*").alias("rows"), F.count_distinct("v").alias("v"), F.count_distinct("t").alias("t")).collect()
+        found = sketches.estimates(sketches.merge_sketches(fine, keys, ["v", "t"]), ["v", "t"]).collect()
+        wanted = {tuple(r[k] for k in keys): r for r in exact}
+        for r in found:
+            own = wanted[tuple(r[k] for k in keys)]
+            assert r["rows"] == own["rows"] and r["t"] == own["t"]
+            assert abs(r["v"] / own["v"] - 1) < sketches.relative_error(14)
