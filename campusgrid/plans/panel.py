@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import as_column, clean_text, flag_present, ordinal_map, zero_pad_code
 from ..operators.aggregate import profile
+from ..operators.factored import Joined, joined_means
 from ..operators.relational import distinct_join, left_join
 from ..operators.reshape import mean_pivot
 from . import names as N
@@ -66,6 +67,29 @@ def exploratory_panel(
     )
 
 
+def panel_means(
+    register: DataFrame,
+    buildings: DataFrame,
+    classrooms: DataFrame,
+    evaluations: DataFrame,
+    history: DataFrame,
+    master: DataFrame,
+) -> DataFrame:
+    """Rows and means of the exploratory panel per subject, programme and type of school, without making its rows."""
+
+    def coded(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+        return df.select(*[as_column(c) for c in columns]).withColumn(N.SITE, zero_pad_code(N.SITE)).distinct()
+
+    site = (N.SITE, N.SITE)
+    rooms = [Joined(coded(buildings, N.BUILDINGS_OLD), site), Joined(coded(classrooms, N.CLASSROOMS), site)]
+    structure = Joined(coded(register, N.REGISTER_OLD), ("Cod_Local", N.SITE), ["D_FORMA"], ["TALUMNO"], rooms)
+    sections = Joined(section_results(evaluations), ("Nombre_IE", "nom_ie"), ["Programa"], ["promedio_suma_puntaje"])
+    places = master.withColumn(N.SITE, zero_pad_code(N.SITE)).distinct()
+    distances = Joined(places, ("Cod_Local", N.SITE), [], [N.DISTANCE])
+    means = history_means(history).withColumn("Cod_Local", zero_pad_code("Cod_Local")).distinct()
+    return joined_means(Joined(means, None, ["Evaluación"], ["promedio_logro"], [sections, structure, distances]))
+
+
 def programme_panel(history: DataFrame, *, year: int | None = None) -> DataFrame:
     """Mean level per subject for every site, year and combination of programme flags."""
     flags = {c: N.PROGRAMME_NAMES.get(c, c) for c in N.PROGRAMMES_PANEL}

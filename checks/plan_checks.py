@@ -227,6 +227,18 @@ def _(spark, sf):
     )
 
 
+@check(
+    "panel_means",
+    f"""select "Evaluación", "Programa", "D_FORMA", count(*) as rows, round(avg(promedio_logro), 3) as promedio_logro,
+               round(avg(promedio_suma_puntaje), 3) as promedio_suma_puntaje, round(avg("TALUMNO"), 3) as "TALUMNO",
+               round(avg("dist_km_utm_log+1"), 3) as "dist_km_utm_log+1" from ({ORACLE["exploratory_panel"]}) group by 1, 2, 3""",
+)
+def _(spark, sf):
+    out = panel.panel_means(*[_panel_view(spark, sf, n) for n in ("register", "buildings", "classrooms", "evaluations", "history", "master")])
+    means = ["promedio_logro", "promedio_suma_puntaje", "TALUMNO", N.DISTANCE]
+    return out.select("Evaluación", "Programa", "D_FORMA", "rows", *[F.round(as_column(c), 3).alias(c) for c in means])
+
+
 _PROGRAMMES = """(select lpad(cast("Cod_Local" as bigint)::varchar, 6, '0') as "Cod_Local", "AÑO", ("PDL" is not null)::int as "PDL",
     ("QM" is not null)::int as "QM", ("MTESANA" is not null)::int as "MTESANA_INDIRECTO", ("ACADEMIA" is not null)::int as "ACADEMIA_DIRECTO",
     round(avg(case lower("Nivel de logro") when 'en inicio' then 1 when 'en proceso' then 2 when 'satisfactorio' then 3 end)

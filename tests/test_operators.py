@@ -1,5 +1,7 @@
 """Table operators on small hand-made frames."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,6 +9,7 @@ from campusgrid.operators import aggregate as agg
 from campusgrid.operators import columns as cols
 from campusgrid.operators import relational as rel
 from campusgrid.operators import reshape
+from campusgrid.operators.factored import Joined, joined_means
 from campusgrid.operators.quantiles import column_modes, exact_quantiles
 
 from conftest import rows
@@ -197,3 +200,20 @@ def test_quantiles_of_empty_column(spark):
 def test_modes_smallest_on_tie(spark, spread):
     df = spread(spark.createDataFrame([("b", None), ("a", None), ("b", None), ("a", None), (None, None)], "u string, v string"))
     assert column_modes(df, ["u", "v"]) == {"u": "a", "v": None}
+
+
+def test_joined_means_equal_the_joined_rows(spark, spread):
+    """A tree of many-to-many left joins with null keys, null measures, null groups and rows that meet nothing."""
+    r = random.Random(7)
+    some = lambda *values: r.choice([*values, None])
+    base = spark.createDataFrame([(some("a", "b"), some(1, 2, 3, 4), some("x", "y"), some(1.0, 2.0)) for _ in range(30)], "g string, k int, j string, u double")
+    mid = spark.createDataFrame([(some(1, 2, 5), some(10, 20), some("p", "q"), some(3, 4)) for _ in range(25)], "mk int, leaf int, h string, v int")
+    leaf = spark.createDataFrame([(some(10, 30), some(0.5, 7.5)) for _ in range(12)], "lk int, w double")
+    side = spark.createDataFrame([(some("x", "z"),) for _ in range(9)], "sj string")
+    joined = base.join(mid, base.k == mid.mk, "left").join(leaf, F.col("leaf") == leaf.lk, "left").join(side, base.j == side.sj, "left")
+    wanted = joined.groupBy("g", "h").agg(F.count("*").alias("rows"), F.avg("u").alias("u"), F.avg("v").alias("v"), F.avg("w").alias("w"))
+    tree = Joined(spread(base), None, ["g"], ["u"], [Joined(spread(mid), ("k", "mk"), ["h"], ["v"], [Joined(leaf, ("leaf", "lk"), [], ["w"])]), Joined(side, ("j", "sj"))])
+    digits = lambda df: rows(df.select("g", "h", "rows", *[F.round(c, 9).alias(c) for c in "uvw"]))
+    assert digits(joined_means(tree)) == digits(wanted)
+    with pytest.raises(ValueError, match="names"):
+        joined_means(Joined(base, None, ["g"], [], [Joined(base, ("k", "k"), ["g"])]))
