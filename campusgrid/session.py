@@ -24,6 +24,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, **conf:
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.python.filterPushdown.enabled", "true")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
     )

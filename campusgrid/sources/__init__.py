@@ -3,7 +3,7 @@
 from .dbf import dbf_headers, read_dbf
 from .delimited import file_encodings, file_headers, read_csv, read_delimited
 from .load import load_any, recognise
-from .sinks import write_csv, write_parquet
+from .sinks import write_bucketed, write_csv, write_parquet
 from .xlsx import read_xlsx
 
 __all__ = [
@@ -16,6 +16,7 @@ __all__ = [
     "read_delimited",
     "read_xlsx",
     "recognise",
+    "write_bucketed",
     "write_csv",
     "write_parquet",
 ]

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import json
 import struct
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -13,7 +13,21 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import (
+    DataSource,
+    DataSourceReader,
+    EqualTo,
+    Filter,
+    GreaterThan,
+    GreaterThanOrEqual,
+    In,
+    InputPartition,
+    IsNotNull,
+    IsNull,
+    LessThan,
+    LessThanOrEqual,
+    StringStartsWith,
+)
 from pyspark.sql.types import (
     BooleanType,
     DataType,
@@ -131,8 +145,11 @@ def decode_records(
     encoding: str = "latin-1",
     order_col: str | None = None,
     order_base: int = 0,
+    filters: Sequence[Filter] = (),
 ) -> Iterator[pa.RecordBatch]:
-    """Live records from the stream position on, in batches; deleted records are skipped."""
+    """Live records from the stream position on, in batches; deleted records are skipped.
+
+    Columns in ``filters`` are decoded first, all others only for the records that pass."""
     layout = header.layout()
     place = {f.name: i for i, f in enumerate(header.fields)}
     chosen = columns or [f.name for f in header.fields]
@@ -142,19 +159,60 @@ def decode_records(
         if not rows:
             return
         table = np.frombuffer(data, dtype=layout, count=rows)
-        live = table["mark"] != b"*"
+        live = np.flatnonzero(table["mark"] != b"*")
+        for column in dict.fromkeys(f.attribute[0] for f in filters):
+            raw = table[f"f{place[column]}"][live]
+            passed = _passing(_decode(header.fields[place[column]], raw, encoding), [f for f in filters if f.attribute[0] == column])
+            live = live[passed]
         arrays = [
             _decode(header.fields[place[c]], table[f"f{place[c]}"][live], encoding) for c in chosen
         ]
         names = list(chosen)
         if order_col:
-            arrays.append(pa.array(order_base + first + np.flatnonzero(live), pa.int64()))
+            arrays.append(pa.array(order_base + first + live, pa.int64()))
             names.append(order_col)
         yield pa.RecordBatch.from_arrays(arrays, names=names)
         first += rows
         count -= rows
 
 
+_COMPARISONS = {
+    EqualTo: pc.equal, GreaterThan: pc.greater, GreaterThanOrEqual: pc.greater_equal, LessThan: pc.less, LessThanOrEqual: pc.less_equal,
+}
+
+
+def _decides(test: Filter, kinds: dict[str, str]) -> bool:
+    """Whether the reader can apply a filter just as Spark would: comparisons, lists and null tests of one column."""
+    kind = kinds.get(test.attribute[0]) if len(getattr(test, "attribute", ())) == 1 else None
+    if kind is None or kind == "M":
+        return False
+    if isinstance(test, (IsNotNull, IsNull)):
+        return True
+    if isinstance(test, StringStartsWith):
+        return kind == "C"
+    if isinstance(test, In):
+        return all(v is not None for v in test.value)
+    return type(test) in _COMPARISONS and test.value is not None
+
+
+def _passing(values: pa.Array, tests: Sequence[Filter]) -> np.ndarray:
+    """Which values pass all tests; a null passes none but the test for it."""
+    passed = np.ones(len(values), dtype=bool)
+    for test in tests:
+        if isinstance(test, IsNotNull):
+            found = pc.is_valid(values)
+        elif isinstance(test, IsNull):
+            found = pc.is_null(values)
+        elif isinstance(test, StringStartsWith):
+            found = pc.starts_with(values, test.value)
+        elif isinstance(test, In):
+            found = pc.if_else(pc.is_valid(values), pc.is_in(values, pa.array(list(test.value), values.type)), False)
+        else:
+            found = _COMPARISONS[type(test)](values, pa.scalar(test.value, values.type))
+        passed &= pc.fill_null(found, False).to_numpy(zero_copy_only=False)
+    return passed
+
+
 @dataclass
 class _RecordRange(InputPartition):
     path: str
@@ -172,6 +230,17 @@ class _DbfReader(DataSourceReader):
         self.step = int(options.get("recordspertask", 250_000))
         self.records = json.loads(options["records"])
         self.numbers = json.loads(options["numbers"])
+        self.filters: list[Filter] = []
+
+    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
+        """Keeps the filters that records can be tested by; the others stay with Spark."""
+        with open_input(self.paths[0]) as stream:
+            kinds = {f.name: f.kind for f in read_header(stream, self.encoding).fields}
+        for test in filters:
+            if _decides(test, kinds):
+                self.filters.append(test)
+            else:
+                yield test
 
     def partitions(self):
         ranges = [
@@ -194,6 +263,7 @@ class _DbfReader(DataSourceReader):
                 encoding=self.encoding,
                 order_col=self.order_col,
                 order_base=part.number << 32,
+                filters=self.filters,
             )
 
     def _names(self):
@@ -226,7 +296,9 @@ def read_dbf(
     records_per_task: int = 250_000,
 ) -> DataFrame:
     """Scan dBASE tables. ``columns`` decodes only these; ``order_col`` adds the load order.
-    Tables with different fields are combined by column name."""
+    Tables with different fields are combined by column name. Where the session has
+    ``spark.sql.python.filterPushdown.enabled`` set, records are tested by a query's filters before the other columns
+    are decoded."""
     ship_package(spark)
     spark.dataSource.register(DbfDataSource)
     groups: dict[str, list[tuple[str, int, int]]] = {}

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
+from ..functions import as_column
+
 
 def write_csv(
     df: DataFrame, path: str, *, separator: str = ",", encoding: str = "UTF-8", mode: str = "overwrite"
@@ -23,3 +25,17 @@ def write_csv(
 
 def write_parquet(df: DataFrame, path: str, *, partition_by: Sequence[str] = (), mode: str = "overwrite") -> None:
     df.write.mode(mode).partitionBy(*partition_by).parquet(path)
+
+
+def write_bucketed(
+    df: DataFrame, path: str, name: str, key: str | Sequence[str], *, buckets: int, mode: str = "overwrite"
+) -> DataFrame:
+    """A table (``name`` in the catalogue, files at ``path``) whose rows are dealt into buckets by ``key`` and sorted by it.
+
+    Joins and aggregates on the key then read the table as it lies: neither side of a join of two tables with as many
+    buckets is shuffled, and of other tables only the other side is. Rows are dealt before they are written, so every
+    bucket is one file. Choose buckets so that one fits an executor's memory a few times over; a hot key stays in one."""
+    keys = [key] if isinstance(key, str) else list(key)
+    dealt = df.repartition(buckets, *[as_column(k) for k in keys])
+    dealt.write.mode(mode).bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(name)
+    return df.sparkSession.table(name)

@@ -8,7 +8,7 @@ from campusgrid.functions import as_column
 from campusgrid.plans import full_run, impact, panel, segments, sites, students
 from campusgrid.plans import names as N
 from campusgrid.session import work_path
-from campusgrid.sources import load_any, write_csv, write_parquet
+from campusgrid.sources import load_any, read_dbf, write_bucketed, write_csv, write_parquet
 from campusgrid.sources.quoted import read_quoted
 
 from . import files
@@ -112,6 +112,21 @@ def _(spark, sf):
     return _rounded_subjects(_sites(spark, sf))
 
 
+def bucketed_sites(spark, sf, buckets=8):
+    """The integrated sites, with all detail tables stored in buckets of the site code."""
+    stored = {}
+    for name in ("register", "classrooms", "buildings"):
+        path = work_path(spark, name)
+        stored[name] = write_bucketed(school(spark, sf, name), path, path.rsplit("/", 1)[1].replace("-", "_"), N.SITE, buckets=buckets)
+    rest = [school(spark, sf, n) for n in ("history", "distances")]
+    return sites.integrate_sites(*stored.values(), *rest, register_order=["seq"], history_order=["seq"])
+
+
+@check("integrate_sites_bucketed", with_views(_SITES, *_FIVE))
+def _(spark, sf):
+    return _rounded_subjects(bucketed_sites(spark, sf))
+
+
 @check(
     "site_features",
     with_views(
@@ -457,6 +472,21 @@ def _(spark, sf):
     return load_any(spark, files.write_as(_customers(spark, sf), "dbf", ".dbf", encode))
 
 
+@check(
+    "dbf_filtered",
+    """select c_custkey, c_name, c_mktsegment as segment from customer
+       where c_custkey > 40 and c_mktsegment in ('BUILDING', 'MACHINERY') and c_name like 'Customer%'""",
+)
+def _(spark, sf):
+    def encode(rows):
+        fields = [("c_custkey", "N", 10, 0), ("c_name", "C", 25, 0), ("segment", "C", 10, 0)]
+        return files.dbf_bytes(fields, [(False, [str(v) for v in r]) for r in rows[[f[0] for f in fields]].itertuples(index=False)])
+
+    rows = _customers(spark, sf).withColumnRenamed("c_mktsegment", "segment")
+    found = read_dbf(spark, files.write_as(rows, "dbf", ".dbf", encode), records_per_task=500)
+    return found.where("c_custkey > 40 and segment in ('BUILDING', 'MACHINERY') and c_name like 'Customer%'")
+
+
 @check("xlsx_scan", _CUSTOMERS.format("c_custkey::varchar as c_custkey, c_name, c_mktsegment"))
 def _(spark, sf):
     encode = lambda rows: files.xlsx_bytes(_cells(rows, ["c_custkey", "c_name", "c_mktsegment"]))

@@ -11,7 +11,7 @@ import __spark_entry__ as registered
 from campusgrid.plans import full_run, impact, panel, segments, sites, students
 from campusgrid.plans import names as N
 from campusgrid.sources import load_any
-from checks import model_checks
+from checks import model_checks, plan_checks
 from checks.compare import compare
 from checks.files import dbf_bytes, xlsx_bytes, zip_bytes
 
@@ -207,6 +207,21 @@ def test_entry(spark):
     assert out.count() > 0 and N.SITE in out.columns
 
 
+def test_bucketed_tables_are_joined_as_they_lie(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = plan_checks.bucketed_sites(spark, SF)
+        assert joined.count() > 0
+        plan = joined._jdf.queryExecution().optimizedPlan().toString(), joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # Only the history (grouped and joined by its own code) and the distances are dealt out.
+    shuffles = [line for line in plan[1].split("Initial Plan")[-1].splitlines() if "Exchange hashpartitioning" in line]
+    assert len(shuffles) <= 3, "\n".join(shuffles)
+    assert plan[1].count("Bucketed: true") >= 3
+
+
 OUTSIDE = """
 import sys
 sys.path.insert(0, {root!r})

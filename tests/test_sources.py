@@ -208,3 +208,23 @@ def test_file_order_across_parts(spark, tmp_path):
     df = sources.load_any(spark, str(tmp_path / "parts"), order_col="seq")
     ids = [int(r.id) for r in df.orderBy("seq").collect()]
     assert ids == list(range(3000))
+
+
+def test_dbf_filters_are_pushed(spark, put):
+    fields = [("K", "N", 8, 0), ("X", "N", 8, 2), ("S", "C", 6, 0), ("D", "D", 8, 0), ("T", "L", 1, 0), ("M", "M", 10, 0)]
+    records = [(i % 11 == 0, [str(i) if i % 7 else "", f"{i / 4:.2f}", "ab"[i % 2] * (i % 4), f"202401{1 + i % 28:02d}", "TF?"[i % 3], ""]) for i in range(300)]
+    put("f/a.dbf", dbf_bytes(fields, records[:200]))
+    path = put("f/b.dbf", dbf_bytes(fields, records[200:])).rsplit("/", 1)[0]
+    df = sources.read_dbf(spark, path, order_col="seq", records_per_task=64)
+    whole = df.cache()
+    tests = [
+        "K = 40", "K > 250 and X <= 70.25", "S in ('b', 'aa')", "K is null", "K is not null and S like 'a%'", "D >= date'2024-01-20'",
+        "T", "not T", "T is null", "K in (1, 2, 299) or X = 3.5", "length(S) = 2 and K < 100", "K <=> null", "M is null and K = 5", "seq > 100 and K > 20",
+    ]
+    wanted = [rows(whole.where(test)) for test in tests]
+    whole.unpersist()
+    for test, found in zip(tests, wanted):
+        assert rows(sources.read_dbf(spark, path, order_col="seq", records_per_task=64).where(test)) == found, test
+    plan = lambda test: sources.read_dbf(spark, path).where(test)._jdf.queryExecution().executedPlan().toString()
+    assert "Filter" not in plan("K > 250 and S in ('b', 'aa')").replace("RuntimeFilters", "")
+    assert "Filter" in plan("length(S) = 2").replace("RuntimeFilters", "")
