@@ -10,6 +10,7 @@ from campusgrid.functions import hash_bucket
 from campusgrid.operators import clustering, fourier, inference, projection, regression, reports, selection
 from campusgrid.operators.prepare import build_preprocessor, hash_split, impute_medians, impute_modes, zscore
 from campusgrid.operators.relational import left_join
+from campusgrid.plans import segments
 from campusgrid.session import keep
 
 from .inputs import rounded, settled, table
@@ -103,6 +104,28 @@ def _(spark, sf):
     return fitted.transform(rows).select("line", vector_to_array("features").alias("features"))
 
 
+@check(
+    "preprocessor_steps",
+    f"""with t as (select {_LINE} as line, {_TEST} as test, case when l_tax > 0.02 then l_quantity end as x,
+                         nullif(l_returnflag, 'N') as f from lineitem),
+            m as (select quantile_cont(x, 0.5) as middle from t where not test),
+            o as (select f as mode from t where not test and f is not null group by f order by count(*) desc, f limit 1),
+            s as (select avg(coalesce(x, middle)) as mean, stddev_pop(coalesce(x, middle)) as dev from t, m where not test)
+       select line, round((coalesce(x, middle) - mean) / dev, 6) as x, (coalesce(f, mode) = 'A')::double as a,
+              (coalesce(f, mode) = 'R')::double as r from t, m, o, s""",
+)
+def _(spark, sf):
+    """Median, mode, z-score and one-hot, all learned from the training rows."""
+    from pyspark.ml.functions import vector_to_array
+
+    x, f = F.when(F.col("l_tax") > 0.02, F.col("l_quantity")).alias("x"), F.nullif("l_returnflag", F.lit("N")).alias("f")
+    rows = lines(spark, sf).select("line", x, f)
+    train, _ = hash_split(rows, "line")
+    at = vector_to_array("features")
+    out = build_preprocessor(["x"], ["f"]).fit(train).transform(rows)
+    return out.select("line", rounded(at[0]).alias("x"), at[1].alias("a"), at[2].alias("r"))
+
+
 _CENTERS = [(10.0, 20000.0), (40.0, 20000.0), (25.0, 80000.0)]
 _GAPS = ", ".join(
     f"(l_quantity - {q}) * (l_quantity - {q}) + (l_extendedprice - {p}) * (l_extendedprice - {p}) as d{i}"
@@ -253,6 +276,46 @@ def _(spark, sf):
     return settled(points, scaled.unpersist)
 
 
+# Four separate groups of customers in two correlated measures.
+_MEASURED = """select c_custkey, c_nationkey % 4 as g, 10.0 * ((c_nationkey % 4) // 2) + c_acctbal / 100000 as a,
+    10.0 * (c_nationkey % 2) + 3.0 * ((c_nationkey % 4) // 2) + c_acctbal / 200000 as b from customer"""
+# Clusters are numbered in order of their centres.
+_GROUPS = f"""select *, (dense_rank() over (order by ma, mb) - 1)::int as cluster
+    from (select *, avg(a) over (partition by g) as ma, avg(b) over (partition by g) as mb from ({_MEASURED}))"""
+
+
+def _groups(spark, sf):
+    half = F.floor(F.col("c_nationkey") % 4 / 2)
+    return table(spark, sf, "customer").select(
+        "c_custkey", (10 * half + F.col("c_acctbal") / 100000).alias("a"),
+        (10 * (F.col("c_nationkey") % 2) + 3 * half + F.col("c_acctbal") / 200000).alias("b"),
+    )
+
+
+@check(
+    "pca_points_planted",
+    f"""with z as (select c_custkey, cluster, (a - avg(a) over ()) / stddev_pop(a) over () as a,
+                         (b - avg(b) over ()) / stddev_pop(b) over () as b from ({_GROUPS}))
+       select c_custkey, cluster, round((a + b) / sqrt(2), 5) as pc1, round(abs(a - b) / sqrt(2), 5) as pc2 from z""",
+)
+def _(spark, sf):
+    scaled = keep(zscore(_groups(spark, sf), ["a", "b"])[0])
+    fit = clustering.fit_kmeans(scaled, ["a", "b"], 4, key="c_custkey")
+    points = reports.cluster_points(scaled, fit, projection.fit_pca(scaled, ["a", "b"]), key="c_custkey")
+    points = points.select("c_custkey", "cluster", rounded("pc1", 5).alias("pc1"), rounded(F.abs("pc2"), 5).alias("pc2"))
+    return settled(points, scaled.unpersist)
+
+
+@check(
+    "segments_planted",
+    f"select cluster, count(*) as size, round(avg(a), 5) as a, round(avg(b), 5) as b from ({_GROUPS}) group by cluster",
+)
+def _(spark, sf):
+    found = segments.segment(_groups(spark, sf), ["a", "b"], key="c_custkey", k_max=5)
+    profile = found.profile.select("cluster", "size", rounded("a", 5).alias("a"), rounded("b", 5).alias("b"))
+    return settled(profile, found.release)
+
+
 @check("pca_variance")
 def _(spark, sf):
     scaled, _ = zscore(table(spark, sf, "lineitem"), MEASURES)
@@ -362,6 +425,19 @@ def _(spark, sf):
     return regression.fit_regression(rows, "y", ["l_quantity", "l_tax"], ["l_returnflag"], key="line", model=trees).metrics
 
 
+@check(
+    "gbt_step",
+    f"""with t as (select {_LINE} as line, l_linenumber > 3 as high, l_tax + 10 * (l_linenumber > 3)::int as y, {_TEST} as test from lineitem)
+       select line, round(m, 6) as prediction from t join (select high, avg(y) as m from t where not test group by high) using (high)
+       where test""",
+)
+def _(spark, sf):
+    """One split explains the target, so the first tree's leaves are the means of its sides."""
+    rows = lines(spark, sf).selectExpr("line", "double(l_linenumber) as number", "l_tax + 10 * int(l_linenumber > 3) as y")
+    run = regression.fit_regression(rows, "y", ["number"], [], key="line", model=GBTRegressor(maxIter=1, maxDepth=1))
+    return regression.predict(run.model, run.test).select("line", rounded("prediction").alias("prediction"))
+
+
 @check(
     "ols_simple",
     f"""with t as (select l_quantity as x, {_TARGET} as y from lineitem),

@@ -421,6 +421,64 @@ def _(spark, sf):
     return settled(study.regression.metrics, study.release)
 
 
+# A school per customer: its nation's number decides size, floors, distance and levels, so segments are apart and the
+# segment explains the target.
+_PLANTED = {
+    "register": """select 'm' || lpad(cast(c_custkey as string), 6, '0') as "COD_MOD", lpad(cast(c_custkey as string), 6, '0') as "CODLOCAL", 'Esc' as "D_FORMA",
+        'Urbana' as "DAREACENSO", cast(100 + 100 * (c_nationkey % 4) as bigint) as "TALUM", cast(10 as bigint) as "TDOC", 'LIMA' as "D_DPTO",
+        c_custkey as _load_order from customer""",
+    "classrooms": """select lpad(cast(c_custkey as string), 6, '0') as "CODLOCAL", cast(1 + c_nationkey % 4 as string) as "P61_2", '1' as "P61_3",
+        '01' as "P61_4" from customer""",
+    "buildings": """select lpad(cast(c_custkey as string), 6, '0') as "CODLOCAL", '1' as "P53_3", '1' as "P53_4", '2' as "P53_9", '11' as "P53_10",
+        '1' as "P53_13_1", '2' as "P53_13_2", '1' as "P53_13_3" from customer""",
+    "history": """select cast(c_custkey as double) as "Cod_Local", 'SI' as "PDL", cast(null as string) as "QM DIRECTO", cast(null as string) as "QM INDIRECTO",
+        'SI' as "QM", cast(null as string) as "PDLD", cast(null as string) as "MTESANA", cast(null as string) as "ACADEMIA",
+        case when kind = 0 then 'Lectura' else 'Matematica' end as "Evaluación",
+        case when c_nationkey % 4 = 0 then 'En inicio' when c_nationkey % 4 = 1 then 'En proceso' when c_nationkey % 4 = 2 or kind = 0 then 'Satisfactorio'
+             else 'En proceso' end as "Nivel de logro", c_custkey * 2 + kind as _load_order
+        from customer, (select 0 as kind union all select 1 as kind)""",
+    "distances": """select lpad(cast(c_custkey as string), 6, '0') as "CODLOCAL", cast(c_nationkey % 4 as double) as "dist_km_utm_log+1" from customer""",
+}
+
+
+@check(
+    "study_planted",
+    """with t as (select c_nationkey % 4 as g, ('0x' || substr(md5(lpad(c_custkey::varchar, 6, '0')), 1, 8))::bigint % 10000 < 2000 as test from customer),
+            s as (select g, count(*) as n from t group by g)
+       select g::int as cluster, n as count, 1.0::double as r2, 0.0::double as mae, (select count(*) from t where test) as n from s""",
+)
+def _(spark, sf):
+    customer = table(spark, sf, "customer")
+    sources = {n: spark.sql(text.replace('"', "`").replace("from customer", "from {customer}"), customer=customer) for n, text in _PLANTED.items()}
+    study = full_run.run_study(sources)
+    metrics = study.regression.metrics.select(rounded("r2").alias("r2"), rounded("mae", 4).alias("mae"), "n")
+    r2, mae, n = metrics.first()
+    return settled(study.sizes.select("*", F.lit(r2).alias("r2"), F.lit(mae).alias("mae"), F.lit(n).cast("bigint").alias("n")), study.release)
+
+
+@check(
+    "impact_planted",
+    """with t as (select lpad(c_custkey::varchar, 6, '0') as "CODLOCAL", (1 + 0.5 * (c_custkey % 2) + 0.01 * c_nationkey + 0.25 * (c_custkey % 3 = 0)::int)::double as y
+                  from customer)
+       select "CODLOCAL", case when ('0x' || substr(md5("CODLOCAL"), 1, 8))::bigint % 10000 < 2000 then 'test' else 'train' end as segment,
+              round(y, 6) as actual, round(y, 4) as prediction, 0.0::double as abs_error, 0.5::double as uplift from t""",
+)
+def _(spark, sf):
+    """Scores that are linear in the treatment and two other columns: the study returns the treatment's effect."""
+    rows = table(spark, sf, "customer").selectExpr(
+        "lpad(string(c_custkey), 6, '0') as CODLOCAL", "2024 as `AÑO`", "int(c_custkey % 2) as QM", "c_nationkey as TALUMNO",
+        "if(c_custkey % 3 = 0, 'Urbana', 'Rural') as DAREACENSO", "1 + 0.5D * (c_custkey % 2) + 0.01D * c_nationkey + 0.25D * int(c_custkey % 3 = 0) as LECTURA",
+        "cast(null as double) as MATEMATICA",
+    )
+    study = impact.impact_study(rows)
+    effect = study.uplift.first()["uplift"]
+    report = study.report.select(
+        N.SITE, "segment", rounded("actual").alias("actual"), rounded("prediction", 4).alias("prediction"),
+        F.abs(rounded("abs_error", 4)).alias("abs_error"), F.lit(round(effect, 6)).alias("uplift"),
+    )
+    return settled(report, study.release)
+
+
 @check("csv_round_trip", "select * from orders")
 def _(spark, sf):
     o = table(spark, sf, "orders")
