@@ -8,7 +8,8 @@ other segmentations, and all of them decode to the same text.
 
 Pieces of this model type hold spaces at their front only, so a text falls into units (spaces and the characters
 after them) that never share a piece. Units of equal length are encoded together, as rows of a numpy matrix; every
-step merges the best candidate of each row. Long units use an agenda (heap) instead. Characters that the model lacks
+step merges the best candidate of each row. Long units are cut where no piece has the two characters side by side;
+parts that stay long use an agenda (heap). Characters that the model lacks
 are written as byte pieces. A literal U+2581, which the model uses for the space, is written as bytes too, so
 decoding restores every text exactly."""
 
@@ -49,6 +50,8 @@ class Pieces:
     data: np.ndarray  # the pieces' bytes, one after the other
     begin: np.ndarray
     length: np.ndarray
+    table: dict[int, int]  # left * size + right -> order, for one pair at a time
+    inner: np.ndarray  # sorted left * size + right of all neighbours within pieces, as single characters
 
     def merge_order(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Order of the piece that the pair makes, or _NONE."""
@@ -102,6 +105,8 @@ def load_pieces(model: bytes) -> Pieces:
             step += 1
         keys[(home + step) % slots], values[(home + step) % slots] = code, value
         probes = max(probes, step)
+    symbol = {t: i for t, i in plain.items() if len(t) == 1}
+    inner = {symbol[a] * size + symbol[b] for t in plain for a, b in zip(t, t[1:]) if a in symbol and b in symbol}
     raw = [t.replace(SPACE, " ").encode() for t in texts]
     for i in range(size):
         if p.is_control(i) or p.is_unknown(i):
@@ -110,7 +115,8 @@ def load_pieces(model: bytes) -> Pieces:
         raw[i] = bytes([b])
     length = np.array([len(x) for x in raw], dtype=np.int64)
     return Pieces(size, char, byte, plain[SPACE], keys, values, probes, order,
-                  np.frombuffer(b"".join(raw), dtype=np.uint8), np.cumsum(length) - length, length)
+                  np.frombuffer(b"".join(raw), dtype=np.uint8), np.cumsum(length) - length, length,
+                  dict(pairs), np.array(sorted(inner), dtype=np.int64))
 
 
 def _skipped(key: np.ndarray, start: np.ndarray, mid: np.ndarray, end: np.ndarray, limit: np.uint64) -> np.ndarray:
@@ -119,11 +125,13 @@ def _skipped(key: np.ndarray, start: np.ndarray, mid: np.ndarray, end: np.ndarra
     return mix(key ^ (spot * _GOLD)) < limit
 
 
-def _orders(pieces: Pieces, left, right, key, start, mid, end, limit: np.uint64) -> np.ndarray:
+def _orders(pieces: Pieces, left, right, key, base, start, mid, end, limit: np.uint64) -> np.ndarray:
+    """``base``: where in their unit the spans are counted from."""
     out = pieces.merge_order(left, right)
     if limit:
         some = np.flatnonzero(out != _NONE)
-        out[some[_skipped(key[some], start[some], mid[some], end[some], limit)]] = _NONE
+        begin = base[some]
+        out[some[_skipped(key[some], start[some] + begin, mid[some] + begin, end[some] + begin, limit)]] = _NONE
     return out
 
 
@@ -132,14 +140,15 @@ def _closed(table: np.ndarray, after: np.ndarray) -> np.ndarray:
     return np.where(after, table[:, 1:], table[:, :-1])
 
 
-def _encode_rows(pieces: Pieces, symbols: np.ndarray, key: np.ndarray, limit: np.uint64):
-    """Merge each row of a matrix of symbols; yields (rows, symbols) of equal final length."""
+def _encode_rows(pieces: Pieces, symbols: np.ndarray, key: np.ndarray, base: np.ndarray, limit: np.uint64):
+    """Merge each row of a matrix of symbols; yields (rows, symbols) of equal final length. ``base``: where rows begin in
+    their units."""
     rows, width = np.arange(len(symbols)), symbols.shape[1]
     columns = np.arange(width, dtype=np.uint8)
     edges = np.tile(np.arange(width + 1, dtype=np.uint8), (len(rows), 1))
     orders = _orders(
         pieces, symbols[:, :-1].ravel(), symbols[:, 1:].ravel(), np.repeat(key, width - 1) if limit else key,
-        edges[:, :-2].ravel(), edges[:, 1:-1].ravel(), edges[:, 2:].ravel(), limit,
+        np.repeat(base, width - 1) if limit else base, edges[:, :-2].ravel(), edges[:, 1:-1].ravel(), edges[:, 2:].ravel(), limit,
     ).reshape(len(rows), width - 1)
     while True:
         at = orders.argmin(axis=1).astype(np.uint8)
@@ -149,7 +158,8 @@ def _encode_rows(pieces: Pieces, symbols: np.ndarray, key: np.ndarray, limit: np
         if done.any():
             yield rows[done], symbols[done]
             go = np.flatnonzero(~done)
-            rows, symbols, edges, orders, key, at, best = (x.take(go, axis=0) for x in (rows, symbols, edges, orders, key, at, best))
+            held = (rows, symbols, edges, orders, key, base, at, best)
+            rows, symbols, edges, orders, key, base, at, best = (x.take(go, axis=0) for x in held)
             line = line[: len(go)]
         if not len(rows):
             return
@@ -168,41 +178,71 @@ def _encode_rows(pieces: Pieces, symbols: np.ndarray, key: np.ndarray, limit: np
             ok = np.flatnonzero(at > 0) if shift else np.flatnonzero(at < width - 1)
             s = at[ok] + shift
             orders[ok, s] = _orders(
-                pieces, symbols[ok, s], symbols[ok, s + 1], key[ok], edges[ok, s], edges[ok, s + 1], edges[ok, s + 2], limit
+                pieces, symbols[ok, s], symbols[ok, s + 1], key[ok], base[ok], edges[ok, s], edges[ok, s + 1], edges[ok, s + 2], limit
             )
 
 
-def _encode_long(pieces: Pieces, symbols: np.ndarray, key: np.uint64, limit: np.uint64) -> np.ndarray:
-    """One unit by an agenda of candidates."""
-    n = len(symbols)
-    start, end, piece = list(range(n)), list(range(1, n + 1)), symbols.tolist()
+_WORD = (1 << 64) - 1
+
+
+def _mixed(x: int) -> int:
+    """``mix`` of one number."""
+    x ^= x >> 33
+    x = x * 0xFF51AFD7ED558CCD & _WORD
+    x ^= x >> 33
+    x = x * 0xC4CEB9FE1A85EC53 & _WORD
+    return x ^ x >> 33
+
+
+def _encode_long(pieces: Pieces, symbols: np.ndarray, key: int, base: int, limit: int) -> np.ndarray:
+    """One unit, or a part of one that begins at ``base``, by an agenda of candidates."""
+    n, key, base, limit, gold = len(symbols), int(key), int(base), int(limit), int(_GOLD)
+    table, size, order_of = pieces.table, pieces.size, pieces.order
+    piece, end = symbols.tolist(), list(range(1, n + 1))
     before, after, alive = list(range(-1, n - 1)), [*range(1, n), -1], [True] * n
-    keys = np.full(n, key, dtype=np.uint64)
-    places = np.arange(n)
-    first = _orders(pieces, symbols[:-1], symbols[1:], keys[1:], places[:-1], places[1:], places[1:] + 1, limit)
-    agenda = [(int(o), i, i + 1, i + 2) for i, o in enumerate(first) if o != _NONE]
-    heapq.heapify(agenda)
-    one = lambda x: np.array([x])
+    agenda: list[tuple[int, int, int, int]] = []
 
-    def push(a: int, b: int) -> None:
-        if a < 0 or b < 0:
+    def offer(a: int, b: int) -> None:
+        order = table.get(piece[a] * size + piece[b])
+        if order is None:
             return
-        o = _orders(pieces, one(piece[a]), one(piece[b]), keys[:1], one(start[a]), one(start[b]), one(end[b]), limit)[0]
-        if o != _NONE:
-            heapq.heappush(agenda, (int(o), start[a], start[b], end[b]))
-
+        if limit:
+            spot = (a + base) << 42 | (b + base) << 21 | (end[b] + base)
+            if _mixed((key ^ spot * gold) & _WORD) < limit:
+                return
+        agenda.append((order, a, b, end[b]))
+
+    for i in range(n - 1):
+        offer(i, i + 1)
+    heapq.heapify(agenda)
     while agenda:
         order, a, b, stop = heapq.heappop(agenda)
         if not (alive[a] and alive[b] and end[a] == b and end[b] == stop):
             continue
-        piece[a], end[a], alive[b], after[a] = int(pieces.order[order]), stop, False, after[b]
+        piece[a], end[a], alive[b], after[a] = int(order_of[order]), stop, False, after[b]
         if after[a] >= 0:
             before[after[a]] = a
-        push(before[a], a)
-        push(a, after[a])
+        for left, right in ((before[a], a), (a, after[a])):
+            if left >= 0 and right >= 0:
+                have = len(agenda)
+                offer(left, right)
+                if len(agenda) > have:
+                    heapq.heappush(agenda, agenda.pop())
     return np.array([p for p, live in zip(piece, alive) if live], dtype=np.int32)
 
 
+def _cut_long(pieces: Pieces, symbols: np.ndarray, begin: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Places inside long units that no piece reaches across, as no piece has these two characters side by side."""
+    long = np.flatnonzero(length > _LONG)
+    if not len(long):
+        return np.zeros(0, dtype=np.int64)
+    sizes = length[long] - 1
+    places = np.repeat(begin[long] - np.concatenate([[0], np.cumsum(sizes)])[:-1], sizes) + np.arange(sizes.sum()) + 1
+    pair = symbols[places - 1].astype(np.int64) * pieces.size + symbols[places]
+    at = np.minimum(np.searchsorted(pieces.inner, pair), len(pieces.inner) - 1)
+    return places[pieces.inner[at] != pair]
+
+
 def encode_column(pieces: Pieces, column: pa.Array, ids: np.ndarray, seed: int, dropout: float) -> tuple[np.ndarray, np.ndarray]:
     """Pieces of all texts of a column and where each text's begin. ``ids`` key the dropout."""
     data, offsets = text_bytes(column)
@@ -224,6 +264,15 @@ def encode_column(pieces: Pieces, column: pa.Array, ids: np.ndarray, seed: int,
     text = np.repeat(np.arange(len(sizes)), np.diff(unit_first))
     number = np.arange(len(begin)) - unit_first[:-1][text]
     key = mix(mix(ids.astype(np.int64).view(np.uint64) ^ np.uint64(seed * 2 + 1))[text] + number.astype(np.uint64))
+    # Long units fall apart where nothing can merge; the parts keep their unit's key and count from its start.
+    base = np.zeros(len(begin), dtype=np.int64)
+    more = _cut_long(pieces, symbols, begin, length)
+    if len(more):
+        units, begin = begin, np.union1d(begin, more)
+        unit = np.searchsorted(units, begin, side="right") - 1
+        base, key = begin - units[unit], key[unit]
+        length = np.diff(np.append(begin, len(symbols)))
+        unit_first = np.searchsorted(begin, first)
     limit = np.uint64(min(int(dropout * 2.0**64), 2**64 - 1))
 
     counts = np.ones(len(begin), dtype=np.int64)
@@ -234,14 +283,14 @@ def encode_column(pieces: Pieces, column: pa.Array, ids: np.ndarray, seed: int,
         members = np.flatnonzero(length == size)
         if size > _LONG:
             for m in members:
-                found = _encode_long(pieces, symbols[begin[m] : begin[m] + size], key[m], limit)
+                found = _encode_long(pieces, symbols[begin[m] : begin[m] + size], key[m], base[m], limit)
                 counts[m] = len(found)
                 parts.append((np.array([m]), found[None, :]))
             continue
         for at in range(0, len(members), 1 << 15):
             some = members[at : at + (1 << 15)]
             matrix = symbols[begin[some, None] + np.arange(size)].astype(np.int32)
-            for rows, found in _encode_rows(pieces, matrix, key[some], limit):
+            for rows, found in _encode_rows(pieces, matrix, key[some], base[some], limit):
                 counts[some[rows]] = found.shape[1]
                 parts.append((some[rows], found))
     lost = np.flatnonzero(~known[begin]) if len(begin) else np.zeros(0, int)

@@ -1,5 +1,6 @@
 import heapq
 import random
+import time
 from collections import Counter
 
 import numpy as np
@@ -79,14 +80,39 @@ def test_dropout_follows_the_agenda(tables, dropout):
         rows = np.array([[tables.char[ord(r.choice("theandring"))] for _ in range(size)] for _ in range(25)], dtype=np.int32)
         key = mix(np.arange(25, dtype=np.uint64) + np.uint64(size * 100))
         want = [agenda(tables, row, k, int(limit)) for row, k in zip(rows, key)]
-        assert [pieces._encode_long(tables, row, k, limit).tolist() for row, k in zip(rows, key)] == want
+        assert [pieces._encode_long(tables, row, k, 0, limit).tolist() for row, k in zip(rows, key)] == want
         if size <= pieces._LONG:
             got = {}
-            for places, found in pieces._encode_rows(tables, rows.copy(), key, limit):
+            for places, found in pieces._encode_rows(tables, rows.copy(), key, np.zeros(25, dtype=np.int64), limit):
                 got.update({int(p): f.tolist() for p, f in zip(places, found)})
             assert [got[i] for i in range(25)] == want
 
 
+@pytest.mark.parametrize("dropout", [0.0, 0.3])
+def test_long_units_fall_apart_and_follow_the_agenda(tables, dropout):
+    """Characters of many kinds without a space: cut where no piece reaches across, each candidate hashed by its place
+    in the whole unit."""
+    r = random.Random(11)
+    letters = "abcdefgthe0123ABCXYZ+/=日本語中文字" + "qxzjkv"
+    some = ["".join(r.choice(letters) for _ in range(n)) for n in (60, 200, 400)] + ["".join(r.choice("thering") for _ in range(150))]
+    values, first = pieces.encode_column(tables, pa.array(some), np.arange(len(some)), 9, dropout)
+    limit = int(dropout * 2.0**64)
+    for i, text in enumerate(some):
+        want, symbols = [], [tables.space, *[int(tables.char[ord(c)]) for c in text]]
+        assert min(symbols) >= 0
+        seeded = mix(np.array([i], dtype=np.uint64) ^ np.uint64(19))
+        want = agenda(tables, symbols, mix(seeded + np.uint64(0))[0], limit)
+        assert values[first[i] : first[i + 1]].tolist() == want
+
+
+def test_long_units_take_no_longer_than_others(tables):
+    r = random.Random(3)
+    text = "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(80_000))
+    begun = time.process_time()
+    values, _ = pieces.encode_column(tables, pa.array([text]), np.arange(1), 1, 0.1)
+    assert time.process_time() - begun < 2.0 and len(values) < 80_000
+
+
 def test_on_spark(spark):
     rows = documents()
     df = spark.createDataFrame(rows, SCHEMA).repartition(3)
