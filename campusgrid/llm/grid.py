@@ -1,16 +1,21 @@
-"""Vectors against a set of queries as a grid of blocks.
+"""Vectors against a stated set of queries.
 
-Vectors are dealt into shards of about ``shard_rows`` rows by a hash of their id, queries into blocks of about
-``block_rows``. A cell is one shard with one block; every cell is a row of its own, joined on (shard, block), so
-cells spread over all tasks and each holds a bounded piece of both sides."""
+All rows stay where they are stored; the queries come to them in rounds of bounded size, each broadcast to all tasks.
+A task keeps the best rows it has seen for each query of the round and sends these at its end, so what is shuffled are
+results only, and neither side is copied for every part of the other."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Queries of a round, and bytes of their vectors at most.
+QUERY_ROWS, QUERY_BYTES = 8192, 1 << 25
+
 
 def usable(vectors: DataFrame, id_column: str, vector_column: str, zero: bool) -> DataFrame:
     """(id, vec) of vectors that are not null or empty and hold finite numbers only, one per id; ``zero``: also
@@ -42,11 +47,33 @@ def dealt(rows: DataFrame, name: str, size: int, count: int, *columns: str) -> D
     return rows.select(key, "id", "vec", *columns).groupBy(name).agg(members.alias(f"{name}_members"))
 
 
-def cells(shards: DataFrame, blocks: DataFrame, shard_count: int, block_count: int) -> DataFrame:
-    """Every shard with every block, one row each."""
-    left = shards.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(max(1, block_count) - 1))))
-    right = blocks.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(max(1, shard_count) - 1))))
-    return left.join(right, ["shard", "block"])
+def query_rounds(asked: DataFrame, count: int, dims: int, *columns: str) -> Iterator[tuple[np.ndarray, np.ndarray, list[list]]]:
+    """(ids, matrix, further columns) of the queries, a bounded number at a time, in order of id."""
+    size = max(1, min(QUERY_ROWS, QUERY_BYTES // (8 * max(1, dims))))
+    rounds = max(1, -(-count // size))
+    for number in range(rounds):
+        part = asked.where(F.pmod(F.xxhash64("id"), F.lit(rounds)) == number).select("id", "vec", *columns).orderBy("id").toArrow()
+        if part.num_rows:
+            vectors = part["vec"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
+            yield part["id"].to_numpy(), vectors.reshape(part.num_rows, -1), [part[c].to_pylist() for c in columns]
+
+
+class Best:
+    """The ``k`` best rows of each query so far: largest ``worth``, ties to the smaller id."""
+
+    def __init__(self, k: int) -> None:
+        self.k = k
+        self.query, self.id, self.worth = np.zeros(0, np.int64), np.zeros(0, np.int64), None
+
+    def add(self, query: np.ndarray, ids: np.ndarray, worth: np.ndarray) -> None:
+        """``query``: places of the queries in their round."""
+        query, ids = np.concatenate([self.query, query]), np.concatenate([self.id, ids])
+        worth = worth if self.worth is None else np.concatenate([self.worth, worth])
+        order = np.lexsort((ids, -worth, query))
+        query = query[order]
+        place = np.arange(len(query)) - np.searchsorted(query, query)
+        order = order[place < self.k]
+        self.query, self.id, self.worth = query[place < self.k], ids[order], worth[order]
 
 
 def members(column: pa.Array, row: int) -> tuple[pa.StructArray, np.ndarray, np.ndarray]:
@@ -60,8 +87,8 @@ def members(column: pa.Array, row: int) -> tuple[pa.StructArray, np.ndarray, np.
 def ranked(found: DataFrame, k: int, best: Column) -> DataFrame:
     """The first ``k`` per query_id by ``best``, ties to the smaller vec_id, as ``rank`` from 1.
 
-    Each cell sends at most k rows per query. They are cut to k per task-side group before the last ranking, so a
-    query's rows of many shards do not meet in one place at once."""
+    Each task sends at most k rows per query. They are cut to k per lane before the last ranking, so a query's rows of
+    many tasks do not meet in one place at once."""
     pick = F.array_sort(F.collect_list(F.struct(best.alias("order"), "vec_id", "score")))
     lanes = found.withColumn("lane", F.pmod(F.xxhash64("vec_id"), F.lit(16)))
     first = lanes.groupBy("query_id", "lane").agg(F.slice(pick, 1, k).alias("top")).select("query_id", F.explode("top").alias("t"))

@@ -6,8 +6,8 @@ longest matching prefix, whose length varies with the density around it. Then al
 a time: at each level the ranges that share the query's prefix of that length become candidates, until there are
 enough of them. Candidates are ranked by their exact distance.
 
-The vectors are dealt into shards of bounded size, each with a forest of its own, written once; a block of queries
-meets every shard, so all rows are indexed and searched, and the shards' best are merged. ``share`` is the part of a
+The vectors are dealt into shards of bounded size, each with a forest of its own, written once; the queries come to
+the shards in rounds, so all rows are indexed and searched, and a task merges the best of its shards. ``share`` is the part of a
 shard's rows that must be candidates before the ascent ends (and no fewer than ten times the wanted neighbours). Vectors without structure need a large share: on
 random directions in 64 dimensions a recall of 0.9 takes about 40 % of the rows with any hyperplane hashes."""
 
@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from campusgrid.llm.grid import cells, dealt, members, padded, ranked, usable, width
+from campusgrid.llm.grid import Best, dealt, members, padded, query_rounds, ranked, usable, width
 from campusgrid.llm.shelf import prepare, save, tidy
 
 SHARD_ROWS, BLOCK_ROWS, BITS = 8192, 256, 64
@@ -99,39 +99,52 @@ def _build(trees: int, dims: int, seed: int):
     return run
 
 
-def _search(k: int, trees: int, dims: int, seed: int, share: float):
+def _search(shared, k: int, trees: int, dims: int, seed: int, share: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        query_ids, queries = shared.value
         directions = planes(dims, trees, seed)
+        asked, best = [hash_strings(queries, tree) for tree in directions], Best(k)
         for batch in batches:
             for row in range(batch.num_rows):
                 _, ids, vectors = members(batch.column("shard_members"), row)
-                _, query_ids, queries = members(batch.column("block_members"), row)
                 strings = batch.column("strings").slice(row, 1).flatten().to_numpy().view(np.uint64).reshape(trees, -1)
                 orders = batch.column("orders").slice(row, 1).flatten().to_numpy().reshape(trees, -1)
-                asked = [hash_strings(queries, tree) for tree in directions]
                 # A small shard gives at least ten times what is asked for (and the query itself may be among it).
                 need = max(int(np.ceil(share * len(ids))), 10 * k + 1)
-                near = candidates(list(strings), list(orders), asked, len(ids), need) & (ids != query_ids[:, None])
-                rough = (vectors**2).sum(axis=1) - 2 * queries @ vectors.T + (queries**2).sum(axis=1)[:, None]
-                out: tuple[list, list, list] = ([], [], [])
-                for q, query in enumerate(query_ids):
-                    places = np.flatnonzero(near[q])
-                    if len(places) > k:
-                        # Rounding of the rough squares is far below this margin.
-                        limit = np.partition(rough[q, places], k - 1)[k - 1]
-                        margin = 1e-9 * (abs(limit) + (queries[q] ** 2).sum() + 1e-300)
-                        places = places[rough[q, places] <= limit + margin]
-                    exact = np.sqrt(((vectors[places] - queries[q]) ** 2).sum(axis=1))
-                    order = np.lexsort((ids[places], exact))[:k]
-                    out[0].append(np.full(len(order), query))
-                    out[1].append(ids[places[order]])
-                    out[2].append(exact[order])
-                arrays = [np.concatenate([*x, np.zeros(0, kind)]) for x, kind in zip(out, (np.int64, np.int64, np.float64))]
-                yield pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], names=["query_id", "vec_id", "score"])
+                for at in range(0, len(query_ids), BLOCK_ROWS):
+                    block = slice(at, at + BLOCK_ROWS)
+                    near = candidates(list(strings), list(orders), [a[block] for a in asked], len(ids), need)
+                    near &= ids != query_ids[block, None]
+                    q, v, far = _nearest(queries[block], vectors, near, k)
+                    best.add(at + q, ids[v], -far)
+        far = -best.worth if best.worth is not None else np.zeros(0)
+        yield pa.RecordBatch.from_arrays([pa.array(query_ids[best.query]), pa.array(best.id), pa.array(far)], names=["query_id", "vec_id", "score"])
 
     return run
 
 
+def _nearest(queries: np.ndarray, vectors: np.ndarray, near: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, vector, distance) of candidates, among them the k nearest of each query, measured exactly.
+
+    Rough squares of few candidates are taken one by one, of many by one product."""
+    sizes, own = (vectors**2).sum(axis=1), (queries**2).sum(axis=1)
+    rough = None
+    if near.mean() > 0.1:
+        rough = sizes - 2 * queries @ vectors.T + own[:, None]
+    out: list[list[np.ndarray]] = [[], [], []]
+    for q, query in enumerate(queries):
+        places = np.flatnonzero(near[q])
+        if len(places) > k:
+            square = rough[q, places] if rough is not None else sizes[places] - 2 * (vectors[places] @ query) + own[q]
+            # Rounding of the rough squares is far below this margin.
+            limit = np.partition(square, k - 1)[k - 1]
+            places = places[square <= limit + 1e-9 * (abs(limit) + own[q] + 1e-300)]
+        out[0].append(np.full(len(places), q))
+        out[1].append(places)
+        out[2].append(np.sqrt(((vectors[places] - query) ** 2).sum(axis=1)))
+    return tuple(np.concatenate(x) for x in out)
+
+
 def forest_neighbours(
     vectors: DataFrame, is_query: Column, k: int, id_column: str = "vec_id", vector_column: str = "embedding",
     trees: int = TREES, share: float = SHARE, seed: int = SEED,
@@ -149,10 +162,17 @@ def forest_neighbours(
     dims, count = width(rows), rows.count()
     rows = padded(rows, dims)
     asked = rows.where(is_query)
+    asked = save(asked, "queries")
     asked_count = asked.count()
+    if not asked_count:
+        return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
     schema = "shard int, shard_members array<struct<id: bigint, vec: array<double>>>, strings array<bigint>, orders array<int>"
     shards = save(dealt(rows, "shard", SHARD_ROWS, count).mapInArrow(tidy(_build(trees, dims, seed)), schema), "forest")
-    blocks = dealt(asked, "block", BLOCK_ROWS, asked_count)
-    grid = cells(shards, blocks, max(1, -(-count // SHARD_ROWS)), max(1, -(-asked_count // BLOCK_ROWS)))
-    found = grid.select("shard_members", "strings", "orders", "block_members")
-    return ranked(found.mapInArrow(tidy(_search(k, trees, dims, seed, share)), _FOUND), k, F.col("score"))
+    found = None
+    for ids, queries, _ in query_rounds(asked, asked_count, dims):
+        shared = spark.sparkContext.broadcast((ids, queries))
+        part = ranked(shards.mapInArrow(tidy(_search(shared, k, trees, dims, seed, share)), _FOUND), k, F.col("score"))
+        part = save(part, "found")
+        shared.destroy()
+        found = part if found is None else found.unionByName(part)
+    return found

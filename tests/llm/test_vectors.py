@@ -2,8 +2,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from campusgrid.llm import hash_forest, topk
+from campusgrid.llm import grid, hash_forest, topk
 from campusgrid.llm.hash_forest import candidates, forest_neighbours, hash_strings, planes
+from campusgrid.llm.queries import op10_hash_forest
 from campusgrid.llm.topk import exact_top_k
 
 SCHEMA = "vec_id bigint, embedding array<float>, id int, shard int"
@@ -32,8 +33,10 @@ def usable(rows, zero):
     return out
 
 
+@pytest.mark.parametrize("rounds", [5, 8192])
 @pytest.mark.parametrize("shard,block,lists,scale", [(64, 4, 4, 256.0), (8192, 512, 1, 256.0), (100, 3, 12, 1e8), (100, 5, 3, 0.4)])
-def test_top_k_against_all_scores(spark, monkeypatch, shard, block, lists, scale):
+def test_top_k_against_all_scores(spark, monkeypatch, shard, block, lists, scale, rounds):
+    monkeypatch.setattr(grid, "QUERY_ROWS", rounds)
     monkeypatch.setattr(topk, "SHARD_ROWS", shard)
     monkeypatch.setattr(topk, "BLOCK_ROWS", block)
     rows = vectors()
@@ -95,3 +98,27 @@ def test_candidates_are_prefix_ranges():
             agree = np.maximum(agree, [64 - int(v).bit_length() for v in (mine ^ a[i])])
         level = max(n for n in range(65) if (agree >= n).sum() >= 60)
         assert (table[i] == (agree >= level)).all()
+
+
+def test_recall_of_the_registered_query(spark):
+    """Against brute force over the whole table."""
+    folder = "/root/testdata/sf0.01"
+    rows = [(r.vec_id, np.array(r.embedding, dtype=np.float64)) for r in spark.read.parquet(f"{folder}/embeddings.parquet").collect()]
+    ids, table = np.array([i for i, _ in rows]), np.stack([v for _, v in rows])
+    found = {}
+    for r in op10_hash_forest(spark, folder).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = 0
+    for q in ids[ids % 100 == 0]:
+        far = np.where(ids == q, np.inf, np.sqrt(((table - table[ids == q]) ** 2).sum(axis=1)))
+        hits += len(found[q] & set(ids[np.lexsort((ids, far))[:10]].tolist()))
+    assert hits >= 0.9 * 10 * len(found)
+
+
+def test_only_results_are_shuffled(spark):
+    """Neither the stored vectors nor the forest is dealt out for the queries."""
+    df = spark.createDataFrame(vectors(400), SCHEMA)
+    kept = grid.usable(df, "vec_id", "embedding", True)
+    asked = spark.sparkContext.broadcast((np.array([1]), np.ones((1, 12)), None))
+    plan = kept.mapInArrow(topk._scan(asked, 3, 4), topk._FOUND)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == kept._jdf.queryExecution().executedPlan().toString().count("Exchange")
