@@ -272,7 +272,8 @@ def write_ids(
     key = model._jbroadcast.id()
     rows = docs.select(F.col(f"`{id_column}`").cast("bigint").alias("id"), F.col(f"`{text_column}`").alias("text"))
     count = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.repartitionByRange(count, "id").sortWithinPartitions("id", "text")
+    # The start of a text is part of the range, so rows without an id, or with one id, are spread as well.
+    rows = rows.repartitionByRange(count, "id", F.substring("text", 1, 64)).sortWithinPartitions("id", "text")
     manifest = save(rows.mapInArrow(tidy(_writer(key, model, folder, bits, end_id, block_ids, file_ids)), _MANIFEST), "manifest")
     # One row per file: a running sum over the manifest, not over the data.
     before = Window.orderBy("part", "number").rowsBetween(Window.unboundedPreceding, -1)

@@ -60,7 +60,8 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def conversation_log(rows: DataFrame) -> DataFrame:
     """Each row as the events that made it: an answer is streamed, thrown away and streamed again; any other turn is
-    begun and then edited. Rows of a turn are told apart by their place in the table."""
+    begun and then edited. Rows of one turn follow each other by role and a hash of the text; equal rows are messages of
+    their own."""
     text = F.coalesce("text", F.lit(""))
     half = (F.length(text) / 2).cast("int")
     head, tail = F.substr(text, F.lit(1), half), F.substr(text, half + 1)
@@ -68,7 +69,8 @@ def conversation_log(rows: DataFrame) -> DataFrame:
     streamed = F.array(event(0, "delta", head), event(1, "regenerate", F.lit("")), event(2, "delta", head), event(3, "delta", tail))
     edited = F.array(event(0, "delta", head), event(1, "edit", text))
     events = F.explode(F.when(F.col("role") == "assistant", streamed).otherwise(edited))
-    rows = rows.withColumn("message", F.struct("turn", F.monotonically_increasing_id().alias("row")))
+    row = F.monotonically_increasing_id().alias("row")
+    rows = rows.withColumn("message", F.struct("turn", "role", F.xxhash64("text").alias("text"), row))
     return rows.select("conv_id", "message", "role", events.alias("e")).select("conv_id", "message", "role", "e.*")
 
 

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from campusgrid.llm.mixing import deal, mix_sources
+from campusgrid.llm.mixing import _order, deal, mix_sources
 from helpers import SCHEMA, documents, words
 
 WEIGHTS = {"domain": {"a": 3, "b": 1}, "lang": {"en": 2}, "source": {"src1": 5}}
@@ -71,3 +71,25 @@ def test_seed_and_partitioning(spark):
     assert sum(t for _, _, t in one) == int(800 * 0.31)
     assert pick(df.repartition(7), 1) == one and pick(df, 2) != one
     assert mix_sources(df.limit(0), domain()).collect() == []
+
+
+@pytest.mark.parametrize("share,epochs,bucket_rows", [(0.8, 2, 4096), (0.35, 1, 4), (1.6, 3, 2)])
+def test_chosen_rows_are_the_prefix_of_each_leaf(spark, share, epochs, bucket_rows):
+    """Plain Python: every leaf in the order of its seeded hash, whole epochs first, then rows until the budget ends."""
+    texts = [(i, " ".join(["w"] * (1 + i * 7 % 23)), ["en", "de"][i % 2], ["src0", "src1", "src2"][i % 3], 0, "") for i in range(240)]
+    df = spark.createDataFrame(texts, SCHEMA).repartition(3)
+    budgets, tokens = plan(texts, share, epochs)
+    key = F.xxhash64("doc_id", "text")
+    places = {(r.doc_id, e): (r[f"p{e}"], r.key) for r in df.select("doc_id", key.alias("key"), *[_order(key, F.lit(e).cast("bigint"), 7).alias(f"p{e}") for e in range(epochs + 1)]).collect() for e in range(epochs + 1)}
+    wanted = set()
+    for leaf, budget in budgets.items():
+        rows = [t for t in texts if ({"src0": "a"}.get(t[3], "b"), t[2], t[3]) == leaf]
+        whole, rest = divmod(budget, tokens[leaf])
+        wanted |= {(t[0], e, len(words(t[1]))) for t in rows for e in range(whole)}
+        for t in sorted(rows, key=lambda t: places[t[0], whole]):
+            take = min(rest, len(words(t[1])))
+            if take:
+                wanted.add((t[0], whole, take))
+            rest -= take
+    mixed = mix_sources(df, domain(), WEIGHTS, share, epochs, 7, bucket_rows=bucket_rows)
+    assert {(r.doc_id, r.epoch, r.take_tokens) for r in mixed.select("row.doc_id", "epoch", "take_tokens").collect()} == wanted
