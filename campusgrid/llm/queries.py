@@ -95,7 +95,7 @@ def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 7 == 2
-    return score_texts(docs, held_out).withColumnRenamed("id", "doc_id")
+    return score_texts(docs, held_out, tree_depth=8).withColumnRenamed("id", "doc_id")
 
 
 def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
