@@ -232,16 +232,6 @@ class _DbfReader(DataSourceReader):
         self.numbers = json.loads(options["numbers"])
         self.filters: list[Filter] = []
 
-    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
-        """Keeps the filters that records can be tested by; the others stay with Spark."""
-        with open_input(self.paths[0]) as stream:
-            kinds = {f.name: f.kind for f in read_header(stream, self.encoding).fields}
-        for test in filters:
-            if _decides(test, kinds):
-                self.filters.append(test)
-            else:
-                yield test
-
     def partitions(self):
         ranges = [
             _RecordRange(path, number, first, min(self.step, records - first))
@@ -271,6 +261,20 @@ class _DbfReader(DataSourceReader):
             return [f.name for f in read_header(stream, self.encoding).fields]
 
 
+class _FilteringDbfReader(_DbfReader):
+    """A class of its own: Spark refuses a reader that takes filters where the session has them switched off."""
+
+    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
+        """Keeps the filters that records can be tested by; the others stay with Spark."""
+        with open_input(self.paths[0]) as stream:
+            kinds = {f.name: f.kind for f in read_header(stream, self.encoding).fields}
+        for test in filters:
+            if _decides(test, kinds):
+                self.filters.append(test)
+            else:
+                yield test
+
+
 class DbfDataSource(DataSource):
     @classmethod
     def name(cls):
@@ -283,7 +287,8 @@ class DbfDataSource(DataSource):
         return spark_schema(header, json.loads(columns) if columns else None, self.options.get("ordercolumn"))
 
     def reader(self, schema):
-        return _DbfReader(self.options)
+        taken = self.options.get("pushfilters") == "true"
+        return _FilteringDbfReader(self.options) if taken else _DbfReader(self.options)
 
 
 def read_dbf(
@@ -297,10 +302,11 @@ def read_dbf(
 ) -> DataFrame:
     """Scan dBASE tables. ``columns`` decodes only these; ``order_col`` adds the load order.
     Tables with different fields are combined by column name. Where the session has
-    ``spark.sql.python.filterPushdown.enabled`` set, records are tested by a query's filters before the other columns
-    are decoded."""
+    ``spark.sql.python.filterPushdown.enabled`` set at this call, records are tested by a query's filters before the
+    other columns are decoded; the setting then has to stay. Without it Spark filters the decoded rows."""
     ship_package(spark)
     spark.dataSource.register(DbfDataSource)
+    push = str(spark.conf.get("spark.sql.python.filterPushdown.enabled", "false")).lower()
     groups: dict[str, list[tuple[str, int, int]]] = {}
     for number, row in enumerate(dbf_headers(spark, path, encoding).orderBy("path").toLocalIterator()):
         groups.setdefault("" if columns else row.fields, []).append((row.path, row.records, number))
@@ -310,7 +316,7 @@ def read_dbf(
     for files in groups.values():
         paths, records, numbers = map(list, zip(*files))
         options = {"paths": json.dumps(paths), "encoding": encoding, "recordsPerTask": str(records_per_task),
-                   "records": json.dumps(records), "numbers": json.dumps(numbers)}
+                   "records": json.dumps(records), "numbers": json.dumps(numbers), "pushFilters": push}
         if columns:
             options["columns"] = json.dumps(columns)
         if order_col:

@@ -228,3 +228,17 @@ def test_dbf_filters_are_pushed(spark, put):
     plan = lambda test: sources.read_dbf(spark, path).where(test)._jdf.queryExecution().executedPlan().toString()
     assert "Filter" not in plan("K > 250 and S in ('b', 'aa')").replace("RuntimeFilters", "")
     assert "Filter" in plan("length(S) = 2").replace("RuntimeFilters", "")
+
+
+def test_dbf_without_pushed_filters(spark, put):
+    """Spark's default is not to push filters into Python sources."""
+    path = put("plain.dbf", dbf_bytes(FIELDS, RECORDS))
+    setting = "spark.sql.python.filterPushdown.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")
+    try:
+        df = sources.read_dbf(spark, path, order_col="seq").orderBy("seq")
+        assert [tuple(r)[:-1] for r in df.collect()] == TABLE
+        assert rows(sources.load_any(spark, path).where("TALUM > 7 and CODLOCAL in ('015676', '0041')")) == TABLE[:1]
+    finally:
+        spark.conf.set(setting, before)
