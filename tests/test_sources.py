@@ -242,3 +242,22 @@ def test_dbf_without_pushed_filters(spark, put):
         assert rows(sources.load_any(spark, path).where("TALUM > 7 and CODLOCAL in ('015676', '0041')")) == TABLE[:1]
     finally:
         spark.conf.set(setting, before)
+
+
+def test_check_files_grow_in_number_not_in_size(spark, monkeypatch):
+    from checks import files
+
+    monkeypatch.setattr(files, "FILE_ROWS", 50)
+    df = spark.range(1000).selectExpr("id", "concat('name ', id) as name")
+    folder = files.write_as(df, "x", ".xlsx", lambda rows: xlsx_bytes([["id", "name"], *rows.values.tolist()]))
+    found = sources.load_any(spark, folder)
+    assert rows(found) == rows(df.selectExpr("string(id)", "name"))
+    assert sources.recognise(spark, folder).count() == 20
+
+
+def test_workbook_of_many_texts_in_linear_time():
+    import time
+
+    begun = time.process_time()
+    xlsx_bytes([["name"], *([f"name {i}"] for i in range(40_000))])
+    assert time.process_time() - begun < 10
