@@ -46,28 +46,30 @@ def _lines(stream, start: int, stop: int) -> Iterator[tuple[bytes, bool]]:
     """Lines (without their line feed) that begin in [start, stop), and after them the following ones, marked False.
 
     The line that a range begins in the middle of belongs to the range before."""
-    at = start
-    stream.seek(max(start - 1, 0))
-    block, ended = b"", False
-    if start:
-        at = start - 1
-        while b"\n" not in block:
-            more = stream.read(1 << 16)
-            if not more:
-                return
-            block += more
-        skipped = block.index(b"\n") + 1
-        at, block = at + skipped, block[skipped:]
-    while not ended:
-        more = stream.read(RANGE_BYTES if at < stop else 1 << 16)
-        ended = not more
-        lines = (block + more).split(b"\n")
-        block = b"" if ended else lines.pop()
-        if ended and lines[-1] == b"":
-            lines.pop()
-        for line in lines:
-            yield line, at < stop
+    at = read = max(start - 1, 0)
+    stream.seek(at)
+    skip, ahead, held = start > 0, 1 << 12, []
+    # Up to the end of the range, then only as far as the last record goes.
+    while more := stream.read(min(RANGE_BYTES, stop - read if read < stop else ahead)):
+        if read >= stop:
+            ahead *= 2
+        read += len(more)
+        pieces = more.split(b"\n")
+        if len(pieces) > 1:
+            pieces[0] = b"".join([*held, pieces[0]])
+            held = []
+        held.append(pieces.pop())
+        for line in pieces:
+            if skip:
+                skip = False
+            else:
+                yield line, at < stop
             at += len(line) + 1
+        if skip and read >= stop - 1:
+            return  # no line begins here
+    last = b"".join(held)
+    if last and not skip:
+        yield last, at < stop
 
 
 def _outcomes(separator: str):
@@ -143,7 +145,9 @@ def file_ranges(spark: SparkSession, path: str | list[str], separator: str, rang
     starts = F.sequence(F.lit(0).cast("bigint"), F.greatest(F.col("length") - 1, F.lit(0)), F.lit(range_bytes).cast("bigint"))
     ranges = list_files(spark, path).select("path", "length", F.explode(starts).alias("start"))
     ranges = ranges.select("path", "start", F.least(F.col("start") + range_bytes, "length").alias("stop"))
-    count = max(1, ranges.count())
+    size = ranges.agg(F.count("*").alias("ranges"), F.sum(F.col("stop") - F.col("start")).alias("bytes")).first()
+    # A task for each range while they are few; many small ones share tasks.
+    count = max(1, min(size["ranges"], max(4 * spark.sparkContext.defaultParallelism, -(-(size["bytes"] or 0) // RANGE_BYTES))))
     schema = "path string, start bigint, stop bigint, if_outside boolean, if_inside boolean"
     outcomes = ranges.repartition(count).mapInArrow(_outcomes(separator), schema)
     before = Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)

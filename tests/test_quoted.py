@@ -99,3 +99,31 @@ def test_one_file_is_read_by_several_tasks(spark, tmp_path):
     tasks = found.select("k", F.spark_partition_id().alias("p")).groupBy("p").count().collect()
     assert len(tasks) > 5 and max(t["count"] for t in tasks) < 500
     assert found.where("note = concat('line one\nline \"two\" ', k)").count() == 2000
+
+
+class Counted(io.BytesIO):
+    taken = 0
+
+    def read(self, size=-1):
+        data = super().read(size)
+        self.taken += len(data)
+        return data
+
+
+def test_a_range_reads_little_beyond_itself():
+    raw = b'a,"b\nc"\n' * 200_000
+    for start in (0, 1000, 100_000):
+        stream = Counted(raw)
+        lines = _lines(stream, start, start + 500)
+        assert b"\n".join(_joined(lines, False, LineStates(","))) in raw
+        assert stream.taken <= 10_000
+    stream = Counted(b"x" * 1_000_000 + b"\ny\n")  # ranges inside one long line
+    assert list(_lines(stream, 5000, 6000)) == [] and stream.taken <= 10_000
+
+
+def test_small_ranges_share_tasks(spark, tmp_path):
+    table = [["k", "note"]] + [[str(i), f'line one\nline "two" {i}'] for i in range(4000)]
+    path = write(tmp_path / "t.csv", text_of(table))
+    ranges = file_ranges(spark, path, ",", 64)
+    assert ranges.count() > 1000 and ranges.rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism
+    assert read_quoted(spark, path, ["k", "note"], range_bytes=64).where("note = concat('line one\nline \"two\" ', k)").count() == 4000
