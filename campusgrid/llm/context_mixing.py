@@ -64,30 +64,36 @@ class Tree:
 def build_tree(weights: np.ndarray, depth: int | None = None) -> Tree:
     """Halve the weight again and again in the given order, down to ``depth`` or to single symbols."""
     total = np.concatenate([[0], np.cumsum(weights.astype(np.float64))])
-    nodes: list[int] = []
-    leaf = np.zeros(len(weights), dtype=np.int64)
-    paths: list[tuple[list[int], list[int]]] = []
-    stack = [(0, len(weights), [], [])]
-    while stack:
-        low, high, path, bits = stack.pop()
-        if high - low <= 1 or (depth is not None and len(path) >= depth):
-            leaf[low:high] = len(paths)
-            paths.append((path, bits))
-            continue
-        cut = int(np.searchsorted(total, (total[low] + total[high]) / 2))
-        cut = min(max(cut, low + 1), high - 1)
-        number = len(nodes)
-        nodes.append(cut)
-        stack.append((low, cut, [*path, number], [*bits, 0]))
-        stack.append((cut, high, [*path, number], [*bits, 1]))
-    sizes = np.array([len(p) for p, _ in paths], dtype=np.int64)
-    sums = np.bincount(leaf, weights, minlength=len(paths))
-    begin = np.concatenate([[0], np.cumsum(sizes)])
-    length = sizes[leaf]
-    first = np.concatenate([[0], np.cumsum(length)])
-    source = np.repeat(begin[leaf] - first[:-1], length) + np.arange(first[-1])
-    flat = lambda i: np.array([x for p in paths for x in p[i]], dtype=np.int32)
-    return Tree(first, flat(0)[source], flat(1)[source].astype(np.uint8), np.log10(weights / sums[leaf]), max(1, len(nodes)))
+    leaf, size = np.arange(len(weights)), np.zeros(len(weights), dtype=np.int64)
+    low, high = np.array([0]), np.array([len(weights)])
+    count, levels = 0, []
+    while True:  # a level of all paths at a time
+        some = high - low > 1
+        low, high = low[some], high[some]
+        if not len(low) or len(levels) == depth:
+            break
+        cut = np.clip(np.searchsorted(total, (total[low] + total[high]) / 2), low + 1, high - 1)
+        symbol, owner = _within(low, high)
+        levels.append((symbol, (count + owner).astype(np.int32), symbol >= cut[owner]))
+        size[symbol] += 1
+        count += len(low)
+        low, high = np.stack([low, cut], 1).ravel(), np.stack([cut, high], 1).ravel()
+    symbol, owner = _within(low, high)
+    leaf[symbol] = low[owner]
+    first = np.concatenate([[0], np.cumsum(size)])
+    nodes, bits = np.empty(first[-1], dtype=np.int32), np.empty(first[-1], dtype=np.uint8)
+    for level, (symbol, node, bit) in enumerate(levels):
+        at = first[symbol] + level
+        nodes[at], bits[at] = node, bit
+    sums = np.bincount(leaf, weights, minlength=len(weights))
+    return Tree(first, nodes, bits, np.log10(weights / sums[leaf]), max(1, count))
+
+
+def _within(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of the intervals, and the interval of each."""
+    owner = np.repeat(np.arange(len(low), dtype=np.int32), high - low)
+    begin = np.cumsum(high - low) - (high - low)
+    return (np.arange(len(owner)) + (low - begin)[owner]).astype(np.int32), owner
 
 
 class Coder:
@@ -104,12 +110,12 @@ class Coder:
         place[by_weight] = np.arange(len(known))
         length = np.diff(tree.first)[place]
         first = np.concatenate([[0], np.cumsum(length)])
-        source = np.repeat(tree.first[place] - first[:-1], length) + np.arange(first[-1])
+        source = np.repeat((tree.first[place] - first[:-1]).astype(np.int32), length) + np.arange(first[-1], dtype=np.int32)
         self.word = Tree(first, tree.nodes[source], tree.bits[source], tree.rest[place], tree.count)
         self.byte = build_tree(byte_counts + 1.0)
         self.escape = len(counts)
         # Paths of all symbols, words before bytes, as node * 2 + bit.
-        paths = [self.word.nodes.astype(np.int32) * 2 + self.word.bits, (self.byte.nodes.astype(np.int32) + self.word.count) * 2 + self.byte.bits]
+        paths = [self.word.nodes * 2 + self.word.bits, (self.byte.nodes + self.word.count) * 2 + self.byte.bits]
         self.paths = np.concatenate(paths)
         self.path_first = np.concatenate([self.word.first, self.byte.first[1:] + self.word.first[-1]])
         self.path_size = np.diff(self.path_first)

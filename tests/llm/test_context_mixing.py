@@ -154,3 +154,16 @@ def test_scores_against_one_decision_at_a_time(spark):
     wanted = sorted((str(r[0]), s) for r, s in zip(rows, plain_scores(rows, held)))
     assert [i for i, _ in found] == [i for i, _ in wanted]
     assert np.allclose([s for _, s in found], [s for _, s in wanted], rtol=2e-5, atol=2e-3)
+
+
+def test_the_query_predicts_whole_words(spark, tmp_path):
+    """No share of a word's code is left outside the mixing, however many words there are."""
+    from campusgrid.llm.queries import op4_context_mixing
+
+    r = random.Random(5)
+    docs = [(i, " ".join("w%d" % int(r.paretovariate(0.5) % 3000) for _ in range(100))) for i in range(60)]
+    spark.createDataFrame(docs, "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {row.doc_id: row.score for row in op4_context_mixing(spark, str(tmp_path)).collect()}
+    df = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    whole = cm.score_texts(df, F.crc32(F.col("doc_id").cast("string")) % 7 == 2, tree_depth=None).collect()
+    assert len(got) == 60 and all(abs(got[row.id] - row.score) < 1e-3 for row in whole)
