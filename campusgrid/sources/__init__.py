@@ -3,10 +3,11 @@
 from .dbf import dbf_headers, read_dbf
 from .delimited import file_encodings, file_headers, read_csv, read_delimited
 from .load import load_any, recognise
-from .sinks import write_bucketed, write_csv, write_parquet
+from .sinks import bucket_count, write_bucketed, write_csv, write_parquet
 from .xlsx import read_xlsx
 
 __all__ = [
+    "bucket_count",
     "dbf_headers",
     "file_encodings",
     "file_headers",

@@ -8,7 +8,7 @@ from campusgrid.functions import as_column
 from campusgrid.plans import full_run, impact, panel, segments, sites, students
 from campusgrid.plans import names as N
 from campusgrid.session import work_path
-from campusgrid.sources import load_any, read_dbf, write_bucketed, write_csv, write_parquet
+from campusgrid.sources import bucket_count, load_any, read_dbf, write_bucketed, write_csv, write_parquet
 from campusgrid.sources.quoted import read_quoted
 
 from . import files
@@ -113,11 +113,13 @@ def _(spark, sf):
 
 
 def bucketed_sites(spark, sf, buckets=8):
-    """The integrated sites, with all detail tables stored in buckets of the site code."""
+    """The integrated sites, with all detail tables stored in buckets of the site code, ``buckets`` at least."""
     stored = {}
-    for name in ("register", "classrooms", "buildings"):
+    details = {name: school(spark, sf, name) for name in ("register", "classrooms", "buildings")}
+    buckets = bucket_count(details.values(), least=buckets)
+    for name, rows in details.items():
         path = work_path(spark, name)
-        stored[name] = write_bucketed(school(spark, sf, name), path, path.rsplit("/", 1)[1].replace("-", "_"), N.SITE, buckets=buckets)
+        stored[name] = write_bucketed(rows, path, path.rsplit("/", 1)[1].replace("-", "_"), N.SITE, buckets=buckets)
     rest = [school(spark, sf, n) for n in ("history", "distances")]
     return sites.integrate_sites(*stored.values(), *rest, register_order=["seq"], history_order=["seq"])
 

@@ -222,6 +222,17 @@ def test_bucketed_tables_are_joined_as_they_lie(spark):
     assert plan[1].count("Bucketed: true") >= 3
 
 
+def test_buckets_grow_in_number_with_the_tables(spark, monkeypatch):
+    monkeypatch.setattr("campusgrid.sources.sinks.BUCKET_ROWS", 500)
+    found = plan_checks.bucketed_sites(spark, SF)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    buckets = {t.name: [r.data_type for r in spark.sql(f"describe extended {t.name}").collect() if r.col_name == "Num Buckets"]
+               for t in spark.catalog.listTables() if t.name in plan}
+    lines = spark.read.parquet(f"{SF}/lineitem.parquet").count()
+    assert len(buckets) == 3 and set(map(tuple, buckets.values())) == {(str(-(-lines // 500)),)}
+    assert rows(found) == rows(plan_checks._sites(spark, SF))
+
+
 OUTSIDE = """
 import sys
 sys.path.insert(0, {root!r})
