@@ -527,7 +527,7 @@ _CUSTOMERS = "select {} from customer"
 def _(spark, sf):
     def encode(rows):
         fields = [("KEY", "N", 10, 0), ("NAME", "C", 40, 0), ("SEGMENT", "C", 20, 0), ("NATION", "N", 4, 0)]
-        return files.dbf_bytes(fields, [(False, [str(v) for v in row]) for row in rows.values.tolist()])
+        return files.dbf_bytes(fields, [(False, files.texts(row)) for row in rows.values.tolist()])
 
     return load_any(spark, files.write_as(_customers(spark, sf), "dbf", ".dbf", encode))
 
@@ -540,7 +540,7 @@ def _(spark, sf):
 def _(spark, sf):
     def encode(rows):
         fields = [("c_custkey", "N", 10, 0), ("c_name", "C", 25, 0), ("segment", "C", 10, 0)]
-        return files.dbf_bytes(fields, [(False, [str(v) for v in r]) for r in rows[[f[0] for f in fields]].itertuples(index=False)])
+        return files.dbf_bytes(fields, [(False, files.texts(r)) for r in rows[[f[0] for f in fields]].itertuples(index=False)])
 
     rows = _customers(spark, sf).withColumnRenamed("c_mktsegment", "segment")
     found = read_dbf(spark, files.write_as(rows, "dbf", ".dbf", encode), records_per_task=500)

@@ -261,3 +261,11 @@ def test_workbook_of_many_texts_in_linear_time():
     begun = time.process_time()
     xlsx_bytes([["name"], *([f"name {i}"] for i in range(40_000))])
     assert time.process_time() - begun < 10
+
+
+def test_dbf_values_that_are_missing_are_written_blank(spark, put):
+    from checks.files import texts
+
+    rows_in = [["015676", 3.0], [None, float("nan")]]
+    path = put("blank.dbf", dbf_bytes([("K", "C", 8, 0), ("N", "N", 4, 0)], [(False, texts(r)) for r in rows_in]))
+    assert rows(sources.read_dbf(spark, path)) == [("", None), ("015676", 3)]
