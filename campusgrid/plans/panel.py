@@ -44,13 +44,18 @@ def exploratory_panel(
     evaluations: DataFrame,
     history: DataFrame,
     master: DataFrame,
+    *,
+    digits: int | None = None,
 ) -> DataFrame:
     """History means with section results (by school name), site structure (by code) and the
     master table (by code); distinct rows. Master columns are named ``<column>_master`` where
-    they collide.
+    they collide. ``digits`` rounds the means.
 
     The inputs are deduplicated before each many-to-many join, so a site's buildings and
-    classrooms multiply by their distinct descriptions only."""
+    classrooms multiply by their distinct descriptions only. All joins are on keys of the history
+    means: the master table comes first, which hardly multiplies, and sections, which multiply by
+    programme, grade, booklet and area, come last, so that their products are neither shuffled nor
+    sorted nor looked up again. Means are rounded before rows multiply."""
 
     def coded(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         return df.select(*[as_column(c) for c in columns]).withColumn(N.SITE, zero_pad_code(N.SITE))
@@ -60,11 +65,19 @@ def exploratory_panel(
         [(coded(buildings, N.BUILDINGS_OLD), N.SITE), (coded(classrooms, N.CLASSROOMS), N.SITE)],
     )
     means = history_means(history).withColumn("Cod_Local", zero_pad_code("Cod_Local")).distinct()
-    panel = left_join(means, section_results(evaluations), [("Nombre_IE", "nom_ie")])
+    sections = section_results(evaluations)
+    if digits is not None:
+        means, sections = (
+            df.withColumns({c: F.round(as_column(c), digits) for c in df.columns if c.startswith("promedio_")})
+            for df in (means, sections)
+        )
+    taken = {*means.columns, *sections.columns, *structure.columns}
+    places = master.withColumn(N.SITE, zero_pad_code(N.SITE)).distinct()
+    places = places.select(*[as_column(c).alias(f"{c}_master" if c in taken else c) for c in places.columns])
+    panel = left_join(means, places, [("Cod_Local", f"{N.SITE}_master")])
     panel = left_join(panel, structure, [("Cod_Local", N.SITE)])
-    return left_join(
-        panel, master.withColumn(N.SITE, zero_pad_code(N.SITE)).distinct(), [("Cod_Local", N.SITE)], suffix="_master"
-    )
+    panel = left_join(panel, sections, [("Nombre_IE", "nom_ie")])
+    return panel.select(*[as_column(c) for df in (means, sections, structure, places) for c in df.columns])
 
 
 def panel_means(

@@ -235,8 +235,7 @@ def _panel_view(spark, sf, name):
 )
 def _(spark, sf):
     names = ("register", "buildings", "classrooms", "evaluations", "history", "master")
-    out = panel.exploratory_panel(*[_panel_view(spark, sf, n) for n in names])
-    out = out.withColumns({"promedio_logro": rounded("promedio_logro"), "promedio_suma_puntaje": rounded("promedio_suma_puntaje")})
+    out = panel.exploratory_panel(*[_panel_view(spark, sf, n) for n in names], digits=6)
     return out.select(
         "Cod_Local", "AÑO", "Área", "Evaluación", "PERIODO", "promedio_logro", "Programa", "grado", "cuadernillo", "area_evaluacion",
         "cantidad_alumnos", "promedio_suma_puntaje", "COD_MOD", "D_FORMA", "P53_3", "P53_9", "P61_2", "P61_3", "TALUMNO",
