@@ -143,7 +143,7 @@ class Coder:
     def decisions(self, words: Words):
         """All decisions of a batch in order: where texts begin, node (byte nodes after word nodes), bit, and unit. Units
         are tokens, each followed by the letters it is spelled with; three context hashes per unit. And per text the
-        log10 shares within last intervals."""
+        log10 shares within last intervals, tokens' hashes and symbols, where texts begin in them, and all units."""
         hashes, first = token_hashes(words)
         symbol = self.symbols(hashes)
         texts = np.repeat(np.arange(len(first) - 1), np.diff(first))
@@ -179,15 +179,25 @@ class Coder:
             units, *contexts = merged
         size = self.path_size[units]
         place = np.concatenate([[0], np.cumsum(size)])
-        source = np.repeat(self.path_first[units] - place[:-1], size) + np.arange(place[-1])
-        path = self.paths[source]
+        source = np.repeat((self.path_first[units] - place[:-1]).astype(np.int32), size)
+        source += np.arange(place[-1], dtype=np.int32)
+        path = self.paths.take(source)
         unit = np.repeat(np.arange(len(units), dtype=np.int32), size)
         node, bit, place = path >> 1, (path & 1).astype(np.uint8), place[unit_of[first]]
         shares = np.bincount(texts, self.word.rest[symbol], minlength=len(first) - 1)
         if len(letters):
             owner = np.repeat(texts[spelled], np.diff(letter_first))
             shares += np.bincount(owner, self.byte.rest[letters], minlength=len(first) - 1)
-        return place, node, bit, unit, contexts, shares, hashes, symbol, first
+        return place, node, bit, unit, contexts, shares, hashes, symbol, first, units
+
+    def plain_counts(self, seen: np.ndarray) -> np.ndarray:
+        """How often each node decided 0 and 1, from how often each word and letter was met."""
+        out = np.zeros(2 * self.nodes, dtype=np.int64)
+        for low in range(0, len(seen), 1 << 15):  # some hundred thousand decisions at a time
+            some, begin = seen[low : low + (1 << 15)], self.path_first[low]
+            path = self.paths[begin : begin + self.path_size[low : low + (1 << 15)].sum()]
+            np.add.at(out, path, np.repeat(some, self.path_size[low : low + (1 << 15)]))
+        return out.reshape(-1, 2).T
 
     def _letters(self, words: Words, chosen: np.ndarray, topic: np.ndarray):
         """Bytes of the chosen words, each closed by 256, with their contexts."""
@@ -253,21 +263,17 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _tally(coder: Coder, node, bit, unit, contexts, plain: np.ndarray, tables: np.ndarray) -> None:
-    """Add a batch's decisions to the counts."""
-    seen = np.bincount(node * 2 + bit, minlength=2 * coder.nodes)
-    plain[0] += seen[0::2]
-    plain[1] += seen[1::2]
-    spots = np.empty(len(node), dtype=np.int64)
-    for table, context in zip(tables, contexts):
-        for low in range(0, len(node), 1 << 15):
-            part = slice(low, low + (1 << 15))
-            at = node[part].astype(np.int64)
-            slot = _slots(coder.salt.take(at), context.take(unit[part].astype(np.int64)))
+def _tally(coder: Coder, node, bit, unit, contexts, tables: np.ndarray) -> None:
+    """Add a batch's decisions to the counts in contexts, in place: a batch asks for far fewer slots than there are."""
+    one = np.ones((), dtype=tables.dtype)
+    for low in range(0, len(node), 1 << 15):
+        part = slice(low, low + (1 << 15))
+        salt, who = coder.salt.take(node[part]), unit[part].astype(np.int64)
+        for table, context in zip(tables, contexts):
+            slot = _slots(salt, context.take(who))
             slot <<= 1
             slot += bit[part]
-            spots[part] = slot
-        np.add(table, np.bincount(spots, minlength=2 * SLOTS), out=table, casting="unsafe")
+            np.add.at(table, slot, one)
 
 
 def _count_contexts(key: int, broadcast, lanes: int):
@@ -276,15 +282,17 @@ def _count_contexts(key: int, broadcast, lanes: int):
 
         coder = _coder(key, broadcast)
         lane = TaskContext.get().partitionId() % lanes
-        plain = np.zeros((2, coder.nodes), dtype=np.int64)
+        seen = np.zeros(len(coder.path_size), dtype=np.int64)  # of words and letters: their paths are counted at the end
         tables = np.zeros((_LANES - 1, 2 * SLOTS), dtype=np.uint32)
         some = False
         for batch in small_batches(batches, "text"):
             some = True
-            _tally(coder, *coder.decisions(find_words(batch.column("text"), lower=True))[1:5], plain, tables)
+            _, *taken, _, _, _, _, units = coder.decisions(find_words(batch.column("text"), lower=True))
+            _tally(coder, *taken, tables)
+            seen += np.bincount(units, minlength=len(seen))
         if not some:
             return
-        rows = [(-1, plain.astype("<i8").tobytes())]
+        rows = [(-1, coder.plain_counts(seen).astype("<i8").tobytes())]
         for number, table in enumerate(tables):
             for at in range(0, 2 * SLOTS, 2 * CHUNK):
                 part = table[at : at + 2 * CHUNK]
@@ -322,83 +330,115 @@ def _bound(counts: DataFrame) -> int:
     return least
 
 
+def _lookups(plain: np.ndarray, tables: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """What a node tells without a context (both shares, weighted as counts), and the tables: a pair in one look-up."""
+    total = plain[0] + plain[1] + 1
+    shares = np.stack([(plain[0] + 0.5) / total, (plain[1] + 0.5) / total], 1).astype(np.float32)
+    alone = (np.float32(_STRENGTH) * shares).view(np.complex64)[:, 0]
+    # Copies, as numpy's own large arrays lie in large pages, unpickled ones do not: scattered look-ups are faster there.
+    return alone, [np.array(t, dtype=np.float32, order="C").view(np.complex64)[:, 0] for t in tables]
+
+
 def _predictions(coder: Coder, plain: np.ndarray, tables: np.ndarray, node: np.ndarray, unit: np.ndarray, contexts) -> tuple[np.ndarray, np.ndarray]:
-    """Stretched predictions that a decision is 1, and the gate. A few ten thousand decisions at a time stay in cache."""
-    base = ((plain[1] + 0.5) / (plain[0] + plain[1] + 1)).astype(np.float32)
-    rest = ((plain[0] + 0.5) / (plain[0] + plain[1] + 1)).astype(np.float32)
-    stretched = np.log(base / rest)
-    pairs = [np.ascontiguousarray(t).view(np.complex64)[:, 0] for t in tables]  # both counts of a slot in one look-up
-    inputs, gate = np.empty((_LANES, len(node)), dtype=np.float32), np.empty(len(node), dtype=np.int32)
+    """Stretched predictions that a decision is 1, and the gate."""
+    return _predict(coder, *_lookups(plain, tables), node, unit, contexts)
+
+
+def _predict(coder: Coder, alone, pairs, node: np.ndarray, unit: np.ndarray, contexts) -> tuple[np.ndarray, np.ndarray]:
+    """The same from look-ups made once. A few ten thousand decisions at a time stay in cache."""
     strength = np.float32(_STRENGTH)
+    inputs, gate = np.empty((_LANES, len(node)), dtype=np.float32), np.empty(len(node), dtype=np.uint8)
     for low in range(0, len(node), 1 << 15):
         part = slice(low, low + (1 << 15))
         at, who = node[part].astype(np.int64), unit[part].astype(np.int64)
         salt = coder.salt.take(at)
-        p, q = base.take(at), rest.take(at)
-        inputs[0, part] = stretched.take(at)
-        level = (at >= coder.word.count).astype(np.int32)
+        both = alone.take(at)
+        np.log(both.imag / both.real, out=inputs[0, part])
+        level = (at >= coder.word.count).view(np.uint8)
         for number, (table, context) in enumerate(zip(pairs, contexts)):
-            both = table.take(_slots(salt, context.take(who)))
             # The counts, and the shorter context's prediction with the weight of a few of them.
-            one, zero = both.imag + strength * p, both.real + strength * q
+            both += table.take(_slots(salt, context.take(who)))
+            one, zero = both.imag, both.real
+            np.log(one / zero, out=inputs[number + 1, part])
             total = one + zero
-            inputs[number + 1, part] = np.log(one / zero)
-            if number < 2:
-                p = one / total
-                q = 1 - p
             if number:
-                level = level * 4 + np.searchsorted(_CONFIDENCE, total)
+                level = level << 2
+                for limit in _CONFIDENCE:
+                    level += total > limit
+            if number < _LANES - 2:
+                both *= strength / total  # not 1 - p for the other side, which may be nothing where counts are one-sided
         gate[part] = level
     return inputs, gate
 
 
 def _mix_online(first: np.ndarray, bit: np.ndarray, inputs: np.ndarray, gate: np.ndarray, rate: float) -> np.ndarray:
     """log10 probability of each text's decisions, with weights that follow the error within the text."""
+    out = np.zeros(len(first) - 1)
+    if not len(bit):
+        return out
     sizes = np.diff(first)
     order = np.argsort(-sizes, kind="stable")
     rank = np.empty(len(sizes), dtype=np.int64)
     rank[order] = np.arange(len(sizes))
-    out = np.zeros(len(sizes))
     gates = 32
     weights = np.repeat(np.array(START_WEIGHTS, dtype=np.float32)[:, None], len(sizes) * gates, axis=1)
-    text = np.repeat(rank, sizes)
-    block = (np.arange(len(bit)) - np.repeat(first[:-1], sizes)) // BLOCK
-    # Small numbers are sorted by their digits, which takes a fraction of the time.
-    by_block = np.argsort(block.astype(np.uint16 if len(block) < BLOCK << 16 else np.int32), kind="stable")
-    edges = np.concatenate([[0], np.cumsum(np.bincount(block))]) if len(bit) else np.zeros(1, int)
+    # Steps: the blocks of all texts, first blocks first, longest texts first.
+    many = -(-sizes // BLOCK)
+    step_text, step_block = np.repeat(rank, many), _ramp(many)
+    sorted_steps = np.lexsort((step_text, step_block))
+    number = np.empty(len(sorted_steps), dtype=np.uint16 if len(sorted_steps) < 1 << 16 else np.int32)
+    number[sorted_steps] = np.arange(len(sorted_steps))
+    length = np.minimum(BLOCK, np.repeat(sizes, many) - step_block * BLOCK)
+    # Decisions of one gate of one step side by side. Small numbers are sorted by their digits, which takes a fraction of
+    # the time, so by gate first.
+    by_spot = np.argsort(gate, kind="stable")
+    step = np.repeat(number, length)[by_spot]
+    by_step = np.argsort(step, kind="stable")
+    step, by_spot = step[by_step], by_spot[by_step]
+    gate, inputs = gate[by_spot], inputs.take(by_spot, axis=1)
     # Minus one for a decision of 1: by this sign a stretched prediction speaks against what happened.
-    inputs, gate, text = inputs[:, by_block], gate[by_block], text[by_block]
-    against = (1 - 2 * bit[by_block].astype(np.int8)).astype(np.float32)
-    spots = text * gates + gate
+    against = (1 - 2 * bit.astype(np.int8)).astype(np.float32)[by_spot]
+    inputs *= against
+    heads = np.flatnonzero(np.append(True, (step[1:] != step[:-1]) | (gate[1:] != gate[:-1])))
+    head_step = sorted_steps[step[heads]]
+    spots = step_text[head_step] * gates + gate[heads]
+    runs = np.diff(np.append(heads, len(step)))
+    # Where blocks begin, among decisions and among their runs of one weight.
+    edges = np.searchsorted(step_block[head_step], np.arange(int(many.max()) + 1))
+    places = np.append(heads, len(step))
+    loss = np.empty(len(step), dtype=np.float32)
+    low_end, high_end = np.float32(-13), np.float32(13)
     for low, high in zip(edges[:-1], edges[1:]):
-        x, sign, spot, owner = inputs[:, low:high], against[low:high], spots[low:high], text[low:high]
-        z = weights[0].take(spot)
-        z *= x[0]
-        for k in range(1, _LANES):
-            z += weights[k].take(spot) * x[k]
+        part, spot, size = slice(places[low], places[high]), spots[low:high], runs[low:high]
+        x, mine = inputs[:, part], weights.take(spot, axis=1)
+        z = np.einsum("kn,kn->n", np.repeat(mine, size, axis=1), x)
         # odds: how much likelier the other bit was.
-        z *= sign
-        odds = np.exp(np.clip(z, np.float32(-13), np.float32(13), out=z), out=z)
-        both = 1 + odds
-        out[: owner.max() + 1] -= np.bincount(owner, np.log(both))
+        odds = np.exp(np.minimum(np.maximum(z, low_end, out=z), high_end, out=z), out=z)
+        both = np.add(odds, 1, out=loss[part])
         error = odds
         error /= both
-        error *= -sign
-        some = int(spot.max()) + 1
-        for k in range(_LANES):
-            weights[k, :some] += rate * np.bincount(spot, error * x[k])
+        mine -= np.float32(rate) * np.add.reduceat(error * x, places[low:high] - places[low], axis=1)
+        weights[:, spot] = mine
+    np.log(loss, out=loss)
+    out -= np.bincount(np.repeat(spots // gates, runs), loss, minlength=len(out))
     return out[rank] / np.log(10)
 
 
+def _ramp(sizes: np.ndarray) -> np.ndarray:
+    """0, 1, 2, ... for every size."""
+    return np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+
+
 def _score(key: int, broadcast, rate: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(key, broadcast)
         _, counts, _, _, _, plain, tables, floor = broadcast.value
         shown = np.log10(np.append(counts, 0) + 1.0) - floor
+        lookups = _lookups(plain, tables)
         for batch in small_batches(batches, "text"):
             words = find_words(batch.column("text"), lower=True)
-            place, node, bit, unit, contexts, shares, hashes, symbol, first = coder.decisions(words)
-            inputs, gate = _predictions(coder, plain, tables, node, unit, contexts)
+            place, node, bit, unit, contexts, shares, hashes, symbol, first, _ = coder.decisions(words)
+            inputs, gate = _predict(coder, *lookups, node, unit, contexts)
             score = shares.astype(np.float64) + _mix_online(place, bit, inputs, gate, rate)
             texts = np.repeat(np.arange(batch.num_rows), np.diff(first))
             known = symbol != coder.escape

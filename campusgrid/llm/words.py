@@ -129,14 +129,16 @@ def string_column(data: np.ndarray, offsets: np.ndarray, kind=pa.string()) -> pa
 
 
 def small_batches(batches: Iterable[pa.RecordBatch], text: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of at most ``limit`` bytes of text (a longer text makes a batch of its own)."""
+    """The same rows in batches of at most ``limit`` bytes of text, alike in size (a longer text makes a batch of its own)."""
     for batch in batches:
         if not batch.num_rows:
             continue
         _, offsets = text_bytes(batch.column(text))
         at = 0
         while at < batch.num_rows:
-            to = int(np.searchsorted(offsets, offsets[at] + limit, side="right")) - 1
+            left = int(offsets[-1] - offsets[at])
+            share = -(-left // max(1, -(-left // limit)))
+            to = int(np.searchsorted(offsets, offsets[at] + share, side="right")) - 1
             to = min(max(to, at + 1), batch.num_rows)
             yield batch.slice(at, to - at)
             at = to

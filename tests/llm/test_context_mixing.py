@@ -167,3 +167,40 @@ def test_the_query_predicts_whole_words(spark, tmp_path):
     df = spark.read.parquet(str(tmp_path / "documents.parquet"))
     whole = cm.score_texts(df, F.crc32(F.col("doc_id").cast("string")) % 7 == 2, tree_depth=None).collect()
     assert len(got) == 60 and all(abs(got[row.id] - row.score) < 1e-3 for row in whole)
+
+
+def test_counts_of_paths_and_contexts_against_single_decisions():
+    texts = pa.array([r[1] for r in documents()])
+    found, counts = np.unique(cm.token_hashes(find_words(texts, lower=True))[0], return_counts=True)
+    often = np.argsort(-counts, kind="stable")[:40]  # other words are spelled
+    coder = cm.Coder(found[often], counts[often], int(counts.sum()), np.ones(257))
+    _, node, bit, unit, contexts, *_, units = coder.decisions(find_words(texts, lower=True))
+    plain = coder.plain_counts(np.bincount(units, minlength=len(coder.path_size)))
+    seen = Counter(zip(node.tolist(), bit.tolist()))
+    assert plain.sum() == len(node) and all(plain[b, n] == c for (n, b), c in seen.items())
+    tables = np.zeros((3, 2 * cm.SLOTS), dtype=np.uint32)
+    cm._tally(coder, node, bit, unit, contexts, tables)
+    for table, context in zip(tables, contexts):
+        slots = Counter((cm._slots(coder.salt[node], context[unit]) * 2 + bit).tolist())
+        assert table.sum() == len(node) and all(table[s] == c for s, c in slots.items())
+
+
+def test_batches_are_alike_in_size():
+    """No small rest, which would cost as much besides its rows as a whole batch."""
+    from campusgrid.llm.words import small_batches
+
+    batch = pa.RecordBatch.from_arrays([pa.array(["x" * 10] * 210)], names=["text"])
+    sizes = [b.num_rows for b in small_batches([batch], "text", 1000)]
+    assert sum(sizes) == 210 and len(sizes) == 3 and min(sizes) == 70
+    assert [b.num_rows for b in small_batches([batch], "text", 5)] == [1] * 210
+
+
+def test_one_sided_counts_leave_something_to_the_other_side():
+    """Ten million decisions one way: a share of 1 in single precision must not make the other bit impossible."""
+    words_ = find_words(pa.array(["a b a zz"]))
+    coder = cm.Coder(np.sort(words_.hashes())[:1], np.array([3]), 10, np.ones(257))
+    place, node, bit, unit, contexts, *_ = coder.decisions(words_)
+    plain, tables = np.zeros((2, coder.nodes)), np.zeros((3, cm.SLOTS, 2), dtype=np.float32)
+    plain[1], tables[:, :, 1] = 1e7, 1e7
+    inputs, gate = cm._predictions(coder, plain, tables, node, unit, contexts)
+    assert np.isfinite(inputs).all() and np.isfinite(cm._mix_online(place, bit, inputs, gate, 0.02)).all()
