@@ -37,7 +37,7 @@ from campusgrid.llm.shelf import fresh, prepare, save, tidy
 from campusgrid.llm.words import small_batches
 
 MAGIC, HEAD = b"PACKIDS1", 8 + 6 * 8
-BLOCK_IDS, FILE_IDS = 4096, 8 << 20
+BLOCK_IDS, FILE_IDS, READ_IDS = 4096, 8 << 20, 1 << 20
 
 
 def pack(ids: np.ndarray, bits: int) -> bytes:
@@ -274,15 +274,18 @@ def write_ids(
     count = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # The start of a text is part of the range, so rows without an id, or with one id, are spread as well.
     rows = rows.repartitionByRange(count, "id", F.substring("text", 1, 64)).sortWithinPartitions("id", "text")
-    manifest = save(rows.mapInArrow(tidy(_writer(key, model, folder, bits, end_id, block_ids, file_ids)), _MANIFEST), "manifest")
-    # One row per file: a running sum over the manifest, not over the data.
+    written = rows.mapInArrow(tidy(_writer(key, model, folder, bits, end_id, block_ids, file_ids)), _MANIFEST)
+    # One row per file: one small table, whatever the number of tasks, and a running sum over it, not over the data.
+    manifest = save(written.repartition(1), "manifest")
     before = Window.orderBy("part", "number").rowsBetween(Window.unboundedPreceding, -1)
     return manifest.withColumn("start", F.coalesce(F.sum("ids").over(before), F.lit(0)))
 
 
 def read_documents(manifest: DataFrame, folder: str) -> DataFrame:
     """From the files: doc_id, start (ids of all documents before it), n_tokens, ids_crc32, one row per document."""
-    files = max(1, manifest.count())
+    found = manifest.agg(F.count("*").alias("files"), F.sum("ids").alias("ids")).collect()[0]
+    # Small files share tasks.
+    tasks = max(1, min(found["files"], -(-int(found["ids"] or 0) // READ_IDS)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = pafs.FileSystem.from_uri(folder)
@@ -303,7 +306,7 @@ def read_documents(manifest: DataFrame, folder: str) -> DataFrame:
                             names=["doc_id", "start", "n_tokens", "ids_crc32"],
                         )
 
-    spread = manifest.select("name", "start").repartition(files, "name")
+    spread = manifest.select("name", "start").repartition(tasks)
     return spread.mapInArrow(tidy(run), "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 

@@ -74,6 +74,18 @@ def test_files_in_order_of_id(spark, file_ids):
     assert (manifest.count() > 8) == (file_ids == 500)  # eight partitions
 
 
+def test_small_files_share_a_table_and_a_task(spark, monkeypatch):
+    df = spark.createDataFrame([(i, f"some words of row {i}") for i in range(400)], "doc_id bigint, text string")
+    folder = packed_ids.packed_folder(df)
+    manifest = packed_ids.write_ids(df, MODEL, 2, folder, file_ids=100)
+    assert manifest.count() > 8 and len(manifest.inputFiles()) == 1
+    found = packed_ids.read_documents(manifest, folder)
+    assert found.rdd.getNumPartitions() == 1 and found.count() == 400
+    monkeypatch.setattr(packed_ids, "READ_IDS", 1000)
+    again = packed_ids.read_documents(manifest, folder)
+    assert 1 < again.rdd.getNumPartitions() < manifest.count() and sorted(again.collect()) == sorted(found.collect())
+
+
 def test_no_rows(spark):
     df = spark.createDataFrame([], SCHEMA)
     folder = packed_ids.packed_folder(df)
