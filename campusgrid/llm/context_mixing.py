@@ -16,7 +16,6 @@ per task and added up in two steps. What all tasks need is bounded: the tables a
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -33,7 +32,10 @@ VOCABULARY, SLOTS, CHUNK, BLOCK = 1 << 19, 1 << 20, 1 << 13, 128
 #: Hash values that stand for the end and the escape; the count of the end is kept under END like a word's.
 END, ESCAPE = 1, 2
 _FREQUENT = 256
-_LANES = 4
+_LANES, _GATES = 4, 32
+#: Decisions at a time that stay in cache.
+_PART = 1 << 15
+_NODE_SALT = np.uint64(0x9E3779B97F4A7C15)
 START_WEIGHTS = (0.0, 0.0, 0.3, 0.7)
 #: Gates by how often the two longest contexts were met: never, a few times, dozens of times, more.
 _STRENGTH = 4.0
@@ -119,7 +121,7 @@ class Coder:
         self.paths = np.concatenate(paths)
         self.path_first = np.concatenate([self.word.first, self.byte.first[1:] + self.word.first[-1]])
         self.path_size = np.diff(self.path_first)
-        self.salt = np.arange(self.nodes).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        self.salt = np.arange(self.nodes).astype(np.uint64) * _NODE_SALT
         # An index by the leading bits makes look-ups short.
         self.lead = 64 - 20
         self.index = np.searchsorted(self.sorted >> np.uint64(self.lead), np.arange((1 << 20) + 1, dtype=np.uint64))
@@ -144,6 +146,11 @@ class Coder:
         """All decisions of a batch in order: where texts begin, node (byte nodes after word nodes), bit, and unit. Units
         are tokens, each followed by the letters it is spelled with; three context hashes per unit. And per text the
         log10 shares within last intervals, tokens' hashes and symbols, where texts begin in them, and all units."""
+        place, path, *rest = self.path(words)
+        return place, path >> 1, (path & 1).astype(np.uint8), *rest
+
+    def path(self, words: Words):
+        """The same with node * 2 + bit in one."""
         hashes, first = token_hashes(words)
         symbol = self.symbols(hashes)
         texts = np.repeat(np.arange(len(first) - 1), np.diff(first))
@@ -183,12 +190,12 @@ class Coder:
         source += np.arange(place[-1], dtype=np.int32)
         path = self.paths.take(source)
         unit = np.repeat(np.arange(len(units), dtype=np.int32), size)
-        node, bit, place = path >> 1, (path & 1).astype(np.uint8), place[unit_of[first]]
+        place = place[unit_of[first]]
         shares = np.bincount(texts, self.word.rest[symbol], minlength=len(first) - 1)
         if len(letters):
             owner = np.repeat(texts[spelled], np.diff(letter_first))
             shares += np.bincount(owner, self.byte.rest[letters], minlength=len(first) - 1)
-        return place, node, bit, unit, contexts, shares, hashes, symbol, first, units
+        return place, path, unit, contexts, shares, hashes, symbol, first, units
 
     def plain_counts(self, seen: np.ndarray) -> np.ndarray:
         """How often each node decided 0 and 1, from how often each word and letter was met."""
@@ -265,14 +272,21 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _tally(coder: Coder, node, bit, unit, contexts, tables: np.ndarray) -> None:
     """Add a batch's decisions to the counts in contexts, in place: a batch asks for far fewer slots than there are."""
+    _tally_path(node * 2 + bit, unit, contexts, tables)
+
+
+def _tally_path(path: np.ndarray, unit: np.ndarray, contexts, tables: np.ndarray) -> None:
     one = np.ones((), dtype=tables.dtype)
-    for low in range(0, len(node), 1 << 15):
-        part = slice(low, low + (1 << 15))
-        salt, who = coder.salt.take(node[part]), unit[part].astype(np.int64)
+    for low in range(0, len(path), _PART):
+        part = slice(low, low + _PART)
+        taken, who = path[part].astype(np.int64), unit[part].astype(np.int64)
+        bit = taken & 1
+        taken >>= 1
+        salt = taken.view(np.uint64) * _NODE_SALT
         for table, context in zip(tables, contexts):
             slot = _slots(salt, context.take(who))
             slot <<= 1
-            slot += bit[part]
+            slot += bit
             np.add.at(table, slot, one)
 
 
@@ -287,34 +301,48 @@ def _count_contexts(key: int, broadcast, lanes: int):
         some = False
         for batch in small_batches(batches, "text"):
             some = True
-            _, *taken, _, _, _, _, units = coder.decisions(find_words(batch.column("text"), lower=True))
-            _tally(coder, *taken, tables)
+            _, *taken, _, _, _, _, units = coder.path(find_words(batch.column("text"), lower=True))
+            _tally_path(*taken, tables)
             seen += np.bincount(units, minlength=len(seen))
         if not some:
             return
-        rows = [(-1, coder.plain_counts(seen).astype("<i8").tobytes())]
+        plain = coder.plain_counts(seen).ravel()
+        rows = [(-1, len(plain), _packed(plain))]
         for number, table in enumerate(tables):
             for at in range(0, 2 * SLOTS, 2 * CHUNK):
                 part = table[at : at + 2 * CHUNK]
                 if part.any():
-                    rows.append((number * SLOTS // CHUNK + at // (2 * CHUNK), part.astype("<i8").tobytes()))
+                    rows.append((number * SLOTS // CHUNK + at // (2 * CHUNK), len(part), _packed(part)))
         for at in range(0, len(rows), 64):
             some_rows = rows[at : at + 64]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[0] for r in some_rows], pa.int32()), pa.array([lane] * len(some_rows), pa.int32()),
-                 pa.array([zlib.compress(r[1], 1) for r in some_rows], pa.binary())],
-                names=["chunk", "lane", "data"],
+                 pa.array([r[1] for r in some_rows], pa.int64()), pa.array([r[2] for r in some_rows], pa.binary())],
+                names=["chunk", "lane", "counts", "data"],
             )
 
     return run
 
 
+def _packed(counts: np.ndarray) -> bytes:
+    """Counts compressed byte by byte of equal weight: most upper ones are 0."""
+    return pa.compress(counts.astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes(), "zstd", asbytes=True)
+
+
+def _unpacked(data: bytes, count: int) -> np.ndarray:
+    raw = np.frombuffer(pa.decompress(data, 8 * count, "zstd", asbytes=True), dtype=np.uint8)
+    return np.ascontiguousarray(raw.reshape(8, -1).T).view("<i8")[:, 0]
+
+
 def _add_up(frame: pd.DataFrame) -> pd.DataFrame:
-    total = None
+    counts = int(frame["counts"].iloc[0])
+    total = np.zeros(counts, dtype=np.int64)
     for data in frame["data"]:
-        part = np.frombuffer(zlib.decompress(data), dtype="<i8")
-        total = part.copy() if total is None else total + part
-    return pd.DataFrame({"chunk": frame["chunk"][:1], "lane": frame["lane"][:1], "data": [zlib.compress(total.tobytes(), 1)]})
+        total += _unpacked(data, counts)
+    return pd.DataFrame({"chunk": frame["chunk"][:1], "lane": frame["lane"][:1], "counts": [counts], "data": [_packed(total)]})
+
+
+_SUMS = "chunk int, lane int, counts bigint, data binary"
 
 
 def _bound(counts: DataFrame) -> int:
@@ -340,88 +368,115 @@ def _lookups(plain: np.ndarray, tables: np.ndarray) -> tuple[np.ndarray, list[np
 
 
 def _predictions(coder: Coder, plain: np.ndarray, tables: np.ndarray, node: np.ndarray, unit: np.ndarray, contexts) -> tuple[np.ndarray, np.ndarray]:
-    """Stretched predictions that a decision is 1, and the gate."""
-    return _predict(coder, *_lookups(plain, tables), node, unit, contexts)
+    """Stretched predictions that a decision is 1, one row a predictor, and the gate."""
+    inputs, gate = _predict(coder, *_lookups(plain, tables), node * 2, unit, contexts)
+    return np.concatenate([pair.T for pair in inputs]), gate
 
 
-def _predict(coder: Coder, alone, pairs, node: np.ndarray, unit: np.ndarray, contexts) -> tuple[np.ndarray, np.ndarray]:
-    """The same from look-ups made once. A few ten thousand decisions at a time stay in cache."""
+def _predict(coder: Coder, alone, pairs, path: np.ndarray, unit: np.ndarray, contexts) -> tuple[list[np.ndarray], np.ndarray]:
+    """The same from look-ups made once and paths, predictors in twos side by side. A few ten thousand decisions at a time stay in cache."""
     strength = np.float32(_STRENGTH)
-    inputs, gate = np.empty((_LANES, len(node)), dtype=np.float32), np.empty(len(node), dtype=np.uint8)
-    for low in range(0, len(node), 1 << 15):
-        part = slice(low, low + (1 << 15))
-        at, who = node[part].astype(np.int64), unit[part].astype(np.int64)
-        salt = coder.salt.take(at)
+    # Arrays of their own, as the allocator keeps arrays below 32 MB for the next batch.
+    inputs = [np.empty((len(path), 2), dtype=np.float32) for _ in range(_LANES // 2)]
+    gate = np.empty(len(path), dtype=np.uint8)
+    for low in range(0, len(path), _PART):
+        part = slice(low, low + _PART)
+        at, who = path[part].astype(np.int64), unit[part].astype(np.int64)
+        at >>= 1
+        salt = at.view(np.uint64) * _NODE_SALT
         both = alone.take(at)
-        np.log(both.imag / both.real, out=inputs[0, part])
+        np.divide(both.imag, both.real, out=inputs[0][part, 0])
         level = (at >= coder.word.count).view(np.uint8)
         for number, (table, context) in enumerate(zip(pairs, contexts)):
             # The counts, and the shorter context's prediction with the weight of a few of them.
             both += table.take(_slots(salt, context.take(who)))
             one, zero = both.imag, both.real
-            np.log(one / zero, out=inputs[number + 1, part])
+            np.divide(one, zero, out=inputs[(number + 1) // 2][part, (number + 1) % 2])
             total = one + zero
             if number:
-                level = level << 2
+                level <<= 2
                 for limit in _CONFIDENCE:
-                    level += total > limit
+                    level += (total > limit).view(np.uint8)
             if number < _LANES - 2:
                 both *= strength / total  # not 1 - p for the other side, which may be nothing where counts are one-sided
         gate[part] = level
+        for pair in inputs:
+            np.log(pair[part], out=pair[part])
     return inputs, gate
 
 
+@dataclass
+class Steps:
+    """The blocks of all texts, first blocks first, longest texts first: decision i of this order is ``source[i]`` of the
+    batch, and its text is number ``spot[i] / _GATES`` of ``order``. ``texts`` and ``begin`` are those of the blocks, ``ends`` say where the first,
+    second, ... blocks of all texts begin."""
+
+    order: np.ndarray
+    source: np.ndarray
+    spot: np.ndarray
+    texts: np.ndarray
+    begin: np.ndarray
+    ends: list[int]
+
+
+def _steps(first: np.ndarray) -> Steps:
+    sizes = np.diff(first)
+    order = np.argsort(-sizes, kind="stable")
+    sizes, start = sizes[order], first[:-1][order]
+    many = -(-sizes // BLOCK)
+    texts, block = np.repeat(np.arange(len(sizes)), many), _ramp(many)
+    sorted_ = np.argsort(block, kind="stable")
+    texts, block = texts[sorted_], block[sorted_]
+    length = np.minimum(BLOCK, sizes[texts] - block * BLOCK)
+    places = np.concatenate([[0], np.cumsum(length)])
+    source = np.repeat((start[texts] + block * BLOCK - places[:-1]).astype(np.int32), length)
+    source += np.arange(len(source), dtype=np.int32)
+    ends = places[np.searchsorted(block, np.arange(int(many.max(initial=0)) + 1))]
+    return Steps(order, source, np.repeat((texts * _GATES).astype(np.int32), length), texts, places[:-1], ends.tolist())
+
+
 def _mix_online(first: np.ndarray, bit: np.ndarray, inputs: np.ndarray, gate: np.ndarray, rate: float) -> np.ndarray:
     """log10 probability of each text's decisions, with weights that follow the error within the text."""
-    out = np.zeros(len(first) - 1)
+    steps = _steps(first)
+    inputs = [np.ascontiguousarray(inputs[k : k + 2].T).take(steps.source, axis=0) for k in range(0, _LANES, 2)]
+    return _mix(steps, bit.take(steps.source), inputs, gate.take(steps.source), rate)
+
+
+def _mix(steps: Steps, bit: np.ndarray, inputs: list[np.ndarray], gate: np.ndarray, rate: float) -> np.ndarray:
+    """The same of decisions in the order of their steps, predictors in twos; ``inputs`` are used up."""
+    out = np.zeros(len(steps.order))
     if not len(bit):
         return out
-    sizes = np.diff(first)
-    order = np.argsort(-sizes, kind="stable")
-    rank = np.empty(len(sizes), dtype=np.int64)
-    rank[order] = np.arange(len(sizes))
-    gates = 32
-    weights = np.repeat(np.array(START_WEIGHTS, dtype=np.float32)[:, None], len(sizes) * gates, axis=1)
-    # Steps: the blocks of all texts, first blocks first, longest texts first.
-    many = -(-sizes // BLOCK)
-    step_text, step_block = np.repeat(rank, many), _ramp(many)
-    sorted_steps = np.lexsort((step_text, step_block))
-    number = np.empty(len(sorted_steps), dtype=np.uint16 if len(sorted_steps) < 1 << 16 else np.int32)
-    number[sorted_steps] = np.arange(len(sorted_steps))
-    length = np.minimum(BLOCK, np.repeat(sizes, many) - step_block * BLOCK)
-    # Decisions of one gate of one step side by side. Small numbers are sorted by their digits, which takes a fraction of
-    # the time, so by gate first.
-    by_spot = np.argsort(gate, kind="stable")
-    step = np.repeat(number, length)[by_spot]
-    by_step = np.argsort(step, kind="stable")
-    step, by_spot = step[by_step], by_spot[by_step]
-    gate, inputs = gate[by_spot], inputs.take(by_spot, axis=1)
+    # Two weights are one complex number: looked up and added to at once.
+    weights = np.repeat(np.array(START_WEIGHTS, dtype=np.float32).view(np.complex64)[:, None], len(out) * _GATES, axis=1)
     # Minus one for a decision of 1: by this sign a stretched prediction speaks against what happened.
-    against = (1 - 2 * bit.astype(np.int8)).astype(np.float32)[by_spot]
-    inputs *= against
-    heads = np.flatnonzero(np.append(True, (step[1:] != step[:-1]) | (gate[1:] != gate[:-1])))
-    head_step = sorted_steps[step[heads]]
-    spots = step_text[head_step] * gates + gate[heads]
-    runs = np.diff(np.append(heads, len(step)))
-    # Where blocks begin, among decisions and among their runs of one weight.
-    edges = np.searchsorted(step_block[head_step], np.arange(int(many.max()) + 1))
-    places = np.append(heads, len(step))
-    loss = np.empty(len(step), dtype=np.float32)
-    low_end, high_end = np.float32(-13), np.float32(13)
-    for low, high in zip(edges[:-1], edges[1:]):
-        part, spot, size = slice(places[low], places[high]), spots[low:high], runs[low:high]
-        x, mine = inputs[:, part], weights.take(spot, axis=1)
-        z = np.einsum("kn,kn->n", np.repeat(mine, size, axis=1), x)
+    against = (1 - 2 * bit.astype(np.int8)).astype(np.float32)
+    spots = steps.spot + gate
+    loss = np.empty(len(bit), dtype=np.float32)
+    low_end, high_end, rate = np.float32(-13), np.float32(13), np.float32(rate)
+    for low, high in zip(steps.ends[:-1], steps.ends[1:]):
+        spot, sign = spots[low:high].astype(np.int64), against[low:high]
+        z = 0
+        for pair, x in zip(weights, inputs):
+            mine = pair.take(spot).view(np.float32)
+            mine *= x[low:high].ravel()
+            z = z + mine
+        z = z[::2] + z[1::2]
+        z *= sign
         # odds: how much likelier the other bit was.
         odds = np.exp(np.minimum(np.maximum(z, low_end, out=z), high_end, out=z), out=z)
-        both = np.add(odds, 1, out=loss[part])
+        both = np.add(odds, 1, out=loss[low:high])
         error = odds
         error /= both
-        mine -= np.float32(rate) * np.add.reduceat(error * x, places[low:high] - places[low], axis=1)
-        weights[:, spot] = mine
+        error *= rate
+        error *= sign
+        for pair, x in zip(weights, inputs):
+            move = x[low:high].view(np.complex64)[:, 0]
+            move *= error
+            np.subtract.at(pair, spot, move)
     np.log(loss, out=loss)
-    out -= np.bincount(np.repeat(spots // gates, runs), loss, minlength=len(out))
-    return out[rank] / np.log(10)
+    out[steps.order] -= np.bincount(steps.texts, np.add.reduceat(loss, steps.begin, dtype=np.float64), minlength=len(out))
+    return out / np.log(10)
 
 
 def _ramp(sizes: np.ndarray) -> np.ndarray:
@@ -437,9 +492,11 @@ def _score(key: int, broadcast, rate: float):
         lookups = _lookups(plain, tables)
         for batch in small_batches(batches, "text"):
             words = find_words(batch.column("text"), lower=True)
-            place, node, bit, unit, contexts, shares, hashes, symbol, first, _ = coder.decisions(words)
-            inputs, gate = _predict(coder, *lookups, node, unit, contexts)
-            score = shares.astype(np.float64) + _mix_online(place, bit, inputs, gate, rate)
+            place, path, unit, contexts, shares, hashes, symbol, first, _ = coder.path(words)
+            steps = _steps(place)
+            path, unit = path.take(steps.source), unit.take(steps.source)
+            inputs, gate = _predict(coder, *lookups, path, unit, contexts)
+            score = shares.astype(np.float64) + _mix(steps, path & 1, inputs, gate, rate)
             texts = np.repeat(np.arange(batch.num_rows), np.diff(first))
             known = symbol != coder.escape
             base = np.bincount(texts[known], shown[symbol[known]], minlength=batch.num_rows).astype(np.float64)
@@ -512,14 +569,14 @@ def score_texts(
 
     lanes = max(1, int(training.rdd.getNumPartitions() ** 0.5))
     key, shared = _shared(spark, parts)
-    summed = training.mapInArrow(tidy(_count_contexts(key, shared, lanes)), "chunk int, lane int, data binary")
+    summed = training.mapInArrow(tidy(_count_contexts(key, shared, lanes)), _SUMS)
     for group in (["chunk", "lane"], ["chunk"]):
-        summed = summed.groupBy(*group).applyInPandas(_add_up, "chunk int, lane int, data binary")
+        summed = summed.groupBy(*group).applyInPandas(_add_up, _SUMS)
     coder = Coder(*parts)
     plain, tables = np.zeros((2, coder.nodes)), np.zeros((_LANES - 1) * 2 * SLOTS, dtype=np.float32)
     gathered = save(summed, "contexts").toArrow()
-    for chunk, data in zip(gathered.column("chunk").to_pylist(), gathered.column("data").to_pylist()):
-        part = np.frombuffer(zlib.decompress(data), dtype="<i8")
+    for chunk, counts_, data in zip(*(gathered.column(c).to_pylist() for c in ("chunk", "counts", "data"))):
+        part = _unpacked(data, counts_)
         if chunk < 0:
             plain = part.reshape(2, -1).astype(np.float64)
         else:

@@ -204,3 +204,38 @@ def test_one_sided_counts_leave_something_to_the_other_side():
     plain[1], tables[:, :, 1] = 1e7, 1e7
     inputs, gate = cm._predictions(coder, plain, tables, node, unit, contexts)
     assert np.isfinite(inputs).all() and np.isfinite(cm._mix_online(place, bit, inputs, gate, 0.02)).all()
+
+
+def test_decisions_are_mixed_in_the_order_of_their_steps():
+    """Texts of unequal length: every decision has one place, the first blocks of all texts lie side by side."""
+    first = np.array([0, 5, 5, 300, 430, 1200])
+    steps = cm._steps(first)
+    assert sorted(steps.source.tolist()) == list(range(1200)) and steps.ends[0] == 0 and steps.ends[-1] == 1200
+    for number, (low, high) in enumerate(zip(steps.ends[:-1], steps.ends[1:])):
+        text = np.searchsorted(first, steps.source[low:high], side="right") - 1
+        assert (steps.order[steps.spot[low:high] // cm._GATES] == text).all()
+        assert ((steps.source[low:high] - first[text]) // cm.BLOCK == number).all()
+    r = np.random.default_rng(3)
+    bit, gate = r.integers(0, 2, 1200).astype(np.uint8), r.integers(0, 32, 1200).astype(np.uint8)
+    inputs = r.normal(0, 2, (4, 1200)).astype(np.float32)
+    kept = inputs.copy()
+    found, wanted = cm._mix_online(first, bit, inputs, gate, 0.02), []
+    assert (inputs == kept).all()
+    for low, high in zip(first[:-1], first[1:]):
+        weights, score = {g: np.array(cm.START_WEIGHTS) for g in range(32)}, 0.0
+        for at in range(low, high, cm.BLOCK):
+            moves = {}
+            for i in range(at, min(high, at + cm.BLOCK)):
+                sign = 1 - 2 * int(bit[i])
+                odds = np.exp(np.clip(sign * weights[gate[i]] @ kept[:, i].astype(float), -13, 13))
+                score -= np.log10(1 + odds)
+                moves[gate[i]] = moves.get(gate[i], 0) + 0.02 * sign * odds / (1 + odds) * kept[:, i]
+            for g, move in moves.items():
+                weights[g] = weights[g] - move
+        wanted.append(score)
+    assert np.allclose(found, wanted, rtol=1e-4, atol=1e-3)
+
+
+@pytest.mark.parametrize("counts", [[], [0], [1, 255, 256, 2**33, 2**62, 0, 7]])
+def test_counts_are_packed_without_loss(counts):
+    assert cm._unpacked(cm._packed(np.array(counts, dtype=np.int64)), len(counts)).tolist() == counts
