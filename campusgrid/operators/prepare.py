@@ -107,6 +107,27 @@ class ZScaler(_ColumnwiseEstimator):
         return model._set(inputCols=inputs, outputCols=outputs, means=means, scales=scales)
 
 
+class BinnerModel(_ColumnwiseModel):
+    """Numbers of the bins that values fall in, as doubles. An edge belongs to the bin below it."""
+
+    edges = Param(Params._dummy(), "edges", "ascending edges between the bins, per column", TypeConverters.toListListFloat)
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        edges = self.getOrDefault(self.edges)
+        # Null and NaN stay, for the assembler to reject.
+        return self._rewrite(df, lambda i, x: F.when(x.isNull() | F.isnan(x), x).otherwise(_edges_below(x, edges[i])))
+
+
+def _edges_below(x: Column, edges: Sequence[float], first: int = 0) -> Column:
+    """``first`` plus the number of edges below x, by halving."""
+    if not edges:
+        return F.lit(float(first))
+    half = len(edges) // 2
+    return F.when(x <= edges[half], _edges_below(x, edges[:half], first)).otherwise(
+        _edges_below(x, edges[half + 1 :], first + half + 1)
+    )
+
+
 def zscore(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, ZScalerModel]:
     """Drop rows with a null in ``cols`` and replace these columns by z-scores; all other
     columns, the key among them, stay beside them."""

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import abs_error, as_column, number, present
 from ..session import keep
+from .boosting import fit_merged, merges_rows
 from .prepare import build_preprocessor, hash_split, observed_columns, split_side
 from .relational import concat_rows
 from .reshape import observed_values
@@ -57,7 +58,8 @@ def fit_regression(
     """Fit preprocessing and a regressor on the training rows, score the rest.
 
     Any pyspark.ml regressor fits the slot; the default is plain least squares, solved
-    from one pass of moments. Columns without a single training value are left out."""
+    from one pass of moments. Boosted trees learn from merged rows where these are far fewer
+    (see ``boosting``). Columns without a single training value are left out."""
     labelled = df.where(present(df, [target])).withColumn(target, as_column(target).cast("double"))
     train, test = hash_split(labelled, key, test_size=test_size)
     regressor = (model or LinearRegression(regParam=0.0)).copy()
@@ -67,13 +69,14 @@ def fit_regression(
     try:
         usable = set(observed_columns(rows, [*num_cols, *cat_cols]))
         # One-hot slots are held on the driver; too many values of a category are an error.
-        observed_values(rows, [c for c in cat_cols if c in usable])
-        chain = build_preprocessor([c for c in num_cols if c in usable], [c for c in cat_cols if c in usable])
-        prepared = chain.fit(rows)
-        fitted = regressor.fit(prepared.transform(rows).select("features", target))
+        values = observed_values(rows, [c for c in cat_cols if c in usable])
+        numbers = [c for c in num_cols if c in usable]
+        prepared = build_preprocessor(numbers, [*values]).fit(rows)
+        fitted = fit_merged(regressor, prepared, rows, numbers, values, target) if merges_rows(regressor) else None
+        fitted = fitted or [regressor.fit(prepared.transform(rows).select("features", target))]
     finally:
         rows.unpersist()
-    whole = PipelineModel(stages=[*prepared.stages, fitted])
+    whole = PipelineModel(stages=[*prepared.stages, *fitted])
     metrics = regression_metrics(predict(whole, test), target, "prediction")
     return RegressionRun(whole, target, train, test, metrics, labelled, split_side(key, test_size=test_size))
 

@@ -7,12 +7,13 @@ import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
 
-from campusgrid.operators import clustering, inference, projection, regression, reports, selection, sketches
+from campusgrid.operators import boosting, clustering, inference, projection, regression, reports, selection, sketches
 from campusgrid.operators.fourier import FourierRegressor, fourier_waves
 from campusgrid.operators.least_squares import triangular_factor, two_sided_p
-from campusgrid.operators.prepare import MedianImputer, build_preprocessor, hash_split, impute_modes, zscore
+from campusgrid.operators.prepare import BinnerModel, MedianImputer, build_preprocessor, hash_split, impute_modes, zscore
 
 from campusgrid.operators.wide_lasso import wide_lasso_cv
 
@@ -288,6 +289,77 @@ def test_fourier_regressor_on_a_smooth_function(spark, tmp_path):
     assert smooth.model.transform(rows.where("false")).count() == 0
 
 
+def _bumpy(spark, n):
+    """Numbers that hardly repeat, one with few values, some unknown, and a category."""
+    unit = [F.pmod(F.xxhash64("id", F.lit(i)), F.lit(1_000_003)) / 1_000_003 for i in range(4)]
+    df = spark.range(n).select(
+        "id",
+        F.when(unit[3] > 0.02, unit[0] * 10).alias("a"),
+        F.floor(unit[1] * 5).cast("double").alias("b"),
+        F.when(unit[3] < 0.97, F.substring(F.lit("pqr"), (F.floor(unit[2] * 3) + 1).cast("int"), 1)).alias("c"),
+    )
+    noise = F.pmod(F.xxhash64("id", F.lit(9)), F.lit(1000)) / 1000
+    return df.withColumn("y", F.sin(F.coalesce("a", F.lit(5.0))) * F.col("b") + F.when(F.col("c") == "q", 2.0).otherwise(0.0) + noise)
+
+
+def test_boosted_trees_learn_from_cells(spark, monkeypatch, tmp_path):
+    """The learner reads at most a row for each combination of bins, whatever the partitioning and however many values."""
+    seen, fit = [], GBTRegressor.fit
+    monkeypatch.setattr(GBTRegressor, "fit", lambda self, df, *more: (seen.append(df.count()), fit(self, df, *more))[1])
+    trees = GBTRegressor(seed=42, maxIter=4, maxDepth=4)
+    runs = [regression.fit_regression(_bumpy(spark, 25_000).repartition(p), "y", ["a", "b"], ["c"], key="id", model=trees) for p in (3, 13)]
+    first, again = (r.metrics.first() for r in runs)
+    assert first.r2 == pytest.approx(again.r2, abs=0.005) and first.r2 > 0.8
+    assert runs[0].train.select("a").distinct().count() > 10_000
+    assert all(100 < n <= 32 * 5 * 3 for n in seen)
+    runs[0].model.write().overwrite().save(str(tmp_path / "trees"))
+    loaded, some = PipelineModel.load(str(tmp_path / "trees")), runs[0].test.limit(50)
+    assert [r.prediction for r in loaded.transform(some).collect()] == [r.prediction for r in runs[0].model.transform(some).collect()]
+
+
+def test_boosted_trees_on_cells_equal_those_on_rows(spark):
+    """Up to 10 000 rows the learner takes its bins from all rows, so both ways must find the same trees."""
+    rows = _bumpy(spark, 9_000).withColumn("a", F.round("a", 2))
+    run = regression.fit_regression(rows, "y", ["a", "b"], ["c"], key="id", model=GBTRegressor(seed=42))
+    chain = build_preprocessor(["a", "b"], ["c"]).fit(run.train)
+    plain = GBTRegressor(seed=42, labelCol="y").fit(chain.transform(run.train))
+    assert len(run.model.stages) == len(chain.stages) + 3
+    both = plain.transform(chain.transform(run.test)).select("id", F.col("prediction").alias("plain"))
+    pairs = regression.predict(run.model, run.test).join(both, "id").select("prediction", "plain").collect()
+    assert len(pairs) > 1500 and max(abs(p.prediction - p.plain) for p in pairs) < 1e-9
+
+
+def test_boosted_trees_do_not_depend_on_partitioning(spark):
+    """Values of few digits: counted, not drawn, also beyond the 10 000 rows of the learner's own draw."""
+    rows = _bumpy(spark, 25_000).withColumn("a", F.round("a", 2))
+    trees = GBTRegressor(seed=42, maxIter=4)
+    found = [regression.fit_regression(rows.repartition(p), "y", ["a", "b"], ["c"], key="id", model=trees).metrics.first() for p in (3, 13)]
+    assert tuple(found[0]) == pytest.approx(tuple(found[1]), abs=1e-9)
+
+
+def test_boosted_trees_on_rows_where_cells_are_many(spark):
+    run = regression.fit_regression(_bumpy(spark, 600), "y", ["a", "b"], ["c"], key="id", model=GBTRegressor(maxIter=2))
+    assert run.model.stages[-1].getFeaturesCol() == "features"
+    assert not boosting.merges_rows(GBTRegressor(lossType="absolute")) and not boosting.merges_rows(GBTRegressor(minInstancesPerNode=2))
+
+
+def test_bin_edges(spark):
+    """Few values are all kept apart, however rare; many are cut into equal shares of all rows."""
+    df = spark.range(40_000).select((F.col("id") % 4 + 3 * (F.col("id") == 7).cast("int")).cast("double").alias("x"), (F.col("id") / 8).alias("z"))
+    few, many = boosting.bin_edges(df, ["x", "z"], [5, 40_000], 32)
+    assert few == [0.5, 1.5, 2.5, 4.5]
+    assert many == pytest.approx([5000 * k / 32 for k in range(1, 32)], abs=2)
+    assert boosting.even_edges([1.0, 2.0, 3.0, 4.0], [5, 1, 1, 3], 2) == [1.5]
+
+
+def test_binner_counts_edges_below(spark):
+    df = spark.createDataFrame([(-9.0,), (1.0,), (1.5,), (2.0,), (3.0,), (9.0,), (None,), (math.nan,)], "x double").repartition(1)
+    found = BinnerModel()._set(inputCols=["x"], outputCols=["n"], edges=[[1.0, 2.0, 3.0]]).transform(df)
+    got = {r.x: r.n for r in found.where("x is not null and not isnan(x)").collect()}
+    assert got == {-9.0: 0, 1.0: 0, 1.5: 1, 2.0: 1, 3.0: 2, 9.0: 3}
+    assert found.where("x is null and n is null or isnan(x) and isnan(n)").count() == 2
+
+
 def test_fourier_ridge_matches_numpy(spark):
     rng = np.random.default_rng(6)
     x, y = rng.normal(size=(300, 2)), rng.normal(size=300)
