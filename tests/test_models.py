@@ -3,7 +3,9 @@
 import math
 
 import numpy as np
+import pandas as pd
 import pytest
+from pyspark import cloudpickle
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
@@ -406,6 +408,48 @@ def test_wide_lasso_finds_few_values_among_thousands(spark):
         wide_lasso_cv(rows, ["x", "place"], "y", key="id", alphas=12, ratio=1e-4, max_active=5)
 
 
+def test_wide_lasso_of_texts_that_go_together(spark):
+    """Values of different texts that stand in the same rows share what they explain, as in ``lasso_cv``."""
+    rng = np.random.default_rng(5)
+    n = 1500
+    place = rng.integers(0, 12, n)
+    kind = np.where(rng.random(n) < 0.6, place // 3, rng.integers(0, 5, n))
+    size = rng.normal(0, 1, n) + place / 6
+    y = 3 * (place == 2) - 2 * (kind == 1) + 1.5 * (kind == 3) + 0.8 * size + rng.normal(0, 0.5, n)
+    rows = pd.DataFrame({"id": np.arange(n), "place": [f"p{v:02d}" for v in place], "kind": [f"k{v}" for v in kind], "size": size, "y": y + 40})
+    rows.loc[::11, "kind"] = None
+    df, features = spark.createDataFrame(rows).repartition(5), ["kind", "size", "place"]
+    few = {r.feature: r for r in selection.lasso_cv(df, features, "y", key="id", alphas=30, tol=1e-10).collect()}
+    wide = {r.feature: r for r in wide_lasso_cv(df, features, "y", key="id", alphas=30, tol=1e-10).collect()}
+    assert set(few) == set(wide) and sum(r.selected for r in wide.values()) > 5
+    for name, r in few.items():
+        assert wide[name].alpha == pytest.approx(r.alpha) and wide[name].coefficient == pytest.approx(r.coefficient, abs=1e-6)
+
+
+def test_wide_lasso_keeps_categories_off_the_driver(spark, monkeypatch):
+    """Neither what the driver gets nor what it sends to tasks grows with the number of categories."""
+    got, sent = [], []
+    frame = type(spark.range(1))
+    for name in ("collect", "toArrow", "toPandas"):
+        def counted(self, *args, was=getattr(frame, name), **named):
+            found = was(self, *args, **named)
+            got.append(len(found))
+            return found
+
+        monkeypatch.setattr(frame, name, counted)
+
+    def measured(self, func, *args, was=frame.mapInArrow, **named):
+        sent.append(len(cloudpickle.dumps(func)))
+        return was(self, func, *args, **named)
+
+    monkeypatch.setattr(frame, "mapInArrow", measured)
+    rows = spark.range(20_000).selectExpr("id", "concat('v', id % 4000) place", "id % 10 / 10 x", "30 * int(id % 4000 = 7) + 2 * (id % 10 / 10) y")
+    found = wide_lasso_cv(rows, ["x", "place"], "y", key="id", alphas=6, ratio=0.2, max_active=60)
+    assert max(got) <= 1000 and max(sent) <= 100_000
+    monkeypatch.undo()
+    assert found.count() == 4000 and {r.feature for r in found.where("selected").collect()} == {"x", "place_v7"}
+
+
 def test_wide_lasso_without_rows(spark, noisy):
     assert wide_lasso_cv(noisy.where("false"), ["a", "c"], "y", key="id").count() == 0
 
